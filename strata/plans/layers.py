@@ -28,6 +28,7 @@ from strata.sources.sinks import write_partitioned, write_table
 log = logging.getLogger(__name__)
 
 GOLD_TABLES = ("weekly_stars", "checkins_vs_stars")
+GOLD_INPUTS = {"weekly_stars": ("review", "business"), "checkins_vs_stars": ("checkin", "business")}
 
 
 @dataclass(frozen=True)
@@ -110,7 +111,8 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
         log.info("gold %s: %d rows", name, rows)
         return rows
 
-    return _each(one, list(GOLD_TABLES), spec.concurrent)
+    tables = [g for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(spec.datasets)]
+    return _each(one, tables, spec.concurrent)
 
 
 def run_layers(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, dict[str, int]]:

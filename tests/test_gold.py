@@ -1,0 +1,90 @@
+"""Gold aggregates: sentinels, orphans, invariance under the partitioning."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from strata.operators import analyses as A
+from strata.operators import gold
+
+BUSINESS = "business_id string, business_name string, city string, state string, stars double, review_count int"
+REVIEWS = (
+    "review_id string, user_id string, business_id string, stars double, useful int, funny int, cool int, "
+    "review_date date, review_text string"
+)
+
+
+def fixtures(spark):
+    business = spark.createDataFrame(
+        [("b1", "One", "c", "s", 4.5, 2), ("b2", "Two", "c", "s", 2.0, 0), ("b3", "Three", "c", "s", 3.0, None)],
+        BUSINESS,
+    )
+    reviews = spark.createDataFrame(
+        [
+            ("r1", "u", "b1", 4.0, 1, 0, None, dt.date(2018, 12, 31), ""),
+            ("r2", "u", "b1", 5.0, 2, 0, 3, dt.date(2019, 1, 1), ""),
+            ("r3", "u", "b1", 3.0, 0, 0, 1, dt.date(2019, 1, 1), ""),
+            ("r4", "u", "b3", 1.0, 0, 0, 0, None, ""),
+            ("r5", "u", "orphan", 1.0, 0, 0, 0, dt.date(2019, 1, 1), ""),
+        ],
+        REVIEWS,
+    )
+    checkins = spark.createDataFrame(
+        [("b1", dt.datetime(2020, 1, 1)), ("b1", dt.datetime(2020, 1, 2)), ("zz", dt.datetime(2020, 1, 1))],
+        "business_id string, checkin_timestamp timestamp",
+    )
+    return business, reviews, checkins
+
+
+def test_weekly_stars_sentinels_and_year_split(spark):
+    business, reviews, _ = fixtures(spark)
+    rows = gold.sort_weekly(gold.weekly_stars(reviews, business)).collect()
+    got = [
+        (r.business_id, r.review_year, r.review_week_number, r.review_week.date(), r.review_count_weekly, r.avg_stars_weekly)
+        for r in rows
+    ]
+    assert got == [
+        ("b1", 2018, 1, dt.date(2018, 12, 31), 1, 4.0),
+        ("b1", 2019, 1, dt.date(2018, 12, 31), 2, 4.0),
+        ("b2", 9999, 0, dt.date(9999, 1, 1), 0, 0.0),  # no reviews
+        ("b3", 9999, 0, dt.date(9999, 1, 1), 1, 1.0),  # one undated review
+    ]
+    assert list(gold.weekly_stars(reviews, business).columns) == list(gold.WEEKLY_STARS_COLUMNS)
+    b1_2019 = [r for r in rows if r.business_id == "b1" and r.review_year == 2019][0]
+    assert b1_2019.avg_cool == 2.0 and b1_2019.avg_useful == 1.0
+
+
+def test_checkins_vs_stars(spark):
+    business, _, checkins = fixtures(spark)
+    rows = {r.business_id: r for r in gold.checkins_vs_stars(checkins, business).collect()}
+    assert set(rows) == {"b1", "b2", "b3"}
+    assert (rows["b1"].total_checkins, rows["b1"].checkins_per_review, rows["b1"].star_category) == (2, 1.0, "High")
+    assert (rows["b2"].total_checkins, rows["b2"].checkins_per_review, rows["b2"].star_category) == (0, None, "Low")
+    assert rows["b3"].checkins_per_review is None and rows["b3"].star_category == "Medium"
+
+
+def test_analyses_on_literal_rows(spark):
+    business, reviews, checkins = fixtures(spark)
+    weekly = gold.weekly_stars(reviews, business)
+    top = A.top_businesses_by_year(weekly, 2019).collect()
+    assert [(r.business_id, r.avg_stars_2019, r.total_reviews) for r in top] == [("b1", 4.0, 2)]
+    summary = {r.metric: r.value for r in A.quality_summary(weekly, gold.checkins_vs_stars(checkins, business)).collect()}
+    assert summary == {"weekly_records": 4, "businesses_with_checkins": 1}
+    assert A.weekly_multi_review(weekly).count() == 1
+    assert [r.business_id for r in A.top_checkins(gold.checkins_vs_stars(checkins, business), 2).collect()] == ["b1", "b2"]
+    assert A.same_week_yoy(weekly, 1, [2018, 2019]).count() == 2
+
+
+def test_result_independent_of_shuffle_partitions(spark, tmp_path):
+    from strata.registry import weekly as weekly_q
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    outs = []
+    try:
+        for n in ("1", "4", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            df = weekly_q(spark, "/root/testdata/sf0.001")
+            outs.append(sorted(tuple(r) for r in df.withColumn("review_week", F.col("review_week").cast("string")).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert outs[0] == outs[1] == outs[2]
