@@ -375,6 +375,7 @@ def queries(params: dict) -> dict[str, str]:
         ),
         "bronze_load": ("select * from raw_business", ("raw_business",)),
         "bronze_counts": (counts, all_raw),
+        "bronze_incremental": ("select * from raw_business", ("raw_business",)),
         "parquet_roundtrip": ("select * from silver_business", ("silver_business",)),
         "layer_counts": (layers, all_layers),
         # silver

@@ -95,6 +95,19 @@ def bronze_counts(spark, sf_dir):
     return bronze.bronze_counts(spark, f"{root}/bronze")
 
 
+def bronze_incremental(spark, sf_dir):
+    """Raw business records arrive as two dumps; the second stream run ingests only the new one."""
+    from strata.sources.fixtures import raw_business_arrivals
+    from strata.streaming import ingest_available
+
+    root = scratch_path(spark, "bronze-stream")
+    bronze_path, ckpt = f"{root}/bronze/business", f"{root}/_checkpoint/business"
+    for i, arrival in enumerate(raw_business_arrivals(spark, sf_dir)):
+        write_raw(arrival, f"{root}/raw/arrival-{i}")
+        ingest_available(spark, f"{root}/raw/*/part-*", bronze_path, ckpt, "business")
+    return spark.read.parquet(bronze_path).drop("ingestion_timestamp", "source_file", "_corrupt_record")
+
+
 def parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "roundtrip")
     write_table(silver(spark, sf_dir, "business"), path)
@@ -235,6 +248,7 @@ QUERIES: dict[str, Query] = {
     "bronze_metadata": bronze_metadata,
     "bronze_load": bronze_load,
     "bronze_counts": bronze_counts,
+    "bronze_incremental": bronze_incremental,
     "parquet_roundtrip": parquet_roundtrip,
     "layer_counts": layer_counts_query,
     "silver_business": lambda spark, d: silver(spark, d, "business"),

@@ -34,6 +34,12 @@ def _day_text(n: Column) -> Column:
 
 def raw_business(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From ``part``: every part twice, the second copy a near duplicate."""
+    original, copy = raw_business_arrivals(spark, sf_dir)
+    return original.unionByName(copy)
+
+
+def raw_business_arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two halves of :func:`raw_business`: original records, then their near copies."""
     part = _table(spark, sf_dir, "part")
     k = F.col("p_partkey")
 
@@ -65,7 +71,7 @@ def raw_business(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.col("p_name"), F.lit(" "))),
         (k % 11).cast("double") / 2,
     )
-    return original.unionByName(copy)
+    return original, copy
 
 
 def raw_review(spark: SparkSession, sf_dir: str) -> DataFrame:

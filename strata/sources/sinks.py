@@ -11,11 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    # Counted in the writing stage itself: no second job, no re-listing of the output.
+    obs = Observation()
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write Parquet; returns the number of rows written."""
+    out, obs = _counted(df)
+    out.write.mode(mode).parquet(path)
+    return int(obs.get["rows"])
 
 
 def write_partitioned(
@@ -24,11 +34,15 @@ def write_partitioned(
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
-) -> None:
-    """Hive-style partitioned Parquet; files sorted by ``cluster_by`` inside each directory."""
+) -> int:
+    """Hive-style partitioned Parquet; files sorted by ``cluster_by`` inside each directory.
+
+    Returns the number of rows written.
+    """
     cols = list(partition_by)
-    laid_out = df.hint("rebalance", *cols).sortWithinPartitions(*cols, *cluster_by)
+    laid_out, obs = _counted(df.hint("rebalance", *cols).sortWithinPartitions(*cols, *cluster_by))
     laid_out.write.mode(mode).partitionBy(*cols).parquet(path)
+    return int(obs.get["rows"])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

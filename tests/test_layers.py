@@ -48,10 +48,22 @@ def test_weekly_counts_cover_in_scope_reviews(spark, layout):
 def test_partitioned_layout_prunes(spark, layout):
     lay, _ = layout
     weekly = spark.read.parquet(lay.gold("weekly_stars"))
+    assert weekly.columns[-1] == "review_year"
+    plan = weekly.filter(F.col("review_year") == 1998)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(review_year" in plan
+
+
+def test_week_layout_prunes_on_week(spark, layout):
+    lay, _ = layout
+    other = Layout(root=scratch_path(spark, "test-week"), raw=lay.raw)
+    run_layers(spark, other, RunSpec(declared_schemas=True, weekly_partition_by=("review_week",)))
+    weekly = spark.read.parquet(other.gold("weekly_stars"))
     assert weekly.columns[-1] == "review_week"
     q = weekly.filter(F.col("review_week") == F.lit("1998-01-05 00:00:00").cast("timestamp"))
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(review_week" in plan
+    assert "PartitionFilters: [isnotnull(review_week" in q._jdf.queryExecution().executedPlan().toString()
+    year = spark.read.parquet(lay.gold("weekly_stars"))
+    assert weekly.count() == year.count()
+    assert weekly.exceptAll(year.select(*weekly.columns)).count() == 0
 
 
 def test_declared_schema_matches_inferred(spark, layout):
