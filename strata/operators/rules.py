@@ -128,6 +128,28 @@ def row_filter(spec: TableSpec) -> Column | None:
     return out
 
 
+def source_prefilter(df: DataFrame, spec: TableSpec) -> Column | None:
+    """``source IS NOT NULL`` for every required field read from a present raw column.
+
+    Every field expression is NULL when its source is NULL, so this is implied
+    by the required checks; stated on the raw column, it reaches the scan as a
+    pushed filter, ahead of trims and casts.
+    """
+    by_name = {f.name: f for f in spec.fields}
+    present = set(df.columns)
+    conds = [
+        F.col(by_name[c].source).isNotNull()
+        for c in spec.required
+        if c in by_name and by_name[c].source in present
+    ]
+    if not conds:
+        return None
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
 def deduplicate(df: DataFrame, rule: Dedup) -> DataFrame:
     """Deterministic one-row-per-key.
 
@@ -150,6 +172,9 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     if spec.explode is not None:
         keep = sorted({f.source for f in spec.fields if f.source != spec.explode.target} & set(df.columns))
         df = explode_list(df, spec.explode, keep)
+    pre = source_prefilter(df, spec)
+    if pre is not None:
+        df = df.filter(pre)
     out = project(df, spec)
     cond = row_filter(spec)
     if cond is not None:

@@ -314,12 +314,15 @@ WEEKLY_OUT = (
 )
 
 
-def with_ctes(final: str, needs: tuple[str, ...]) -> str:
-    """``WITH`` every CTE ``final`` needs (transitively, in dependency order)."""
+def with_ctes(final: str, needs: tuple[str, ...], provided: tuple[str, ...] = ()) -> str:
+    """``WITH`` every CTE ``final`` needs (transitively, in dependency order).
+
+    Names in ``provided`` are expected to exist as tables and are not defined.
+    """
     order: list[str] = []
 
     def visit(n: str) -> None:
-        if n in order:
+        if n in order or n in provided:
             return
         for d in _CTES[n][0]:
             visit(d)
