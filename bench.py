@@ -33,7 +33,8 @@ def session(cpus: int) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for k, v in session_conf(shuffle_partitions=2 * cpus).items():
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
+    for k, v in session_conf(shuffle_partitions=parts).items():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
@@ -55,7 +56,7 @@ def main() -> None:
     layout = write_raw_files(spark, sf_dir, f"{root}/raw")
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up
 
-    spec = RunSpec(declared_schemas=True)
+    spec = RunSpec(declared_schemas=True, concurrent=os.environ.get("BENCH_CONCURRENT", "1") == "1")
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
 

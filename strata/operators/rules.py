@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,18 +153,23 @@ def source_prefilter(df: DataFrame, spec: TableSpec) -> Column | None:
 def deduplicate(df: DataFrame, rule: Dedup) -> DataFrame:
     """Deterministic one-row-per-key.
 
-    ``first`` plans as ``row_number() = 1``: Spark runs a partial
-    WindowGroupLimit before the exchange, so a hot key is cut to one row per
-    map task before anything is shuffled, and the reduce side sees at most
-    one row per upstream task for it.
+    ``first`` is ``min`` over a struct of the payload columns, each preceded
+    by its NULL flag, which orders ascending with NULLs last. It plans as a
+    partial aggregate before the exchange and a final one after it: a key
+    holding a large share of all rows is folded to one row per map task
+    before anything is shuffled, and the map side sorts by the key alone.
     """
     keys = list(rule.keys)
     if rule.survivor == "any":
         return df.dropDuplicates(keys)
     payload = [c for c in df.columns if c not in keys]
-    order = [F.col(c).asc_nulls_last() for c in payload] or [F.lit(1)]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+    if not payload:
+        return df.dropDuplicates(keys)
+    flagged = [(F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")) for i, c in enumerate(payload)]
+    ordered = F.struct(*[x for pair in flagged for x in pair])
+    first = df.groupBy(*keys).agg(F.min(ordered).alias("_first"))
+    cols = {c: F.col("_first").getField(f"v{i}").alias(c) for i, c in enumerate(payload)}
+    return first.select(*[cols.get(c, F.col(c)) for c in df.columns])
 
 
 def clean(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -24,14 +24,14 @@ def bronze(spark):
     return root
 
 
-def test_dedup_limits_before_the_shuffle(spark, bronze):
+def test_dedup_folds_before_the_shuffle(spark, bronze):
     df = clean(spark.read.parquet(f"{bronze}/bronze/review"), SPECS["review"])
     p = plan(df)
-    assert "WindowGroupLimit" in p and "Partial" in p
-    # The partial limit sits below the exchange: a hot key is cut before shuffling.
+    # A partial aggregate sits below the one exchange: a hot key is cut before shuffling.
     exch = p.index("Exchange hashpartitioning(review_id")
-    assert "Partial" in p[exch:]
+    assert "partial_min" in p[exch:]
     assert p.count("Exchange") == 1
+    assert "Window" not in p
 
 
 def test_range_filter_pushed_and_columns_pruned(spark, bronze):
