@@ -124,7 +124,7 @@ _cte(
                   case when user_id % 7 = 0 then ', bad' else '' end,
                   case when user_id % 5 = 0 then concat(', ', items) else '' end) as date
     from (select user_id, string_agg(strftime(ts, {TS_TEXT}), ', ' order by ts) as items
-          from events group by user_id, cast(ts as date))""",
+          from events group by user_id, cast(ts as date), event_id // 4096)""",
 )
 
 

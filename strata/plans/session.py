@@ -56,8 +56,10 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    When the session has none (a local test run), a private folder is made
-    and registered as the checkpoint dir, so later calls agree.
+    When the session has none and runs in local mode (a test run), a private
+    folder is made and registered as the checkpoint dir, so later calls
+    agree. On a cluster a machine-local folder is not visible to the other
+    executors and dies with its machine, so an unset dir is an error there.
     """
     root = None
     try:
@@ -67,6 +69,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage "
+                "(HDFS, object store) for intermediate tables"
+            )
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 TEXT_TS = "yyyy-MM-dd HH:mm:ss"
 TEXT_DAY = "yyyy-MM-dd"
 DAY_ZERO = "2010-01-01"
+# Most check-in times in one raw list (consecutive event ids per chunk).
+CHECKIN_CHUNK = 4096
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,14 +100,17 @@ def raw_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_checkin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From ``events``: one row per (user, day) listing that day's event times.
+    """From ``events``: one row per (user, day, event-id chunk) listing those event times.
 
-    Lists are bounded by one user's events in one day, never a whole user.
-    Some lists get a bad item, some are repeated in full (duplicate check-ins).
+    ``event_id`` is unique, so a chunk of :data:`CHECKIN_CHUNK` consecutive ids
+    caps every list at that many items, however many events one user has in
+    one day. Some lists get a bad item, some are repeated in full (duplicate
+    check-ins).
     """
     ev = _table(spark, sf_dir, "events")
     u = F.col("user_id")
-    days = ev.groupBy(u, F.to_date("ts").alias("day")).agg(
+    chunk = F.call_function("div", F.col("event_id"), F.lit(CHECKIN_CHUNK)).alias("chunk")
+    days = ev.groupBy(u, F.to_date("ts").alias("day"), chunk).agg(
         F.concat_ws(", ", F.transform(F.sort_array(F.collect_list("ts")), lambda t: F.date_format(t, TEXT_TS))).alias(
             "items"
         )

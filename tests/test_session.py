@@ -1,0 +1,48 @@
+"""Scratch location and bounded fixture lists."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SMALL
+from strata.plans import session as S
+from strata.sources import fixtures
+
+
+class _Conf(dict):
+    def get(self, k, default=None):
+        return super().get(k, default)
+
+
+class _Ctx:
+    def getCheckpointDir(self):
+        return None
+
+
+class _Session:
+    def __init__(self, master):
+        self.conf = _Conf({"spark.master": master})
+        self.sparkContext = _Ctx()
+
+
+def test_cluster_without_checkpoint_dir_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.checkpoint_root(_Session("yarn"))
+
+
+def test_configured_checkpoint_dir_is_used():
+    s = _Session("k8s://example")
+    s.conf["spark.checkpoint.dir"] = "hdfs://nn/shared/ckpt/"
+    assert S.checkpoint_root(s) == "hdfs://nn/shared/ckpt"
+    assert S.scratch_path(s, "x").startswith("hdfs://nn/shared/ckpt/strata/x-")
+
+
+def test_checkin_lists_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "CHECKIN_CHUNK", 8)
+    raw = fixtures.raw_checkin(spark, SMALL)
+    items = F.size(F.split("date", ", "))
+    # A list holds one chunk of event times, at most doubled plus one bad item.
+    assert raw.agg(F.max(items)).first()[0] <= 2 * 8 + 1
+    # Every event still lands in some list.
+    exploded = raw.select(F.explode(F.split("date", ", ")).alias("t")).filter("t <> 'bad'").distinct().count()
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    assert exploded == events.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).distinct().count()
