@@ -33,23 +33,33 @@ GOLD_INPUTS = {"weekly_stars": ("review", "business"), "checkins_vs_stars": ("ch
 
 @dataclass(frozen=True)
 class Layout:
-    """Folder layout: ``raw`` JSON in, ``root``/{bronze,silver,gold}/<table> out."""
+    """Folder layout: ``raw`` JSON in, ``root``/{bronze,silver,gold}/<table> out.
+
+    A layer can live elsewhere by naming its folder (``bronze_root`` etc.).
+    """
 
     root: str
     raw: str
     raw_pattern: str = RAW_FILE
+    bronze_root: str | None = None
+    silver_root: str | None = None
+    gold_root: str | None = None
 
     def raw_file(self, name: str) -> str:
         return raw_path(self.raw, name, self.raw_pattern)
 
+    def _layer(self, override: str | None, layer: str, name: str) -> str:
+        base = override.rstrip("/") if override else f"{self.root}/{layer}"
+        return f"{base}/{name}"
+
     def bronze(self, name: str) -> str:
-        return f"{self.root}/bronze/{name}"
+        return self._layer(self.bronze_root, "bronze", name)
 
     def silver(self, name: str) -> str:
-        return f"{self.root}/silver/{name}"
+        return self._layer(self.silver_root, "silver", name)
 
     def gold(self, name: str) -> str:
-        return f"{self.root}/gold/{name}"
+        return self._layer(self.gold_root, "gold", name)
 
 
 @dataclass(frozen=True)

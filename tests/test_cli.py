@@ -1,0 +1,78 @@
+"""Command-line run: config parsing and one real run in a separate process."""
+
+import json
+import os
+import subprocess
+import sys
+
+import pytest
+
+from conftest import ROOT, SMALL
+from strata.plans.cli import parse_args
+from strata.plans.layers import Layout, RunSpec, run_layers
+from strata.plans.session import scratch_path
+from strata.registry import write_raw_files
+
+CONFIG = """
+paths:
+  raw: "data/raw"
+  bronze: "data/bronze"
+  silver: "data/silver"
+  gold: "data/gold"
+  logs: "logs"
+spark:
+  app_name: "reviews"
+  master: "local[*]"
+  driver_memory: "8g"
+  executor_memory: "4g"
+  shuffle_partitions: "64"
+datasets:
+  - business
+  - review
+"""
+
+
+def test_config_file_sets_paths_and_settings(tmp_path):
+    cfg_path = tmp_path / "config.yaml"
+    cfg_path.write_text(CONFIG)
+    cfg = parse_args(["--config", str(cfg_path)])
+    lay = cfg.layout()
+    assert lay.raw_file("review") == "data/raw/yelp_academic_dataset_review.json"
+    assert lay.bronze("review") == "data/bronze/review"
+    assert lay.silver("business") == "data/silver/business"
+    assert lay.gold("weekly_stars") == "data/gold/weekly_stars"
+    assert cfg.shuffle_partitions == 64 and cfg.app_name == "reviews"
+    assert cfg.spark_conf == {"spark.driver.memory": "8g", "spark.executor.memory": "4g"}
+    assert cfg.datasets == ("business", "review")
+    # The master is never taken from the file.
+    assert not any("master" in k for k in cfg.spark_conf)
+
+
+def test_flags_override_the_file(tmp_path):
+    cfg_path = tmp_path / "config.json"
+    cfg_path.write_text(json.dumps({"paths": {"raw": "r", "root": "out"}, "datasets": ["tip"]}))
+    cfg = parse_args(["--config", str(cfg_path), "--root", "elsewhere", "--datasets", "business,review"])
+    assert cfg.layout().silver("review") == "elsewhere/silver/review"
+    assert cfg.datasets == ("business", "review")
+
+
+def test_unknown_dataset_rejected():
+    with pytest.raises(SystemExit):
+        parse_args(["--raw", "r", "--root", "o", "--datasets", "photos"])
+
+
+def test_command_line_run_matches_library_run(spark):
+    root = scratch_path(spark, "test-cli")
+    lay = write_raw_files(spark, SMALL, f"{root}/raw")
+    env = dict(os.environ, PYTHONPATH=str(ROOT))
+    out = subprocess.run(
+        [sys.executable, "-m", "strata", "--raw", lay.raw, "--root", f"{root}/cli", "--shuffle-partitions", "4"],
+        cwd=str(ROOT), env=env, capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    counts = json.loads(out.stdout.strip().splitlines()[-1])
+    expected = run_layers(spark, Layout(root=f"{root}/lib", raw=lay.raw), RunSpec(declared_schemas=True))
+    assert counts == expected
+    cli_weekly = spark.read.parquet(f"{root}/cli/gold/weekly_stars")
+    lib_weekly = spark.read.parquet(f"{root}/lib/gold/weekly_stars")
+    assert cli_weekly.exceptAll(lib_weekly).count() == 0 and lib_weekly.exceptAll(cli_weekly).count() == 0
