@@ -65,6 +65,7 @@ class RunConfig:
             declared_schemas=self.declared_schemas,
             weekly_partition_by=self.weekly_partition_by,
             concurrent=self.concurrent,
+            size_shuffles=self.shuffle_partitions is None,
         )
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators import gold
 from strata.operators.silver import SPECS
 from strata.operators.rules import clean
+from strata.plans.session import size_shuffles
 from strata.sources.bronze import load_to_bronze
 from strata.sources.raw import DATASETS, RAW_FILE, RAW_SCHEMAS, raw_path
 from strata.sources.sinks import write_partitioned, write_table
@@ -72,6 +73,9 @@ class RunSpec:
     weekly_partition_by: tuple[str, ...] = ("review_year",)
     weekly_cluster_by: tuple[str, ...] = ("review_week", "business_id")
     concurrent: bool = True
+    # Size the initial shuffle partition count of silver and gold from the
+    # bytes of their inputs (changes a session setting, hence opt-in).
+    size_shuffles: bool = False
 
 
 def _each(fn, items, concurrent: bool) -> dict:
@@ -97,6 +101,9 @@ def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
         log.info("cleaned %s: %d rows", name, rows)
         return rows
 
+    if spec.size_shuffles:
+        n = size_shuffles(spark, [layout.bronze(d) for d in spec.datasets])
+        log.info("silver: %s initial shuffle partitions", n)
     return _each(one, list(spec.datasets), spec.concurrent)
 
 
@@ -124,6 +131,10 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
         return rows
 
     tables = [g for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(spec.datasets)]
+    if spec.size_shuffles:
+        inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
+        n = size_shuffles(spark, [layout.silver(d) for d in inputs])
+        log.info("gold: %s initial shuffle partitions", n)
     return _each(one, tables, spec.concurrent)
 
 

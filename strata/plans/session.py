@@ -39,13 +39,60 @@ def session_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     return conf
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """Initial shuffle partition count: ~128 MiB each, at least two waves of cores.
+# Compressed Parquet input per initial shuffle partition. Rows expand when
+# decoded, so this is below the 128 MiB target that AQE then coalesces to.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 64 * 1024 * 1024
+# Upper end of the initial count: beyond it the map-output bookkeeping
+# (maps x reducers blocks) costs more than larger partitions do.
+MAX_SHUFFLE_PARTITIONS = 65536
 
-    AQE coalesces from there, so erring high is cheap; erring low spills.
+
+def shuffle_partitions_for(
+    input_bytes: int, cores: int, bytes_per_partition: int = INPUT_BYTES_PER_SHUFFLE_PARTITION
+) -> int:
+    """Initial shuffle partition count: one per ``bytes_per_partition`` of input, at least two waves of cores.
+
+    AQE coalesces from there, so erring high is cheap; erring low spills,
+    because AQE merges partitions but does not split them (skew aside).
+    """
+    by_size = math.ceil(input_bytes / bytes_per_partition)
+    return min(max(2 * cores, by_size), max(MAX_SHUFFLE_PARTITIONS, 2 * cores))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int | None:
+    """Total size of the files under ``paths`` (file-system metadata only, no data read).
+
+    None when the session has no JVM gateway (Spark Connect). Missing paths count 0.
+    """
+    try:
+        jvm = spark._jvm
+        hconf = spark._jsc.hadoopConfiguration()
+    except Exception:
+        return None
+    if jvm is None:
+        return None
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(hconf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
+    """Set AQE's initial shuffle partition count from the size of a stage's inputs.
+
+    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``; AQE
+    then merges partitions to the advisory size. Returns the count, or None
+    when the size is unknown (nothing is changed then).
     """
-    by_size = math.ceil(input_bytes / TARGET_PARTITION_BYTES)
-    return max(2 * cores, by_size)
+    size = input_bytes(spark, paths)
+    if size is None:
+        return None
+    n = shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
 
 
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:

@@ -66,7 +66,7 @@ def test_command_line_run_matches_library_run(spark):
     lay = write_raw_files(spark, SMALL, f"{root}/raw")
     env = dict(os.environ, PYTHONPATH=str(ROOT))
     out = subprocess.run(
-        [sys.executable, "-m", "strata", "--raw", lay.raw, "--root", f"{root}/cli", "--shuffle-partitions", "4"],
+        [sys.executable, "-m", "strata", "--raw", lay.raw, "--root", f"{root}/cli"],  # shuffles sized from input
         cwd=str(ROOT), env=env, capture_output=True, text=True, timeout=600,
     )
     assert out.returncode == 0, out.stderr[-2000:]

@@ -46,3 +46,26 @@ def test_checkin_lists_are_bounded(spark, monkeypatch):
     exploded = raw.select(F.explode(F.split("date", ", ")).alias("t")).filter("t <> 'bad'").distinct().count()
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     assert exploded == events.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).distinct().count()
+
+
+def test_shuffle_partitions_follow_input_size():
+    mib = 1024 * 1024
+    assert S.shuffle_partitions_for(10 * mib, cores=8) == 16  # small: two waves of cores
+    assert S.shuffle_partitions_for(64 * mib * 1000, cores=8) == 1000
+    # 100 TB of input on 8000 cores: capped, never below two waves.
+    assert S.shuffle_partitions_for(100 * 1024**4, cores=8000) == S.MAX_SHUFFLE_PARTITIONS
+    assert S.shuffle_partitions_for(100 * 1024**4, cores=40000) == 80000
+
+
+def test_input_bytes_and_sizing(spark):
+    import os
+
+    path = f"{SMALL}/lineitem.parquet"
+    assert S.input_bytes(spark, [path, "/nonexistent/x"]) == os.path.getsize(path)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        n = S.size_shuffles(spark, [path])
+        assert n == 2 * spark.sparkContext.defaultParallelism
+        assert spark.conf.get(key) == str(n)
+    finally:
+        spark.conf.unset(key)
