@@ -96,3 +96,65 @@ def test_weekly_stars_matches_oracle(spark, reviews, businesses):
     for key, df in got.items():
         res = con.sql(sql[key])
         assert _canon(df.columns, df.collect()) == _canon(res.columns, res.fetchall()), key
+
+
+items = st.sampled_from(
+    ["2019-01-01 10:00:00", "2019-01-01 10:00:01", "2020-03-08 02:30:00", "bad", "", "2019-1-1 1:2:3",
+     "2019-01-01 10:00:00,2019-01-01 11:00:00", " 2019-01-01 10:00:00"]
+)
+checkin_rows = st.lists(
+    st.tuples(ids, st.one_of(st.none(), st.lists(items, min_size=1, max_size=5).map(", ".join))), max_size=12
+)
+RAW_CHECKIN = "business_id string, date string"
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(checkins=checkin_rows, businesses=business_rows)
+def test_checkins_vs_stars_matches_oracle(spark, checkins, businesses):
+    import duckdb
+
+    b_rows = [(bid, name, "a", "c", "s", "p", 1.0, 2.0, s, n, 1, "k") for bid, name, s, n in businesses]
+    raw_b = spark.createDataFrame(b_rows, RAW_BUSINESS)
+    raw_c = spark.createDataFrame(checkins, RAW_CHECKIN)
+    sb, sc = silver.clean_business(raw_b), silver.clean_checkin(raw_c)
+    got = {"silver_checkin": sc, "checkins_vs_stars": gold.checkins_vs_stars(sc, sb)}
+
+    con = duckdb.connect()
+    con.register("raw_business", _duck_frame(b_rows, RAW_BUSINESS))
+    con.register("raw_checkin", _duck_frame(checkins, RAW_CHECKIN))
+    provided = ("raw_business", "raw_checkin")
+    for key, df in got.items():
+        res = con.sql(oracle.with_ctes(f"select * from {key}", (key,), provided))
+        assert _canon(df.columns, df.collect()) == _canon(res.columns, res.fetchall()), key
+
+
+counts_text = st.sampled_from([None, "0", "7", "3.7", "-2.5", "n/a", "", "3000000000"])
+user_rows = st.lists(
+    st.tuples(ids, st.sampled_from([None, "n", " n "]), counts, dates, counts, st.sampled_from([None, 1.5, 4.25])),
+    max_size=12,
+)
+tip_rows = st.lists(st.tuples(ids, ids, texts, dates, counts_text), max_size=12)
+RAW_USER = (
+    "user_id string, name string, review_count bigint, yelping_since string, useful bigint, funny bigint, "
+    "cool bigint, fans bigint, average_stars double"
+)
+RAW_TIP = "user_id string, business_id string, text string, date string, compliment_count string"
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(users=user_rows, tips=tip_rows)
+def test_user_and_tip_match_oracle(spark, users, tips):
+    import duckdb
+
+    u_rows = [(uid, name, rc, since, fans, 0, 1, fans, avg) for uid, name, rc, since, fans, avg in users]
+    got = {
+        "silver_user": silver.clean_user(spark.createDataFrame(u_rows, RAW_USER)),
+        "silver_tip": silver.clean_tip(spark.createDataFrame(tips, RAW_TIP)),
+    }
+    con = duckdb.connect()
+    con.register("raw_user", _duck_frame(u_rows, RAW_USER))
+    con.register("raw_tip", _duck_frame(tips, RAW_TIP))
+    provided = ("raw_user", "raw_tip")
+    for key, df in got.items():
+        res = con.sql(oracle.with_ctes(f"select * from {key}", (key,), provided))
+        assert _canon(df.columns, df.collect()) == _canon(res.columns, res.fetchall()), key
