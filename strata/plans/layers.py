@@ -72,6 +72,9 @@ class RunSpec:
     # ("review_week",) gives the one-directory-per-week layout.
     weekly_partition_by: tuple[str, ...] = ("review_year",)
     weekly_cluster_by: tuple[str, ...] = ("review_week", "business_id")
+    # Lookups by business (one business's history) skip row groups through
+    # these filters; the files are sorted by week, so statistics cannot.
+    weekly_bloom_filters: tuple[str, ...] = ("business_id", "business_name")
     concurrent: bool = True
     # Size the initial shuffle partition count of silver and gold from the
     # bytes of their inputs (changes a session setting, hence opt-in).
@@ -124,7 +127,10 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
         if name == "weekly_stars":
             by = spec.weekly_partition_by
             cluster = [c for c in spec.weekly_cluster_by if c not in by]
-            rows = write_partitioned(build_weekly_stars(spark, layout), layout.gold(name), by, cluster)
+            rows = write_partitioned(
+                build_weekly_stars(spark, layout), layout.gold(name), by, cluster,
+                bloom_filter_columns=spec.weekly_bloom_filters,
+            )
         else:
             rows = write_table(build_checkins_vs_stars(spark, layout), layout.gold(name))
         log.info("gold %s: %d rows", name, rows)
