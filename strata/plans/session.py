@@ -23,7 +23,8 @@ def session_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     turns a sort-merge join into a broadcast only when the measured side is
     under the threshold. The session zone is pinned to UTC so that parsed
     wall-clock times never fall into a DST gap (two distinct check-ins could
-    otherwise parse to one instant and be merged by the dedup).
+    otherwise parse to one instant and be merged by the dedup). Parquet is
+    written with zstd.
     """
     conf = {
         "spark.sql.adaptive.enabled": "true",
@@ -33,6 +34,9 @@ def session_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.session.timeZone": "UTC",
+        # About a fifth smaller than snappy on these tables at similar speed:
+        # less storage and less scan I/O in every layer.
+        "spark.sql.parquet.compression.codec": "zstd",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
