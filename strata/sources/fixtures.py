@@ -103,9 +103,9 @@ def raw_checkin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From ``events``: one row per (user, day, event-id chunk) listing those event times.
 
     ``event_id`` is unique, so a chunk of :data:`CHECKIN_CHUNK` consecutive ids
-    caps every list at that many items, however many events one user has in
+    holds at most that many event times, however many events one user has in
     one day. Some lists get a bad item, some are repeated in full (duplicate
-    check-ins).
+    check-ins), so a list has at most ``2 * CHECKIN_CHUNK + 1`` items.
     """
     ev = _table(spark, sf_dir, "events")
     u = F.col("user_id")
