@@ -1,6 +1,6 @@
 """Raw-shaped inputs derived from the driver's TPC-H-like tables.
 
-The reference reads five JSON dumps that are not shipped. These adapters
+The layers read five JSON dumps, which are not shipped here. These adapters
 rebuild their shape from the given tables, with deliberate dirt (NULLs,
 padded ids, duplicates with differing payload, out-of-range stars, dates
 that do not parse, bad list items, non-numeric counts), so that every

@@ -1,7 +1,7 @@
 """Raw newline-delimited JSON input.
 
-With no schema, Spark infers one in an extra pass over the files (what the
-reference does). At scale, pass the declared schema from :data:`RAW_SCHEMAS`:
+With no schema, Spark infers one in an extra pass over the files (the
+default). At scale, pass the declared schema from :data:`RAW_SCHEMAS`:
 the scan then reads the files once. Declared columns that are absent from a
 file come back NULL; malformed lines land in ``_corrupt_record`` either way.
 """
