@@ -21,7 +21,7 @@ import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from strata.plans.layers import Layout, RunSpec, run_layers
+from strata.plans.layers import LAYERS, Layout, RunSpec, run_layers
 from strata.plans.session import session_conf
 from strata.sources.raw import DATASETS
 
@@ -44,6 +44,7 @@ class RunConfig:
     declared_schemas: bool = True
     weekly_partition_by: tuple[str, ...] = ("review_year",)
     concurrent: bool = True
+    layers: tuple[str, ...] = LAYERS
 
     def layout(self) -> Layout:
         root = self.root
@@ -111,6 +112,9 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     p.add_argument("--infer-schemas", action="store_true", help="infer raw JSON schemas (one extra pass)")
     p.add_argument("--weekly-partition-by", help="comma-separated partition columns of weekly_stars")
     p.add_argument("--serial", action="store_true", help="run the tables of a layer one after another")
+    p.add_argument(
+        "--layers", help="comma-separated layers to run, e.g. silver,gold to resume after bronze (default: all)"
+    )
     a = p.parse_args(argv)
 
     kw = config_from_file(a.config) if a.config else {}
@@ -122,6 +126,10 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
         kw["datasets"] = tuple(d.strip() for d in a.datasets.split(",") if d.strip())
     if a.weekly_partition_by:
         kw["weekly_partition_by"] = tuple(c.strip() for c in a.weekly_partition_by.split(",") if c.strip())
+    if a.layers:
+        kw["layers"] = tuple(x.strip() for x in a.layers.split(",") if x.strip())
+        if set(kw["layers"]) - set(LAYERS):
+            p.error(f"unknown layers in {a.layers!r}; choose from {','.join(LAYERS)}")
     kw["declared_schemas"] = not a.infer_schemas
     kw["concurrent"] = not a.serial
     if "raw" not in kw:
@@ -146,7 +154,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
     try:
         log.info("run: raw=%s bronze=%s silver=%s gold=%s", layout.raw, layout.bronze(""), layout.silver(""),
                  layout.gold(""))
-        counts = run_layers(spark, layout, cfg.run_spec())
+        counts = run_layers(spark, layout, cfg.run_spec(), cfg.layers)
         for layer, per in counts.items():
             for name, n in per.items():
                 log.info("%s %s: %d rows", layer, name, n)

@@ -76,3 +76,10 @@ def test_command_line_run_matches_library_run(spark):
     cli_weekly = spark.read.parquet(f"{root}/cli/gold/weekly_stars")
     lib_weekly = spark.read.parquet(f"{root}/lib/gold/weekly_stars")
     assert cli_weekly.exceptAll(lib_weekly).count() == 0 and lib_weekly.exceptAll(cli_weekly).count() == 0
+
+
+def test_layers_flag():
+    cfg = parse_args(["--raw", "r", "--root", "o", "--layers", "silver,gold"])
+    assert cfg.layers == ("silver", "gold")
+    with pytest.raises(SystemExit):
+        parse_args(["--raw", "r", "--root", "o", "--layers", "platinum"])

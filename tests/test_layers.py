@@ -75,3 +75,14 @@ def test_declared_schema_matches_inferred(spark, layout):
         b = spark.read.parquet(inferred.silver(name))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
         assert counts["silver"][name] == a.count()
+
+
+def test_resume_from_silver_gives_the_same_gold(spark, layout):
+    lay, counts = layout
+    resumed = Layout(root=scratch_path(spark, "test-resume"), raw=lay.raw, bronze_root=f"{lay.root}/bronze")
+    again = run_layers(spark, resumed, RunSpec(declared_schemas=True), layers=("silver", "gold"))
+    assert set(again) == {"silver", "gold"}
+    assert again["silver"] == counts["silver"] and again["gold"] == counts["gold"]
+    for g in ("weekly_stars", "checkins_vs_stars"):
+        a, b = spark.read.parquet(lay.gold(g)), spark.read.parquet(resumed.gold(g))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
