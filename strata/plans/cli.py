@@ -167,5 +167,11 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
         spark.stop()
 
 
+def console(argv: Sequence[str] | None = None) -> int:
+    """Installed ``strata`` command: exit status 0 on success (errors raise)."""
+    main(argv)
+    return 0
+
+
 if __name__ == "__main__":  # pragma: no cover
     main(sys.argv[1:])
