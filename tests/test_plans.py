@@ -27,11 +27,27 @@ def bronze(spark):
 def test_dedup_folds_before_the_shuffle(spark, bronze):
     df = clean(spark.read.parquet(f"{bronze}/bronze/review"), SPECS["review"])
     p = plan(df)
-    # A partial aggregate sits below the one exchange: a hot key is cut before shuffling.
+    # A partial top-1 per key sits below the one exchange: a hot key is cut before shuffling.
     exch = p.index("Exchange hashpartitioning(review_id")
-    assert "partial_min" in p[exch:]
+    below = p[exch:]
+    assert "WindowGroupLimit [review_id" in below and "Partial" in below
     assert p.count("Exchange") == 1
-    assert "Window" not in p
+
+
+def test_dedup_without_window_group_limit_aggregates_partially(spark, bronze):
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    bronze_review = spark.read.parquet(f"{bronze}/bronze/review")
+    by_window = clean(bronze_review, SPECS["review"]).collect()
+    spark.conf.set(key, "-1")
+    try:
+        df = clean(bronze_review, SPECS["review"])
+        p = plan(df)
+        exch = p.index("Exchange hashpartitioning(review_id")
+        assert "partial_min" in p[exch:] and "Window" not in p
+        # Same survivors either way.
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, by_window))
+    finally:
+        spark.conf.unset(key)
 
 
 def test_range_filter_pushed_and_columns_pruned(spark, bronze):
