@@ -134,6 +134,8 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     kw["concurrent"] = not a.serial
     if "raw" not in kw:
         p.error("the raw folder is required (--raw or paths.raw in --config)")
+    if "root" not in kw and not all(kw.get(k) for k in ("bronze", "silver", "gold")):
+        p.error("give --root, or all of --bronze, --silver and --gold (or paths.* in --config)")
     unknown = set(kw.get("datasets", ())) - set(DATASETS)
     if unknown:
         p.error(f"unknown datasets: {sorted(unknown)}")

@@ -83,3 +83,10 @@ def test_layers_flag():
     assert cfg.layers == ("silver", "gold")
     with pytest.raises(SystemExit):
         parse_args(["--raw", "r", "--root", "o", "--layers", "platinum"])
+
+
+def test_output_folders_required():
+    with pytest.raises(SystemExit):
+        parse_args(["--raw", "r", "--bronze", "b"])
+    cfg = parse_args(["--raw", "r", "--bronze", "x/b", "--silver", "y/s", "--gold", "z/g"])
+    assert cfg.layout().gold("checkins_vs_stars") == "z/g/checkins_vs_stars"
