@@ -112,6 +112,10 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     p.add_argument("--infer-schemas", action="store_true", help="infer raw JSON schemas (one extra pass)")
     p.add_argument("--weekly-partition-by", help="comma-separated partition columns of weekly_stars")
     p.add_argument("--serial", action="store_true", help="run the tables of a layer one after another")
+    p.add_argument(
+        "--conf", action="append", default=[], metavar="KEY=VALUE",
+        help="extra Spark setting, repeatable (the web UI is off unless spark.ui.enabled=true is given)",
+    )
     p.add_argument(
         "--layers", help="comma-separated layers to run, e.g. silver,gold to resume after bronze (default: all)"
     )
@@ -130,6 +134,13 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
         kw["layers"] = tuple(x.strip() for x in a.layers.split(",") if x.strip())
         if set(kw["layers"]) - set(LAYERS):
             p.error(f"unknown layers in {a.layers!r}; choose from {','.join(LAYERS)}")
+    extra = {}
+    for item in a.conf:
+        if "=" not in item:
+            p.error(f"--conf needs KEY=VALUE, got {item!r}")
+        k, v = item.split("=", 1)
+        extra[k.strip()] = v.strip()
+    kw["spark_conf"] = {"spark.ui.enabled": "false", **kw.get("spark_conf", {}), **extra}
     kw["declared_schemas"] = not a.infer_schemas
     kw["concurrent"] = not a.serial
     if "raw" not in kw:

@@ -42,7 +42,9 @@ def test_config_file_sets_paths_and_settings(tmp_path):
     assert lay.silver("business") == "data/silver/business"
     assert lay.gold("weekly_stars") == "data/gold/weekly_stars"
     assert cfg.shuffle_partitions == 64 and cfg.app_name == "reviews"
-    assert cfg.spark_conf == {"spark.driver.memory": "8g", "spark.executor.memory": "4g"}
+    assert cfg.spark_conf == {
+        "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.executor.memory": "4g"
+    }
     assert cfg.datasets == ("business", "review")
     # The master is never taken from the file.
     assert not any("master" in k for k in cfg.spark_conf)
@@ -90,3 +92,13 @@ def test_output_folders_required():
         parse_args(["--raw", "r", "--bronze", "b"])
     cfg = parse_args(["--raw", "r", "--bronze", "x/b", "--silver", "y/s", "--gold", "z/g"])
     assert cfg.layout().gold("checkins_vs_stars") == "z/g/checkins_vs_stars"
+
+
+def test_extra_spark_settings():
+    cfg = parse_args(["--raw", "r", "--root", "o", "--conf", "spark.sql.shuffle.partitions=7",
+                      "--conf", "spark.ui.enabled=true"])
+    assert cfg.spark_conf["spark.sql.shuffle.partitions"] == "7"
+    assert cfg.spark_conf["spark.ui.enabled"] == "true"
+    assert parse_args(["--raw", "r", "--root", "o"]).spark_conf["spark.ui.enabled"] == "false"
+    with pytest.raises(SystemExit):
+        parse_args(["--raw", "r", "--root", "o", "--conf", "novalue"])
