@@ -80,6 +80,9 @@ class TableSpec:
     ranges: tuple[Between, ...] = ()
     dedup: Dedup | None = None
     explode: Explode | None = None
+    # Required text columns that are '' after trimming pass by default (as
+    # NULL checks alone allow); True rejects them too.
+    reject_blank: bool = False
     notes: str = field(default="", compare=False)
 
     @property
@@ -119,6 +122,9 @@ def explode_list(df: DataFrame, rule: Explode, keep: list[str]) -> DataFrame:
 
 def row_filter(spec: TableSpec) -> Column | None:
     conds: list[Column] = [F.col(c).isNotNull() for c in spec.required]
+    if spec.reject_blank:
+        text = {f.name for f in spec.fields if f.type == "string"}
+        conds += [F.col(c) != "" for c in spec.required if c in text]
     conds += [F.col(r.column).between(r.low, r.high) for r in spec.ranges]
     if not conds:
         return None

@@ -44,6 +44,17 @@ def test_blank_id_passes(spark):
     assert [r.business_id for r in silver.clean_business(raw).collect()] == [""]
 
 
+def test_blank_ids_rejected_on_request(spark):
+    import dataclasses
+
+    from strata.operators.rules import clean
+
+    raw = business_rows(spark, [("   ", "n", 1.0), ("b1", "  ", 2.0), ("b2", "m", 3.0)])
+    strict = dataclasses.replace(silver.BUSINESS, reject_blank=True)
+    assert [r.business_id for r in clean(raw, strict).collect()] == ["b2"]
+    assert len(silver.clean_business(raw).collect()) == 3  # parity default keeps all three
+
+
 def test_review_keeps_undated_rows(spark):
     raw = spark.createDataFrame(
         [("r1", "u", "b", 3.0, 1, 0, None, "bad", "t"), ("r2", "u", "b", 4.0, 2, 1, 1, "2018-07-07 10:00:00", "t")],
