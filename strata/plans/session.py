@@ -104,6 +104,10 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
         spark.conf.set(k, v)
 
 
+# Local-mode fallback folders, one per session, so repeated calls agree.
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
@@ -126,9 +130,15 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set: name a folder on shared storage "
                 "(HDFS, object store) for intermediate tables"
             )
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        root = _LOCAL_ROOTS.get(id(spark))
+        if root is None:
+            root = tempfile.mkdtemp(prefix="strata-ckpt-")
+            try:
+                spark.sparkContext.setCheckpointDir(root)
+                root = spark.sparkContext.getCheckpointDir() or root
+            except Exception:  # Spark Connect: remembered here instead
+                pass
+            _LOCAL_ROOTS[id(spark)] = root
     return root.rstrip("/")
 
 

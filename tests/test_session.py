@@ -69,3 +69,16 @@ def test_input_bytes_and_sizing(spark):
         assert spark.conf.get(key) == str(n)
     finally:
         spark.conf.unset(key)
+
+
+def test_local_fallback_is_stable_without_a_spark_context():
+    class _NoCtx:
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no SparkContext here")
+
+        conf = _Conf({"spark.master": "local[4]"})
+
+    s = _NoCtx()
+    first = S.checkpoint_root(s)
+    assert first == S.checkpoint_root(s)
