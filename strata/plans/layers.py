@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators import gold
 from strata.operators.silver import SPECS
 from strata.operators.rules import clean
-from strata.plans.session import size_shuffles
+from strata.plans.session import session_setting, size_shuffles
 from strata.sources.bronze import load_to_bronze
 from strata.sources.raw import DATASETS, RAW_FILE, RAW_SCHEMAS, raw_path
 from strata.sources.sinks import write_partitioned, write_table
@@ -76,6 +76,12 @@ class RunSpec:
     # these filters; the files are sorted by week, so statistics cannot.
     weekly_bloom_filters: tuple[str, ...] = ("business_id", "business_name")
     concurrent: bool = True
+    # Bytes of raw JSON per bronze task (and so per bronze file) while the
+    # bronze layer runs. JSON shrinks several times as Parquet, so 512 MiB of
+    # text gives files near 100 MiB instead of many small ones; Spark still
+    # splits small inputs finer to keep every core busy. None leaves the
+    # session's spark.sql.files.maxPartitionBytes alone.
+    raw_split_bytes: int | None = 512 * 1024 * 1024
     # Size the initial shuffle partition count of silver and gold from the
     # bytes of their inputs (changes a session setting, hence opt-in).
     size_shuffles: bool = False
@@ -94,7 +100,9 @@ def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
         schema = RAW_SCHEMAS.get(name) if spec.declared_schemas else None
         return load_to_bronze(spark, layout.raw_file(name), layout.bronze(name), schema)
 
-    return _each(one, list(spec.datasets), spec.concurrent)
+    split = None if spec.raw_split_bytes is None else str(spec.raw_split_bytes)
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", split):
+        return _each(one, list(spec.datasets), spec.concurrent)
 
 
 def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:

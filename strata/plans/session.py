@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -99,6 +101,26 @@ def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
     return n
 
 
+@contextmanager
+def session_setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
+    """Set one runtime setting for the duration of a block, then restore it.
+
+    ``value=None`` leaves the setting alone.
+    """
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
     for k, v in conf.items():
         spark.conf.set(k, v)

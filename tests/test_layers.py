@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from strata.plans.layers import Layout, RunSpec, layer_counts, run_layers
+from strata.plans.layers import Layout, RunSpec, layer_counts, run_bronze, run_layers
 from strata.plans.session import scratch_path
 from strata.registry import write_raw_files
 
@@ -86,3 +86,23 @@ def test_resume_from_silver_gives_the_same_gold(spark, layout):
     for g in ("weekly_stars", "checkins_vs_stars"):
         a, b = spark.read.parquet(lay.gold(g)), spark.read.parquet(resumed.gold(g))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_raw_split_size_applies_to_bronze_only(spark, layout):
+    import os
+
+    lay, _ = layout
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+
+    def files(root):
+        d = Layout(root=root, raw=lay.raw).bronze("review").removeprefix("file:")
+        return len([f for f in os.listdir(d) if f.endswith(".parquet")])
+
+    small = scratch_path(spark, "test-split-small")
+    run_bronze(spark, Layout(root=small, raw=lay.raw), RunSpec(datasets=("review",), raw_split_bytes=64 * 1024))
+    assert spark.conf.get(key) == before  # restored
+    default = scratch_path(spark, "test-split-default")
+    run_bronze(spark, Layout(root=default, raw=lay.raw), RunSpec(datasets=("review",)))
+    assert spark.conf.get(key) == before
+    assert files(small) > files(default)
