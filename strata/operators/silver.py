@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from strata.operators.rules import Between, Dedup, Explode, Field, TableSpec, clean
 
+# Fixed value: the accepted star range, inclusive at both ends.
 STARS = Between("stars", 0, 5)
 
 BUSINESS = TableSpec(

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-CORRUPT = "_corrupt_record"
-
-# Default file name of each dataset in the raw folder (the public Yelp dump's names).
+# ---------------------------------------------------------------------------
+# The raw dumps' file names (the public dataset's naming) and
+# the datasets in load order.
+# ---------------------------------------------------------------------------
 RAW_FILE = "yelp_academic_dataset_{name}.json"
-
 DATASETS = ("business", "review", "user", "checkin", "tip")
 
+CORRUPT = "_corrupt_record"
+
 # Declared raw schemas. Only the columns the silver layer reads are listed;
 # string is always a safe declaration (silver casts tolerantly), which is why
 # the tip's compliment_count, which arrives as text in some dumps, is string.
