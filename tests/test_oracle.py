@@ -48,3 +48,16 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert 0 < len(rows) <= 10
     assert df.columns == ["business_id", "business_name", "city", "state", "avg_stars_1998", "total_reviews"]
+
+
+@pytest.mark.parametrize("key", ["scalar_cast", "scalar_parse_ts", "silver_review", "silver_tip", "checkins_vs_stars"])
+def test_same_results_with_ansi_off(spark, duck, key):
+    """Tolerant conversions go through try_*, so a non-ANSI caller session gets the same rows."""
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = E.queries()[key](spark, SMALL)
+        s_cols, s_rows = _canon(df.columns, df.collect())
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    res = duck.sql(E.oracle_sql()[key])
+    assert (s_cols, s_rows) == _canon(res.columns, res.fetchall())
