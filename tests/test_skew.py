@@ -112,3 +112,25 @@ def test_hot_partition_value_spread_over_writers(spark):
     files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
     assert len(files) > 1  # split over several writing tasks
     assert spark.read.parquet(path).filter("review_year = 2020").count() == ROWS // 3
+
+
+def test_one_big_raw_file_is_read_by_many_tasks(spark):
+    """A single JSON dump holding every row is split by byte ranges, not read by one task."""
+    from strata.plans.layers import Layout, RunSpec, run_bronze
+    from strata.plans.session import scratch_path
+    from strata.sources.raw import RAW_SCHEMAS, read_raw
+
+    root = scratch_path(spark, "test-big-file")
+    i = F.col("id")
+    spark.range(200_000, numPartitions=1).select(
+        i.cast("string").alias("review_id"), F.lit("u").alias("user_id"), F.lit("b").alias("business_id"),
+        (i % 5).cast("double").alias("stars"), F.lit("2019-01-01 10:00:00").alias("date"),
+        F.concat(F.lit("text "), i.cast("string")).alias("text"),
+    ).coalesce(1).write.json(f"{root}/raw/yelp_academic_dataset_review.json")
+    lay = Layout(root=root, raw=f"{root}/raw")
+    df = read_raw(spark, lay.raw_file("review"), RAW_SCHEMAS["review"])
+    assert df.rdd.getNumPartitions() >= 4
+    # Every row lands once, however the file was cut.
+    counts = run_bronze(spark, lay, RunSpec(datasets=("review",), raw_split_bytes=1024 * 1024))
+    assert counts == {"review": 200_000}
+    assert spark.read.parquet(lay.bronze("review")).select("review_id").distinct().count() == 200_000
