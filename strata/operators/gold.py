@@ -45,14 +45,20 @@ CHECKINS_VS_STARS_COLUMNS = (
 )
 
 
-def weekly_agg(reviews: DataFrame) -> DataFrame:
+def weekly_agg(reviews: DataFrame, count_column: str | None = "review_id") -> DataFrame:
     """Reviews per (business, calendar year, ISO week number, week start).
 
     ``review_week`` is part of the key on purpose: the week holding 1 January
     splits over two calendar years, and (year, week number) alone can name
     two different weeks. Undated reviews form one NULL-keyed group per
     business.
+
+    ``review_count_weekly`` counts non-NULL ``count_column`` values;
+    ``count_column=None`` counts rows. For silver reviews, whose review_id is
+    required, the two agree, and counting rows spares the scan the id column
+    (a third of the bytes the aggregate reads).
     """
+    counted = F.count(F.lit(1)) if count_column is None else F.count(count_column)
     d = F.col("review_date")
     return reviews.groupBy(
         "business_id",
@@ -61,22 +67,22 @@ def weekly_agg(reviews: DataFrame) -> DataFrame:
         S.week_start(d).alias("review_week"),
     ).agg(
         S.round2(F.avg("stars")).alias("avg_stars_weekly"),
-        F.count("review_id").alias("review_count_weekly"),
+        counted.alias("review_count_weekly"),
         S.round2(F.avg("useful")).alias("avg_useful"),
         S.round2(F.avg("funny")).alias("avg_funny"),
         S.round2(F.avg("cool")).alias("avg_cool"),
     )
 
 
-def weekly_stars(reviews: DataFrame, business: DataFrame) -> DataFrame:
+def weekly_stars(reviews: DataFrame, business: DataFrame, count_column: str | None = "review_id") -> DataFrame:
     """Every silver business with its weekly review figures.
 
     LEFT join: a business without reviews keeps one row with the sentinel
     keys (9999-01-01, 9999, 0) and zero metrics; aggregates of businesses
     missing from silver are dropped. Undated reviews get the same sentinel
-    keys but a non-zero count.
+    keys but a non-zero count. ``count_column`` as in :func:`weekly_agg`.
     """
-    w = weekly_agg(reviews)
+    w = weekly_agg(reviews, count_column)
     zero = F.lit(0)
     return business.join(w, "business_id", "left").select(
         "business_id",
