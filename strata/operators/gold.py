@@ -106,18 +106,25 @@ def sort_weekly(weekly: DataFrame) -> DataFrame:
     return weekly.orderBy(*WEEK_KEYS)
 
 
-def checkin_counts(checkins: DataFrame) -> DataFrame:
-    """Check-ins per business (non-NULL timestamps)."""
-    return checkins.groupBy("business_id").agg(F.count("checkin_timestamp").alias("total_checkins"))
+def checkin_counts(checkins: DataFrame, count_column: str | None = "checkin_timestamp") -> DataFrame:
+    """Check-ins per business: non-NULL ``count_column`` values, or rows when None.
+
+    Silver check-ins always have a timestamp (a required field), so for them
+    both counts agree and counting rows reads only ``business_id``.
+    """
+    counted = F.count(F.lit(1)) if count_column is None else F.count(count_column)
+    return checkins.groupBy("business_id").agg(counted.alias("total_checkins"))
 
 
-def checkins_vs_stars(checkins: DataFrame, business: DataFrame) -> DataFrame:
+def checkins_vs_stars(
+    checkins: DataFrame, business: DataFrame, count_column: str | None = "checkin_timestamp"
+) -> DataFrame:
     """One row per silver business: check-ins, check-ins per review, star bucket.
 
     ``review_count`` is the business record's own field. The ratio is NULL
-    when it is 0 or NULL.
+    when it is 0 or NULL. ``count_column`` as in :func:`checkin_counts`.
     """
-    counts = checkin_counts(checkins)
+    counts = checkin_counts(checkins, count_column)
     return (
         business.join(counts, "business_id", "left")
         .select(

@@ -128,8 +128,10 @@ def build_weekly_stars(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def build_checkins_vs_stars(spark: SparkSession, layout: Layout) -> DataFrame:
+    # Silver check-ins always have a timestamp: count rows, read business_id only.
     return gold.checkins_vs_stars(
-        spark.read.parquet(layout.silver("checkin")), spark.read.parquet(layout.silver("business"))
+        spark.read.parquet(layout.silver("checkin")), spark.read.parquet(layout.silver("business")),
+        count_column=None,
     )
 
 

@@ -1,5 +1,7 @@
 """Physical plan shapes that the design relies on."""
 
+import re
+
 import pytest
 
 from conftest import SMALL
@@ -165,3 +167,15 @@ def test_row_count_spares_the_id_column(spark, bronze):
     # Silver review ids are never NULL, so both counts agree row for row.
     by_ids = gold.weekly_stars(reviews, business)
     assert by_rows.exceptAll(by_ids).count() == 0 and by_ids.exceptAll(by_rows).count() == 0
+
+
+def test_checkin_row_count_reads_business_id_only(spark, bronze):
+    checkins = spark.read.parquet(f"{bronze}/silver/checkin")
+    business = spark.read.parquet(f"{bronze}/silver/business")
+    by_rows = gold.checkins_vs_stars(checkins, business, count_column=None)
+    scans = [ln for ln in plan(by_rows).splitlines() if "FileScan parquet" in ln]
+    # The check-in scan reads one column; the business scan reads its six.
+    assert any(re.search(r"FileScan parquet \[business_id#\d+\] ", ln) for ln in scans)
+    assert not any("checkin_timestamp" in ln for ln in scans)
+    by_ts = gold.checkins_vs_stars(checkins, business)
+    assert by_rows.exceptAll(by_ts).count() == 0 and by_ts.exceptAll(by_rows).count() == 0
