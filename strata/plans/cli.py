@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 
 from strata.plans.layers import LAYERS, Layout, RunSpec, run_layers
 from strata.plans.session import session_conf
-from strata.sources.raw import DATASETS
+from strata.sources.raw import DATASETS, RAW_FILE
 
 log = logging.getLogger("strata")
 
@@ -37,6 +37,7 @@ class RunConfig:
     bronze: str | None = None
     silver: str | None = None
     gold: str | None = None
+    raw_pattern: str = RAW_FILE
     app_name: str = "strata"
     shuffle_partitions: int | None = None
     spark_conf: dict[str, str] = field(default_factory=dict)
@@ -55,6 +56,7 @@ class RunConfig:
         return Layout(
             root=root.rstrip("/"),
             raw=self.raw,
+            raw_pattern=self.raw_pattern,
             bronze_root=self.bronze,
             silver_root=self.silver,
             gold_root=self.gold,
@@ -87,7 +89,7 @@ def config_from_file(path: str) -> dict:
     doc = _load_file(path)
     paths = doc.get("paths", {})
     spark = doc.get("spark", {})
-    out: dict = {k: paths[k] for k in ("raw", "bronze", "silver", "gold", "root") if k in paths}
+    out: dict = {k: paths[k] for k in ("raw", "bronze", "silver", "gold", "root", "raw_pattern") if k in paths}
     if "app_name" in spark:
         out["app_name"] = spark["app_name"]
     if "shuffle_partitions" in spark:
@@ -102,6 +104,9 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     p = argparse.ArgumentParser(prog="strata", description="raw JSON -> bronze -> silver -> gold Parquet")
     p.add_argument("--config", help="YAML or JSON file with paths, spark and datasets sections")
     p.add_argument("--raw", help="folder holding the raw JSON dumps")
+    p.add_argument(
+        "--raw-pattern", help=f"file name of each dump, with {{name}} for the dataset (default {RAW_FILE})"
+    )
     p.add_argument("--root", help="output root; layers go to <root>/{bronze,silver,gold}")
     p.add_argument("--bronze", help="bronze folder (overrides <root>/bronze)")
     p.add_argument("--silver", help="silver folder (overrides <root>/silver)")
@@ -122,7 +127,7 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     a = p.parse_args(argv)
 
     kw = config_from_file(a.config) if a.config else {}
-    for name in ("raw", "root", "bronze", "silver", "gold", "app_name", "shuffle_partitions"):
+    for name in ("raw", "raw_pattern", "root", "bronze", "silver", "gold", "app_name", "shuffle_partitions"):
         v = getattr(a, name)
         if v is not None:
             kw[name] = v
@@ -145,6 +150,8 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     kw["concurrent"] = not a.serial
     if "raw" not in kw:
         p.error("the raw folder is required (--raw or paths.raw in --config)")
+    if "{name}" not in kw.get("raw_pattern", RAW_FILE):
+        p.error("--raw-pattern must contain {name}")
     if "root" not in kw and not all(kw.get(k) for k in ("bronze", "silver", "gold")):
         p.error("give --root, or all of --bronze, --silver and --gold (or paths.* in --config)")
     unknown = set(kw.get("datasets", ())) - set(DATASETS)

@@ -102,3 +102,10 @@ def test_extra_spark_settings():
     assert parse_args(["--raw", "r", "--root", "o"]).spark_conf["spark.ui.enabled"] == "false"
     with pytest.raises(SystemExit):
         parse_args(["--raw", "r", "--root", "o", "--conf", "novalue"])
+
+
+def test_raw_pattern():
+    cfg = parse_args(["--raw", "in", "--root", "o", "--raw-pattern", "{name}.ndjson"])
+    assert cfg.layout().raw_file("tip") == "in/tip.ndjson"
+    with pytest.raises(SystemExit):
+        parse_args(["--raw", "in", "--root", "o", "--raw-pattern", "fixed.json"])
