@@ -1,3 +1,4 @@
+import os
 import sys
 import tempfile
 from pathlib import Path
@@ -8,6 +9,9 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 SMALL = "/root/testdata/sf0.001"
+# Tables the oracle comparison runs on; STRATA_ORACLE_SF=/root/testdata/sf0.01
+# repeats the driver's larger check.
+ORACLE_DIR = os.environ.get("STRATA_ORACLE_SF", SMALL)
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -39,7 +43,7 @@ def duck():
 
     con = duckdb.connect()
     for t in TABLES:
-        p = Path(SMALL) / f"{t}.parquet"
+        p = Path(ORACLE_DIR) / f"{t}.parquet"
         if p.exists():
             con.execute(f"create view {t} as select * from read_parquet('{p}')")
     return con

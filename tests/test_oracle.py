@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on the smallest tables."""
+"""Every registered query against its DuckDB oracle (smallest tables unless STRATA_ORACLE_SF is set)."""
 
 import datetime as dt
 import decimal
@@ -7,7 +7,7 @@ import math
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL
+from conftest import ORACLE_DIR
 
 
 def _norm(v):
@@ -34,7 +34,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_matches_oracle(spark, duck, key):
-    df = E.queries()[key](spark, SMALL)
+    df = E.queries()[key](spark, ORACLE_DIR)
     s_cols, s_rows = _canon(df.columns, df.collect())
     res = duck.sql(E.oracle_sql()[key])
     o_cols, o_rows = _canon(res.columns, res.fetchall())
@@ -55,7 +55,7 @@ def test_same_results_with_ansi_off(spark, duck, key):
     """Tolerant conversions go through try_*, so a non-ANSI caller session gets the same rows."""
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        df = E.queries()[key](spark, SMALL)
+        df = E.queries()[key](spark, ORACLE_DIR)
         s_cols, s_rows = _canon(df.columns, df.collect())
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
