@@ -141,3 +141,8 @@ def test_written_gold_equals_oracle(spark, layout):
     cvs = spark.read.parquet(lay.gold("checkins_vs_stars"))
     want = duck.sql(oracle.with_ctes("select * from checkins_vs_stars", ("checkins_vs_stars",)))
     assert canon(cvs.columns, cvs.collect()) == canon(want.columns, want.fetchall())
+    # Silver as written, after the raw JSON round trip and bronze.
+    for name in ("business", "review", "checkin", "user", "tip"):
+        got = spark.read.parquet(lay.silver(name))
+        want = duck.sql(oracle.with_ctes(f"select * from silver_{name}", (f"silver_{name}",)))
+        assert canon(got.columns, got.collect()) == canon(want.columns, want.fetchall()), name
