@@ -87,6 +87,25 @@ class RunSpec:
     size_shuffles: bool = False
 
 
+def _labelled(spark: SparkSession, layer: str, fn):
+    """``fn`` with its Spark jobs described as "strata <layer> <table>" (thread-local)."""
+
+    def run(item: str):
+        try:
+            spark.sparkContext.setJobDescription(f"strata {layer} {item}")
+        except Exception:  # Spark Connect: no SparkContext; jobs stay unlabelled
+            pass
+        try:
+            return fn(item)
+        finally:
+            try:
+                spark.sparkContext.setJobDescription(None)
+            except Exception:
+                pass
+
+    return run
+
+
 def _each(fn, items, concurrent: bool) -> dict:
     if not concurrent or len(items) < 2:
         return {i: fn(i) for i in items}
@@ -102,7 +121,7 @@ def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
 
     split = None if spec.raw_split_bytes is None else str(spec.raw_split_bytes)
     with session_setting(spark, "spark.sql.files.maxPartitionBytes", split):
-        return _each(one, list(spec.datasets), spec.concurrent)
+        return _each(_labelled(spark, "bronze", one), list(spec.datasets), spec.concurrent)
 
 
 def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
@@ -115,7 +134,7 @@ def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
     if spec.size_shuffles:
         n = size_shuffles(spark, [layout.bronze(d) for d in spec.datasets])
         log.info("silver: %s initial shuffle partitions", n)
-    return _each(one, list(spec.datasets), spec.concurrent)
+    return _each(_labelled(spark, "silver", one), list(spec.datasets), spec.concurrent)
 
 
 def build_weekly_stars(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -154,7 +173,7 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
         inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
         n = size_shuffles(spark, [layout.silver(d) for d in inputs])
         log.info("gold: %s initial shuffle partitions", n)
-    return _each(one, tables, spec.concurrent)
+    return _each(_labelled(spark, "gold", one), tables, spec.concurrent)
 
 
 LAYERS = ("bronze", "silver", "gold")

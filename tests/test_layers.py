@@ -146,3 +146,12 @@ def test_written_gold_equals_oracle(spark, layout):
         got = spark.read.parquet(lay.silver(name))
         want = duck.sql(oracle.with_ctes(f"select * from silver_{name}", (f"silver_{name}",)))
         assert canon(got.columns, got.collect()) == canon(want.columns, want.fetchall()), name
+
+
+def test_jobs_are_labelled_per_table(spark):
+    from strata.plans.layers import _labelled
+
+    sc = spark.sparkContext
+    seen = _labelled(spark, "silver", lambda item: sc.getLocalProperty("spark.job.description"))("review")
+    assert seen == "strata silver review"
+    assert sc.getLocalProperty("spark.job.description") is None
