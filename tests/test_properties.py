@@ -158,3 +158,19 @@ def test_user_and_tip_match_oracle(spark, users, tips):
     for key, df in got.items():
         res = con.sql(oracle.with_ctes(f"select * from {key}", (key,), provided))
         assert _canon(df.columns, df.collect()) == _canon(res.columns, res.fetchall()), key
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(reviews=review_rows)
+def test_both_dedup_plans_pick_the_same_survivor(spark, reviews):
+    from strata.operators.rules import Dedup, deduplicate, project
+
+    typed = project(spark.createDataFrame(reviews, RAW_REVIEW), silver.REVIEW).filter("review_id is not null")
+    by_window = _canon(typed.columns, deduplicate(typed, Dedup(("review_id",))).collect())
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        by_min = _canon(typed.columns, deduplicate(typed, Dedup(("review_id",))).collect())
+    finally:
+        spark.conf.unset(key)
+    assert by_window == by_min
