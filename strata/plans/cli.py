@@ -18,7 +18,7 @@ import argparse
 import json
 import logging
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from strata.plans.layers import LAYERS, Layout, RunSpec, run_layers
@@ -28,6 +28,8 @@ from strata.sources.raw import DATASETS, RAW_FILE
 log = logging.getLogger("strata")
 
 _MEMORY_KEYS = {"driver_memory": "spark.driver.memory", "executor_memory": "spark.executor.memory"}
+_SHUFFLE_KEYS = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+_SPLIT_KEY = "spark.sql.files.maxPartitionBytes"
 
 
 @dataclass
@@ -38,7 +40,7 @@ class RunConfig:
     silver: str | None = None
     gold: str | None = None
     raw_pattern: str = RAW_FILE
-    app_name: str = "strata"
+    app_name: str | None = None
     shuffle_partitions: int | None = None
     spark_conf: dict[str, str] = field(default_factory=dict)
     datasets: tuple[str, ...] = DATASETS
@@ -62,13 +64,28 @@ class RunConfig:
             gold_root=self.gold,
         )
 
-    def run_spec(self) -> RunSpec:
+    def explicit_conf(self) -> dict[str, str]:
+        """Settings the user asked for: ``--conf``, config-file memory, ``--shuffle-partitions``."""
+        out = dict(self.spark_conf)
+        if self.shuffle_partitions is not None:
+            out["spark.sql.shuffle.partitions"] = str(self.shuffle_partitions)
+        return out
+
+    def run_spec(self, configured: Callable[[str], bool] = lambda key: False) -> RunSpec:
+        """The run's spec. ``configured(key)`` tells whether the user set a Spark setting
+        (here or through spark-submit); sizing never overrides such a setting."""
+        explicit = self.explicit_conf()
+
+        def chosen(key: str) -> bool:
+            return key in explicit or configured(key)
+
         return RunSpec(
             datasets=self.datasets,
             declared_schemas=self.declared_schemas,
             weekly_partition_by=self.weekly_partition_by,
             concurrent=self.concurrent,
-            size_shuffles=self.shuffle_partitions is None,
+            size_shuffles=not any(chosen(k) for k in _SHUFFLE_KEYS),
+            raw_split_bytes=None if chosen(_SPLIT_KEY) else RunSpec.raw_split_bytes,
         )
 
 
@@ -84,11 +101,20 @@ def _load_file(path: str) -> dict:
     return json.loads(text)
 
 
+def _section(doc: dict, name: str) -> dict:
+    value = doc.get(name) or {}
+    if not isinstance(value, dict):
+        raise ValueError(f"config section {name!r} must be a mapping")
+    return value
+
+
 def config_from_file(path: str) -> dict:
     """Flatten a config file into :class:`RunConfig` keyword arguments."""
     doc = _load_file(path)
-    paths = doc.get("paths", {})
-    spark = doc.get("spark", {})
+    if not isinstance(doc, dict):
+        raise ValueError("a config file holds a mapping with paths, spark and datasets sections")
+    paths = _section(doc, "paths")
+    spark = _section(doc, "spark")
     out: dict = {k: paths[k] for k in ("raw", "bronze", "silver", "gold", "root", "raw_pattern") if k in paths}
     if "app_name" in spark:
         out["app_name"] = spark["app_name"]
@@ -126,7 +152,10 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     )
     a = p.parse_args(argv)
 
-    kw = config_from_file(a.config) if a.config else {}
+    try:
+        kw = config_from_file(a.config) if a.config else {}
+    except (OSError, ValueError) as e:
+        p.error(f"cannot use config {a.config}: {e}")
     for name in ("raw", "raw_pattern", "root", "bronze", "silver", "gold", "app_name", "shuffle_partitions"):
         v = getattr(a, name)
         if v is not None:
@@ -145,7 +174,7 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
             p.error(f"--conf needs KEY=VALUE, got {item!r}")
         k, v = item.split("=", 1)
         extra[k.strip()] = v.strip()
-    kw["spark_conf"] = {"spark.ui.enabled": "false", **kw.get("spark_conf", {}), **extra}
+    kw["spark_conf"] = {**kw.get("spark_conf", {}), **extra}
     kw["declared_schemas"] = not a.infer_schemas
     kw["concurrent"] = not a.serial
     if "raw" not in kw:
@@ -157,24 +186,45 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     unknown = set(kw.get("datasets", ())) - set(DATASETS)
     if unknown:
         p.error(f"unknown datasets: {sorted(unknown)}")
+    if len(set(kw.get("datasets", ()))) != len(kw.get("datasets", ())):
+        p.error("each dataset may be named once")
     return RunConfig(**kw)
 
 
-def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
+# Applied only where neither spark-submit, the defaults file nor --conf set a value.
+DEFAULT_CONF = {**session_conf(), "spark.ui.enabled": "false"}
+
+
+def build_session(cfg: RunConfig):
+    """The run's session. Precedence: --conf and other explicit flags, then whatever
+    spark-submit or the defaults file set, then :data:`DEFAULT_CONF`."""
+    from pyspark import SparkConf, SparkContext
     from pyspark.sql import SparkSession
 
+    SparkContext._ensure_initialized()  # so SparkConf sees spark-submit's settings
+    preset = SparkConf()
+    explicit = cfg.explicit_conf()
+    builder = SparkSession.builder
+    launcher_name = preset.get("spark.app.name", None)
+    if cfg.app_name or launcher_name in (None, "pyspark-shell"):
+        builder = builder.appName(cfg.app_name or "strata")
+    for k, v in DEFAULT_CONF.items():
+        if k not in explicit and not preset.contains(k):
+            builder = builder.config(k, v)
+    for k, v in explicit.items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate(), preset.contains
+
+
+def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     cfg = parse_args(argv)
     layout = cfg.layout()
-    builder = SparkSession.builder.appName(cfg.app_name)
-    conf = {**session_conf(cfg.shuffle_partitions), **cfg.spark_conf}
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    spark, preset = build_session(cfg)
     try:
         log.info("run: raw=%s bronze=%s silver=%s gold=%s", layout.raw, layout.bronze(""), layout.silver(""),
                  layout.gold(""))
-        counts = run_layers(spark, layout, cfg.run_spec(), cfg.layers)
+        counts = run_layers(spark, layout, cfg.run_spec(preset), cfg.layers)
         for layer, per in counts.items():
             for name, n in per.items():
                 log.info("%s %s: %d rows", layer, name, n)

@@ -42,9 +42,9 @@ def test_config_file_sets_paths_and_settings(tmp_path):
     assert lay.silver("business") == "data/silver/business"
     assert lay.gold("weekly_stars") == "data/gold/weekly_stars"
     assert cfg.shuffle_partitions == 64 and cfg.app_name == "reviews"
-    assert cfg.spark_conf == {
-        "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.executor.memory": "4g"
-    }
+    assert cfg.spark_conf == {"spark.driver.memory": "8g", "spark.executor.memory": "4g"}
+    # An explicit shuffle count turns input-based sizing off.
+    assert cfg.run_spec().size_shuffles is False
     assert cfg.datasets == ("business", "review")
     # The master is never taken from the file.
     assert not any("master" in k for k in cfg.spark_conf)
@@ -95,15 +95,64 @@ def test_output_folders_required():
 
 
 def test_extra_spark_settings():
+    from strata.plans.cli import DEFAULT_CONF
+    from strata.plans.layers import RunSpec
+
     cfg = parse_args(["--raw", "r", "--root", "o", "--conf", "spark.sql.shuffle.partitions=7",
-                      "--conf", "spark.ui.enabled=true"])
-    assert cfg.spark_conf["spark.sql.shuffle.partitions"] == "7"
-    assert cfg.spark_conf["spark.ui.enabled"] == "true"
-    assert parse_args(["--raw", "r", "--root", "o"]).spark_conf["spark.ui.enabled"] == "false"
+                      "--conf", "spark.ui.enabled=true", "--conf", "spark.sql.files.maxPartitionBytes=128m"])
+    assert cfg.explicit_conf()["spark.sql.shuffle.partitions"] == "7"
+    assert cfg.explicit_conf()["spark.ui.enabled"] == "true"
+    spec = cfg.run_spec()
+    assert spec.size_shuffles is False and spec.raw_split_bytes is None  # the user's values stand
+    plain = parse_args(["--raw", "r", "--root", "o"])
+    assert plain.run_spec().size_shuffles is True and plain.run_spec().raw_split_bytes == RunSpec.raw_split_bytes
+    # Settings made through spark-submit count as the user's too.
+    assert plain.run_spec(lambda k: k == "spark.sql.adaptive.coalescePartitions.initialPartitionNum").size_shuffles is False
+    assert DEFAULT_CONF["spark.ui.enabled"] == "false"
     with pytest.raises(SystemExit):
         parse_args(["--raw", "r", "--root", "o", "--conf", "novalue"])
 
 
+def test_bad_input_is_an_argument_error(tmp_path):
+    with pytest.raises(SystemExit):
+        parse_args(["--raw", "r", "--root", "o", "--datasets", "review,review"])
+    empty_spark = tmp_path / "c.yaml"
+    empty_spark.write_text("paths:\n  raw: r\n  root: o\nspark:\n")
+    assert parse_args(["--config", str(empty_spark)]).layout().raw == "r"
+    listed = tmp_path / "l.yaml"
+    listed.write_text("- raw\n- root\n")
+    with pytest.raises(SystemExit):
+        parse_args(["--config", str(listed)])
+
+
+LAUNCHER = r"""
+import json, sys
+from strata.plans.cli import build_session, parse_args
+cfg = parse_args(["--raw", "r", "--root", "o", "--conf", "spark.sql.shuffle.partitions=9"])
+spark, preset = build_session(cfg)
+spec = cfg.run_spec(preset)
+print(json.dumps({k: spark.conf.get(k) for k in (
+    "spark.sql.files.maxPartitionBytes", "spark.sql.session.timeZone", "spark.sql.shuffle.partitions",
+    "spark.sql.parquet.compression.codec")} | {"size": spec.size_shuffles, "split": spec.raw_split_bytes}))
+spark.stop()
+"""
+
+
+def test_launcher_settings_win_over_defaults():
+    """What spark-submit --conf sets is kept; our defaults fill only the gaps."""
+    env = dict(os.environ, PYTHONPATH=str(ROOT), PYSPARK_SUBMIT_ARGS=(
+        "--conf spark.sql.files.maxPartitionBytes=1m --conf spark.sql.session.timeZone=Asia/Tokyo pyspark-shell"))
+    res = subprocess.run([sys.executable, "-c", LAUNCHER], cwd=str(ROOT), env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert res.returncode == 0, res.stderr[-2000:]
+    got = json.loads(res.stdout.strip().splitlines()[-1])
+    assert got["spark.sql.files.maxPartitionBytes"] == "1m"
+    assert got["spark.sql.session.timeZone"] == "Asia/Tokyo"
+    assert got["spark.sql.shuffle.partitions"] == "9"  # --conf of the run itself
+    assert got["spark.sql.parquet.compression.codec"] == "zstd"  # a default fills the gap
+    assert got["size"] is False and got["split"] is None
+
+
 def test_raw_pattern():
     cfg = parse_args(["--raw", "in", "--root", "o", "--raw-pattern", "{name}.ndjson"])
     assert cfg.layout().raw_file("tip") == "in/tip.ndjson"
