@@ -124,7 +124,7 @@ def row_filter(spec: TableSpec) -> Column | None:
     conds: list[Column] = [F.col(c).isNotNull() for c in spec.required]
     if spec.reject_blank:
         text = {f.name for f in spec.fields if f.type == "string"}
-        conds += [F.col(c) != "" for c in spec.required if c in text]
+        conds += [F.trim(F.col(c)) != "" for c in spec.required if c in text]
     conds += [F.col(r.column).between(r.low, r.high) for r in spec.ranges]
     if not conds:
         return None
@@ -160,9 +160,18 @@ _RANK = "__survivor_rank"
 
 
 def _window_group_limit_on(df: DataFrame) -> bool:
-    """Whether the optimizer will put a partial top-1 per key before the shuffle."""
+    """Whether the optimizer will put a partial top-1 per key before the shuffle.
+
+    It will not for a streaming DataFrame (which also rejects such windows),
+    when the threshold is off, or when the rule is excluded.
+    """
+    if df.isStreaming:
+        return False
     try:
-        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) >= 1
+        conf = df.sparkSession.conf
+        if int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) < 1:
+            return False
+        return "InferWindowGroupLimit" not in (conf.get("spark.sql.optimizer.excludedRules", "") or "")
     except Exception:
         return False
 
@@ -178,9 +187,9 @@ def deduplicate(df: DataFrame, rule: Dedup) -> DataFrame:
     the aggregate form below and as fast under heavy duplication.
 
     The partial top-1 comes from an optimizer rule; when a session has
-    switched it off, the same survivor is taken as ``min`` over a struct of
-    the payload columns, each preceded by its NULL flag, which always
-    aggregates partially before the exchange.
+    switched it off, or for a streaming DataFrame, the same survivor is taken
+    as ``min`` over a struct of the payload columns, each preceded by its
+    NULL flag, which always aggregates partially before the exchange.
     """
     keys = list(rule.keys)
     if rule.survivor == "any":

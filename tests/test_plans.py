@@ -36,11 +36,14 @@ def test_dedup_folds_before_the_shuffle(spark, bronze):
     assert p.count("Exchange") == 1
 
 
-def test_dedup_without_window_group_limit_aggregates_partially(spark, bronze):
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+@pytest.mark.parametrize("key,value", [
+    ("spark.sql.optimizer.windowGroupLimitThreshold", "-1"),
+    ("spark.sql.optimizer.excludedRules", "org.apache.spark.sql.catalyst.optimizer.InferWindowGroupLimit"),
+])
+def test_dedup_without_window_group_limit_aggregates_partially(spark, bronze, key, value):
     bronze_review = spark.read.parquet(f"{bronze}/bronze/review")
     by_window = clean(bronze_review, SPECS["review"]).collect()
-    spark.conf.set(key, "-1")
+    spark.conf.set(key, value)
     try:
         df = clean(bronze_review, SPECS["review"])
         p = plan(df)

@@ -53,6 +53,26 @@ def test_blank_ids_rejected_on_request(spark):
     strict = dataclasses.replace(silver.BUSINESS, reject_blank=True)
     assert [r.business_id for r in clean(raw, strict).collect()] == ["b2"]
     assert len(silver.clean_business(raw).collect()) == 3  # parity default keeps all three
+    # Text that is not trimmed on the way in is still judged after trimming.
+    tips = spark.createDataFrame(
+        [("u1", "b1", "   ", "2019-01-01 10:00:00", "1"), ("u2", "b2", "ok", "2019-01-01 10:00:00", "1")],
+        "user_id string, business_id string, text string, date string, compliment_count string",
+    )
+    strict_tip = dataclasses.replace(silver.TIP, reject_blank=True)
+    assert [r.user_id for r in clean(tips, strict_tip).collect()] == ["u2"]
+
+
+def test_dedup_on_a_stream_takes_the_aggregate_path(spark, tmp_path):
+    from strata.operators.rules import _window_group_limit_on
+
+    src = tmp_path / "in"
+    spark.createDataFrame([("r1", "u", "b", 1.0)], "review_id string, user_id string, business_id string, "
+                          "stars double").write.json(str(src))
+    stream = spark.readStream.schema("review_id string, user_id string, business_id string, stars double").json(
+        str(src))
+    assert stream.isStreaming and not _window_group_limit_on(stream)
+    out = silver.clean_review(stream)  # planning must not raise
+    assert out.isStreaming
 
 
 def test_review_keeps_undated_rows(spark):
