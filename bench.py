@@ -10,6 +10,7 @@ shows the steady-state cost; ``BENCH_WARM=0`` skips it. Prints one JSON line.
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
 import sys
@@ -96,7 +97,7 @@ def main() -> None:
     # steady-state cost per layer, reported next to the cold first pass.
     warm: dict[str, float] = {}
     if os.environ.get("BENCH_WARM", "1") == "1":
-        again = type(layout)(root=scratch_path(spark, "bench-warm"), raw=layout.raw)
+        again = dataclasses.replace(layout, root=scratch_path(spark, "bench-warm"))
         for layer, fn in (("bronze", run_bronze), ("silver", run_silver), ("gold", run_gold)):
             t0 = time.perf_counter()
             fn(spark, again, spec)

@@ -20,6 +20,8 @@ semantics:
 
 from __future__ import annotations
 
+from strata.sources.fixtures import CHECKIN_CHUNK
+
 TS_TEXT = "'%Y-%m-%d %H:%M:%S'"
 TS_REGEX = r"'^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$'"
 
@@ -124,7 +126,7 @@ _cte(
                   case when user_id % 7 = 0 then ', bad' else '' end,
                   case when user_id % 5 = 0 then concat(', ', items) else '' end) as date
     from (select user_id, string_agg(strftime(ts, {TS_TEXT}), ', ' order by ts) as items
-          from events group by user_id, cast(ts as date), event_id // 4096)""",
+          from events group by user_id, cast(ts as date), event_id // {CHECKIN_CHUNK})""",
 )
 
 

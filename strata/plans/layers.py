@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,25 +88,52 @@ class RunSpec:
     size_shuffles: bool = False
 
 
+# Thread-local job properties a caller may have set (group for cancelling,
+# description, scheduler pool, tags); worker threads start without them.
+_JOB_PROPERTIES = (
+    "spark.jobGroup.id",
+    "spark.job.description",
+    "spark.job.interruptOnCancel",
+    "spark.scheduler.pool",
+    "spark.job.tags",
+)
+
+
 def _labelled(spark: SparkSession, layer: str, fn):
-    """``fn`` with its Spark jobs described as "strata <layer> <table>" (thread-local)."""
+    """``fn`` with its Spark jobs described as "strata <layer> <table>".
+
+    The caller's job group, pool and tags (read when this is called, in the
+    caller's thread) are carried into the thread that runs ``fn``, so a
+    caller can still cancel or route the layer's jobs; every property is
+    restored afterwards.
+    """
+    try:
+        sc = spark.sparkContext
+        inherited = {k: sc.getLocalProperty(k) for k in _JOB_PROPERTIES}
+    except Exception:  # Spark Connect: no SparkContext; jobs stay unlabelled
+        return fn
 
     def run(item: str):
-        try:
-            spark.sparkContext.setJobDescription(f"strata {layer} {item}")
-        except Exception:  # Spark Connect: no SparkContext; jobs stay unlabelled
-            pass
+        before = {k: sc.getLocalProperty(k) for k in _JOB_PROPERTIES}
+        for k, v in inherited.items():
+            sc.setLocalProperty(k, v)
+        outer = inherited["spark.job.description"]
+        label = f"strata {layer} {item}"
+        sc.setLocalProperty("spark.job.description", f"{outer}: {label}" if outer else label)
         try:
             return fn(item)
         finally:
-            try:
-                spark.sparkContext.setJobDescription(None)
-            except Exception:
-                pass
+            for k, v in before.items():
+                sc.setLocalProperty(k, v)
 
     return run
 
 
+def _unique(names) -> list[str]:
+    """Each name once, in order: two jobs must never overwrite one folder at once."""
+    return list(dict.fromkeys(names))
+
+
 def _each(fn, items, concurrent: bool) -> dict:
     if not concurrent or len(items) < 2:
         return {i: fn(i) for i in items}
@@ -121,7 +149,7 @@ def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
 
     split = None if spec.raw_split_bytes is None else str(spec.raw_split_bytes)
     with session_setting(spark, "spark.sql.files.maxPartitionBytes", split):
-        return _each(_labelled(spark, "bronze", one), list(spec.datasets), spec.concurrent)
+        return _each(_labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
 
 
 def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
@@ -131,26 +159,31 @@ def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
         log.info("cleaned %s: %d rows", name, rows)
         return rows
 
-    if spec.size_shuffles:
-        n = size_shuffles(spark, [layout.bronze(d) for d in spec.datasets])
-        log.info("silver: %s initial shuffle partitions", n)
-    return _each(_labelled(spark, "silver", one), list(spec.datasets), spec.concurrent)
+    datasets = _unique(spec.datasets)
+    sizing = size_shuffles(spark, [layout.bronze(d) for d in datasets]) if spec.size_shuffles else nullcontext()
+    with sizing as n:
+        if spec.size_shuffles:
+            log.info("silver: %s initial shuffle partitions", n)
+        return _each(_labelled(spark, "silver", one), datasets, spec.concurrent)
+
+
+def _count_column(dataset: str, column: str) -> str | None:
+    """None (count rows) when the silver spec requires ``column``: the counts agree
+    and the scan can skip the column; otherwise count its non-NULL values."""
+    return None if column in SPECS[dataset].required else column
 
 
 def build_weekly_stars(spark: SparkSession, layout: Layout) -> DataFrame:
-    # Silver reviews always carry a review_id (a required field of the spec),
-    # so counting rows gives the same counts without reading the id column.
     return gold.weekly_stars(
         spark.read.parquet(layout.silver("review")), spark.read.parquet(layout.silver("business")),
-        count_column=None,
+        count_column=_count_column("review", "review_id"),
     )
 
 
 def build_checkins_vs_stars(spark: SparkSession, layout: Layout) -> DataFrame:
-    # Silver check-ins always have a timestamp: count rows, read business_id only.
     return gold.checkins_vs_stars(
         spark.read.parquet(layout.silver("checkin")), spark.read.parquet(layout.silver("business")),
-        count_column=None,
+        count_column=_count_column("checkin", "checkin_timestamp"),
     )
 
 
@@ -169,11 +202,12 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
         return rows
 
     tables = [g for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(spec.datasets)]
-    if spec.size_shuffles:
-        inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
-        n = size_shuffles(spark, [layout.silver(d) for d in inputs])
-        log.info("gold: %s initial shuffle partitions", n)
-    return _each(_labelled(spark, "gold", one), tables, spec.concurrent)
+    inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
+    sizing = size_shuffles(spark, [layout.silver(d) for d in inputs]) if spec.size_shuffles else nullcontext()
+    with sizing as n:
+        if spec.size_shuffles:
+            log.info("gold: %s initial shuffle partitions", n)
+        return _each(_labelled(spark, "gold", one), tables, spec.concurrent)
 
 
 LAYERS = ("bronze", "silver", "gold")

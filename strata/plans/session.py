@@ -6,14 +6,18 @@ only suggests settings and finds where intermediate tables may be written.
 
 from __future__ import annotations
 
+import logging
 import math
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -68,57 +72,79 @@ def shuffle_partitions_for(
 def input_bytes(spark: SparkSession, paths: list[str]) -> int | None:
     """Total size of the files under ``paths`` (file-system metadata only, no data read).
 
-    None when the session has no JVM gateway (Spark Connect). Missing paths count 0.
+    Uses the session's Hadoop settings, as a read of those paths would. None
+    when the size cannot be had (Spark Connect, or a listing error: sizing is
+    an optimisation and never fails a run). Missing paths count 0.
     """
     try:
         jvm = spark._jvm
-        hconf = spark._jsc.hadoopConfiguration()
-    except Exception:
-        return None
-    if jvm is None:
+        try:
+            hconf = spark._jsparkSession.sessionState().newHadoopConf()
+        except Exception:
+            hconf = spark._jsc.hadoopConfiguration()
+        total = 0
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            fs = path.getFileSystem(hconf)
+            if fs.exists(path):
+                total += fs.getContentSummary(path).getLength()
+        return total
+    except Exception as e:  # noqa: BLE001 - any failure only skips the sizing
+        log.warning("input size of %s unknown (%s); shuffle sizing skipped", paths, e)
         return None
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(hconf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
-    return total
 
 
-def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
-    """Set AQE's initial shuffle partition count from the size of a stage's inputs.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``; AQE
-    then merges partitions to the advisory size. Returns the count, or None
-    when the size is unknown (nothing is changed then).
-    """
+
+def shuffle_partitions_from_input(spark: SparkSession, paths: list[str]) -> int | None:
+    """Initial shuffle partition count for a stage reading ``paths``; None if unknown."""
     size = input_bytes(spark, paths)
     if size is None:
         return None
-    n = shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    return n
+    return shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)
+
+
+@contextmanager
+def size_shuffles(spark: SparkSession, paths: list[str]) -> Iterator[int | None]:
+    """Within the block, start AQE from a shuffle partition count sized from ``paths``.
+
+    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` for the
+    block and restores it after; AQE merges partitions to the advisory size.
+    Yields the count, or None when the size is unknown (nothing is changed).
+    """
+    n = shuffle_partitions_from_input(spark, paths)
+    with session_setting(spark, INITIAL_PARTITIONS, None if n is None else str(n)):
+        yield n
+
+
+_SETTING_LOCKS: dict[str, threading.RLock] = {}
+_SETTING_LOCKS_GUARD = threading.Lock()
 
 
 @contextmanager
 def session_setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
     """Set one runtime setting for the duration of a block, then restore it.
 
-    ``value=None`` leaves the setting alone.
+    ``value=None`` leaves the setting alone. Blocks that change the same key
+    run one at a time, so overlapping runs on one session cannot restore
+    each other's values out of order.
     """
     if value is None:
         yield
         return
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+    with _SETTING_LOCKS_GUARD:
+        lock = _SETTING_LOCKS.setdefault(key, threading.RLock())
+    with lock:
+        old = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            if old is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, old)
 
 
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
@@ -127,7 +153,7 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
 
 
 # Local-mode fallback folders, one per session, so repeated calls agree.
-_LOCAL_ROOTS: dict[int, str] = {}
+_LOCAL_ROOTS: dict[tuple[int, str], str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -152,7 +178,8 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set: name a folder on shared storage "
                 "(HDFS, object store) for intermediate tables"
             )
-        root = _LOCAL_ROOTS.get(id(spark))
+        key = (id(spark), spark.conf.get("spark.app.id", None) or "")
+        root = _LOCAL_ROOTS.get(key)
         if root is None:
             root = tempfile.mkdtemp(prefix="strata-ckpt-")
             try:
@@ -160,7 +187,7 @@ def checkpoint_root(spark: SparkSession) -> str:
                 root = spark.sparkContext.getCheckpointDir() or root
             except Exception:  # Spark Connect: remembered here instead
                 pass
-            _LOCAL_ROOTS[id(spark)] = root
+            _LOCAL_ROOTS[key] = root
     return root.rstrip("/")
 
 

@@ -149,9 +149,24 @@ def test_written_gold_equals_oracle(spark, layout):
 
 
 def test_jobs_are_labelled_per_table(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
     from strata.plans.layers import _labelled
 
     sc = spark.sparkContext
     seen = _labelled(spark, "silver", lambda item: sc.getLocalProperty("spark.job.description"))("review")
     assert seen == "strata silver review"
     assert sc.getLocalProperty("spark.job.description") is None
+    # A caller's description and job group carry into worker threads and survive the run.
+    sc.setJobGroup("nightly", "nightly reviews")
+    try:
+        probe = _labelled(spark, "gold", lambda item: (sc.getLocalProperty("spark.jobGroup.id"),
+                                                        sc.getLocalProperty("spark.job.description")))
+        with ThreadPoolExecutor(1) as pool:
+            assert pool.submit(probe, "weekly_stars").result() == ("nightly", "nightly reviews: strata gold weekly_stars")
+        assert probe("weekly_stars")[1] == "nightly reviews: strata gold weekly_stars"
+        assert sc.getLocalProperty("spark.job.description") == "nightly reviews"
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+        sc.setLocalProperty("spark.job.interruptOnCancel", None)

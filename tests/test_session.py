@@ -63,12 +63,15 @@ def test_input_bytes_and_sizing(spark):
     path = f"{SMALL}/lineitem.parquet"
     assert S.input_bytes(spark, [path, "/nonexistent/x"]) == os.path.getsize(path)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        n = S.size_shuffles(spark, [path])
+    assert spark.conf.get(key, None) is None
+    with S.size_shuffles(spark, [path]) as n:
         assert n == 2 * spark.sparkContext.defaultParallelism
         assert spark.conf.get(key) == str(n)
-    finally:
-        spark.conf.unset(key)
+    assert spark.conf.get(key, None) is None  # scoped to the block
+    # A path that cannot be listed skips the sizing instead of failing.
+    assert S.input_bytes(spark, ["nosuchscheme://x/y"]) is None
+    with S.size_shuffles(spark, ["nosuchscheme://x/y"]) as n:
+        assert n is None and spark.conf.get(key, None) is None
 
 
 def test_local_fallback_is_stable_without_a_spark_context():
