@@ -22,14 +22,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from strata.plans.layers import LAYERS, Layout, RunSpec, run_layers
-from strata.plans.session import session_conf
+from strata.plans.session import INITIAL_PARTITIONS, SPLIT_BYTES, session_conf
 from strata.sources.raw import DATASETS, RAW_FILE
 
 log = logging.getLogger("strata")
 
 _MEMORY_KEYS = {"driver_memory": "spark.driver.memory", "executor_memory": "spark.executor.memory"}
-_SHUFFLE_KEYS = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-_SPLIT_KEY = "spark.sql.files.maxPartitionBytes"
+_SHUFFLE_KEYS = ("spark.sql.shuffle.partitions", INITIAL_PARTITIONS)
+_SPLIT_KEY = SPLIT_BYTES
 
 
 @dataclass
@@ -118,11 +118,14 @@ def config_from_file(path: str) -> dict:
     out: dict = {k: paths[k] for k in ("raw", "bronze", "silver", "gold", "root", "raw_pattern") if k in paths}
     if "app_name" in spark:
         out["app_name"] = spark["app_name"]
-    if "shuffle_partitions" in spark:
+    if spark.get("shuffle_partitions") is not None:
         out["shuffle_partitions"] = int(spark["shuffle_partitions"])
-    out["spark_conf"] = {_MEMORY_KEYS[k]: str(v) for k, v in spark.items() if k in _MEMORY_KEYS}
-    if "datasets" in doc:
-        out["datasets"] = tuple(doc["datasets"])
+    out["spark_conf"] = {_MEMORY_KEYS[k]: str(v) for k, v in spark.items() if k in _MEMORY_KEYS and v is not None}
+    if doc.get("datasets") is not None:
+        datasets = doc["datasets"]
+        if not isinstance(datasets, list) or not all(isinstance(d, str) for d in datasets):
+            raise ValueError("datasets must be a list of names")
+        out["datasets"] = tuple(datasets)
     return out
 
 
@@ -145,7 +148,7 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     p.add_argument("--serial", action="store_true", help="run the tables of a layer one after another")
     p.add_argument(
         "--conf", action="append", default=[], metavar="KEY=VALUE",
-        help="extra Spark setting, repeatable (the web UI is off unless spark.ui.enabled=true is given)",
+        help="Spark setting, repeatable; wins over spark-submit and the defaults file",
     )
     p.add_argument(
         "--layers", help="comma-separated layers to run, e.g. silver,gold to resume after bronze (default: all)"
@@ -154,7 +157,7 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
 
     try:
         kw = config_from_file(a.config) if a.config else {}
-    except (OSError, ValueError) as e:
+    except Exception as e:  # noqa: BLE001 - unreadable, unparsable or mistyped: all argument errors
         p.error(f"cannot use config {a.config}: {e}")
     for name in ("raw", "raw_pattern", "root", "bronze", "silver", "gold", "app_name", "shuffle_partitions"):
         v = getattr(a, name)
@@ -193,26 +196,40 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
 
 # Applied only where neither spark-submit, the defaults file nor --conf set a value.
 DEFAULT_CONF = {**session_conf(), "spark.ui.enabled": "false"}
+# Applied unless --conf names them: results depend on them. In any zone with
+# daylight saving, two distinct check-in times in the spring gap parse to one
+# instant and the check-in dedup would merge them.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(cfg: RunConfig):
-    """The run's session. Precedence: --conf and other explicit flags, then whatever
-    spark-submit or the defaults file set, then :data:`DEFAULT_CONF`."""
+    """The run's session and a test for "did spark-submit or the defaults file set this key".
+
+    Precedence: --conf and other explicit flags, then :data:`REQUIRED_CONF`,
+    then whatever spark-submit or the defaults file set, then
+    :data:`DEFAULT_CONF`. When this process starts the JVM itself, the
+    explicit settings are given at launch, so driver memory and other
+    launch-time settings take effect.
+    """
     from pyspark import SparkConf, SparkContext
     from pyspark.sql import SparkSession
 
-    SparkContext._ensure_initialized()  # so SparkConf sees spark-submit's settings
-    preset = SparkConf()
     explicit = cfg.explicit_conf()
+    launch = SparkConf(loadDefaults=False)
+    for k, v in explicit.items():
+        launch.set(k, v)
+    SparkContext._ensure_initialized(conf=launch)  # under spark-submit: joins the running JVM
+    preset = SparkConf()  # now includes spark-submit's and the defaults file's settings
     builder = SparkSession.builder
     launcher_name = preset.get("spark.app.name", None)
-    if cfg.app_name or launcher_name in (None, "pyspark-shell"):
+    if cfg.app_name or launcher_name in (None, "pyspark-shell") or launcher_name.endswith(".py"):
         builder = builder.appName(cfg.app_name or "strata")
     for k, v in DEFAULT_CONF.items():
-        if k not in explicit and not preset.contains(k):
+        if k not in explicit and k not in REQUIRED_CONF and not preset.contains(k):
             builder = builder.config(k, v)
-    for k, v in explicit.items():
+    for k, v in {**REQUIRED_CONF, **explicit}.items():
         builder = builder.config(k, v)
+
     return builder.getOrCreate(), preset.contains
 
 

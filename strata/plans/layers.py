@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,12 @@ from pyspark.sql import functions as F
 from strata.operators import gold
 from strata.operators.silver import SPECS
 from strata.operators.rules import clean
-from strata.plans.session import session_setting, size_shuffles
+from strata.plans.session import (
+    INITIAL_PARTITIONS,
+    SPLIT_BYTES,
+    layer_session,
+    shuffle_partitions_from_input,
+)
 from strata.sources.bronze import load_to_bronze
 from strata.sources.raw import DATASETS, RAW_FILE, RAW_SCHEMAS, raw_path
 from strata.sources.sinks import write_partitioned, write_table
@@ -77,8 +81,8 @@ class RunSpec:
     # these filters; the files are sorted by week, so statistics cannot.
     weekly_bloom_filters: tuple[str, ...] = ("business_id", "business_name")
     concurrent: bool = True
-    # Bytes of raw JSON per bronze task (and so per bronze file) while the
-    # bronze layer runs. JSON shrinks several times as Parquet, so 512 MiB of
+    # Bytes of raw JSON per bronze task (and so per bronze file), set on the
+    # bronze layer's own session. JSON shrinks several times as Parquet, so 512 MiB of
     # text gives files near 100 MiB instead of many small ones; Spark still
     # splits small inputs finer to keep every core busy. None leaves the
     # session's spark.sql.files.maxPartitionBytes alone.
@@ -143,28 +147,36 @@ def _each(fn, items, concurrent: bool) -> dict:
 
 
 def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
+    split = None if spec.raw_split_bytes is None else str(spec.raw_split_bytes)
+    s = layer_session(spark, {SPLIT_BYTES: split})
+
     def one(name: str) -> int:
         schema = RAW_SCHEMAS.get(name) if spec.declared_schemas else None
-        return load_to_bronze(spark, layout.raw_file(name), layout.bronze(name), schema)
+        return load_to_bronze(s, layout.raw_file(name), layout.bronze(name), schema)
 
-    split = None if spec.raw_split_bytes is None else str(spec.raw_split_bytes)
-    with session_setting(spark, "spark.sql.files.maxPartitionBytes", split):
-        return _each(_labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
+    return _each(_labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
+
+
+def _sized(spark: SparkSession, spec: RunSpec, layer: str, inputs: list[str]) -> SparkSession:
+    """The layer's session, its initial shuffle count sized from ``inputs`` when asked."""
+    if not spec.size_shuffles:
+        return spark
+    n = shuffle_partitions_from_input(spark, inputs)
+    log.info("%s: %s initial shuffle partitions", layer, n)
+    return layer_session(spark, {INITIAL_PARTITIONS: None if n is None else str(n)})
 
 
 def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
+    datasets = _unique(spec.datasets)
+    s = _sized(spark, spec, "silver", [layout.bronze(d) for d in datasets])
+
     def one(name: str) -> int:
-        out = clean(spark.read.parquet(layout.bronze(name)), SPECS[name])
+        out = clean(s.read.parquet(layout.bronze(name)), SPECS[name])
         rows = write_table(out, layout.silver(name))
         log.info("cleaned %s: %d rows", name, rows)
         return rows
 
-    datasets = _unique(spec.datasets)
-    sizing = size_shuffles(spark, [layout.bronze(d) for d in datasets]) if spec.size_shuffles else nullcontext()
-    with sizing as n:
-        if spec.size_shuffles:
-            log.info("silver: %s initial shuffle partitions", n)
-        return _each(_labelled(spark, "silver", one), datasets, spec.concurrent)
+    return _each(_labelled(spark, "silver", one), datasets, spec.concurrent)
 
 
 def _count_column(dataset: str, column: str) -> str | None:
@@ -188,26 +200,24 @@ def build_checkins_vs_stars(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
+    tables = [g for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(spec.datasets)]
+    inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
+    s = _sized(spark, spec, "gold", [layout.silver(d) for d in inputs])
+
     def one(name: str) -> int:
         if name == "weekly_stars":
             by = spec.weekly_partition_by
             cluster = [c for c in spec.weekly_cluster_by if c not in by]
             rows = write_partitioned(
-                build_weekly_stars(spark, layout), layout.gold(name), by, cluster,
+                build_weekly_stars(s, layout), layout.gold(name), by, cluster,
                 bloom_filter_columns=spec.weekly_bloom_filters,
             )
         else:
-            rows = write_table(build_checkins_vs_stars(spark, layout), layout.gold(name))
+            rows = write_table(build_checkins_vs_stars(s, layout), layout.gold(name))
         log.info("gold %s: %d rows", name, rows)
         return rows
 
-    tables = [g for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(spec.datasets)]
-    inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
-    sizing = size_shuffles(spark, [layout.silver(d) for d in inputs]) if spec.size_shuffles else nullcontext()
-    with sizing as n:
-        if spec.size_shuffles:
-            log.info("gold: %s initial shuffle partitions", n)
-        return _each(_labelled(spark, "gold", one), tables, spec.concurrent)
+    return _each(_labelled(spark, "gold", one), tables, spec.concurrent)
 
 
 LAYERS = ("bronze", "silver", "gold")

@@ -9,7 +9,6 @@ from __future__ import annotations
 import logging
 import math
 import tempfile
-import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -95,6 +94,7 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int | None:
 
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def shuffle_partitions_from_input(spark: SparkSession, paths: list[str]) -> int | None:
@@ -105,46 +105,70 @@ def shuffle_partitions_from_input(spark: SparkSession, paths: list[str]) -> int
     return shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)
 
 
-@contextmanager
-def size_shuffles(spark: SparkSession, paths: list[str]) -> Iterator[int | None]:
-    """Within the block, start AQE from a shuffle partition count sized from ``paths``.
+def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
+    """Set AQE's initial shuffle partition count on ``spark`` from the size of ``paths``.
 
-    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` for the
-    block and restores it after; AQE merges partitions to the advisory size.
-    Yields the count, or None when the size is unknown (nothing is changed).
+    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``; AQE
+    then merges partitions to the advisory size. Returns the count, or None
+    when the size is unknown (nothing is changed then). The layered run does
+    not call this on the caller's session: it sizes a layer's own session
+    (:func:`layer_session`).
     """
     n = shuffle_partitions_from_input(spark, paths)
-    with session_setting(spark, INITIAL_PARTITIONS, None if n is None else str(n)):
-        yield n
+    if n is not None:
+        spark.conf.set(INITIAL_PARTITIONS, str(n))
+    return n
 
 
-_SETTING_LOCKS: dict[str, threading.RLock] = {}
-_SETTING_LOCKS_GUARD = threading.Lock()
+def layer_session(spark: SparkSession, settings: dict[str, str | None]) -> SparkSession:
+    """A session for one layer: the caller's runtime settings plus ``settings``.
+
+    The child shares the SparkContext (same cluster, same job groups) but has
+    its own SQL settings, so a layer's split size or shuffle count never
+    changes the caller's session, nor another run on it. Only ``spark.sql.*``
+    and ``spark.hadoop.*`` settings are copied (the others are fixed for the
+    application). ``None`` values are skipped; with nothing to set, the
+    caller's session itself is returned.
+    """
+    wanted = {k: v for k, v in settings.items() if v is not None}
+    if not wanted:
+        return spark
+    try:
+        child = spark.newSession()
+        inherited = spark.conf.getAll
+    except Exception as e:  # noqa: BLE001 - no child sessions: leave the settings alone
+        log.warning("no separate session for %s (%s); the layer runs with the caller's settings", wanted, e)
+        return spark
+    for k, v in inherited.items():
+        if k.startswith(("spark.sql.", "spark.hadoop.")):
+            try:
+                child.conf.set(k, v)
+            except Exception:  # noqa: BLE001 - a setting fixed for the application
+                pass
+    for k, v in wanted.items():
+        child.conf.set(k, v)
+    return child
 
 
 @contextmanager
 def session_setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
-    """Set one runtime setting for the duration of a block, then restore it.
+    """Set one runtime setting on ``spark`` for the duration of a block, then restore it.
 
-    ``value=None`` leaves the setting alone. Blocks that change the same key
-    run one at a time, so overlapping runs on one session cannot restore
-    each other's values out of order.
+    ``value=None`` leaves the setting alone. Prefer :func:`layer_session` where
+    other work may share the session.
     """
     if value is None:
         yield
         return
-    with _SETTING_LOCKS_GUARD:
-        lock = _SETTING_LOCKS.setdefault(key, threading.RLock())
-    with lock:
-        old = spark.conf.get(key, None)
-        spark.conf.set(key, value)
-        try:
-            yield
-        finally:
-            if old is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, old)
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
 
 
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:

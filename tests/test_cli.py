@@ -123,34 +123,48 @@ def test_bad_input_is_an_argument_error(tmp_path):
     listed.write_text("- raw\n- root\n")
     with pytest.raises(SystemExit):
         parse_args(["--config", str(listed)])
+    for body in ("paths: {raw: r, root: o}\ndatasets: business\n", "paths: {raw: r, root: o}\nspark: [\n",
+                 "paths: {raw: r, root: o}\nspark: {shuffle_partitions: many}\n"):
+        bad = tmp_path / "bad.yaml"
+        bad.write_text(body)
+        with pytest.raises(SystemExit):
+            parse_args(["--config", str(bad)])
+    nulls = tmp_path / "n.yaml"
+    nulls.write_text("paths: {raw: r, root: o}\ndatasets:\nspark: {shuffle_partitions: null}\n")
+    assert parse_args(["--config", str(nulls)]).shuffle_partitions is None
 
 
 LAUNCHER = r"""
 import json, sys
 from strata.plans.cli import build_session, parse_args
-cfg = parse_args(["--raw", "r", "--root", "o", "--conf", "spark.sql.shuffle.partitions=9"])
+cfg = parse_args(["--raw", "r", "--root", "o", "--conf", "spark.sql.shuffle.partitions=9",
+                  "--conf", "spark.driver.memory=1500m"])
 spark, preset = build_session(cfg)
 spec = cfg.run_spec(preset)
+heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
 print(json.dumps({k: spark.conf.get(k) for k in (
     "spark.sql.files.maxPartitionBytes", "spark.sql.session.timeZone", "spark.sql.shuffle.partitions",
-    "spark.sql.parquet.compression.codec")} | {"size": spec.size_shuffles, "split": spec.raw_split_bytes}))
+    "spark.sql.parquet.compression.codec")} | {"size": spec.size_shuffles, "split": spec.raw_split_bytes,
+    "heap": heap, "app": spark.sparkContext.appName}))
 spark.stop()
 """
 
 
 def test_launcher_settings_win_over_defaults():
-    """What spark-submit --conf sets is kept; our defaults fill only the gaps."""
+    """What spark-submit --conf sets is kept; defaults fill only the gaps; UTC and launch settings hold."""
     env = dict(os.environ, PYTHONPATH=str(ROOT), PYSPARK_SUBMIT_ARGS=(
         "--conf spark.sql.files.maxPartitionBytes=1m --conf spark.sql.session.timeZone=Asia/Tokyo pyspark-shell"))
     res = subprocess.run([sys.executable, "-c", LAUNCHER], cwd=str(ROOT), env=env, capture_output=True,
                          text=True, timeout=300)
     assert res.returncode == 0, res.stderr[-2000:]
     got = json.loads(res.stdout.strip().splitlines()[-1])
-    assert got["spark.sql.files.maxPartitionBytes"] == "1m"
-    assert got["spark.sql.session.timeZone"] == "Asia/Tokyo"
+    assert got["spark.sql.files.maxPartitionBytes"] == "1m"  # the launcher's value stands
+    assert got["spark.sql.session.timeZone"] == "UTC"  # required unless --conf of the run says otherwise
     assert got["spark.sql.shuffle.partitions"] == "9"  # --conf of the run itself
     assert got["spark.sql.parquet.compression.codec"] == "zstd"  # a default fills the gap
     assert got["size"] is False and got["split"] is None
+    assert 1.2e9 < got["heap"] < 1.7e9  # driver memory given at JVM launch took effect
+    assert got["app"] == "strata"
 
 
 def test_raw_pattern():

@@ -62,16 +62,33 @@ def test_input_bytes_and_sizing(spark):
 
     path = f"{SMALL}/lineitem.parquet"
     assert S.input_bytes(spark, [path, "/nonexistent/x"]) == os.path.getsize(path)
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert spark.conf.get(key, None) is None
-    with S.size_shuffles(spark, [path]) as n:
-        assert n == 2 * spark.sparkContext.defaultParallelism
-        assert spark.conf.get(key) == str(n)
-    assert spark.conf.get(key, None) is None  # scoped to the block
+    key = S.INITIAL_PARTITIONS
+    assert S.shuffle_partitions_from_input(spark, [path]) == 2 * spark.sparkContext.defaultParallelism
     # A path that cannot be listed skips the sizing instead of failing.
     assert S.input_bytes(spark, ["nosuchscheme://x/y"]) is None
-    with S.size_shuffles(spark, ["nosuchscheme://x/y"]) as n:
-        assert n is None and spark.conf.get(key, None) is None
+    assert S.size_shuffles(spark, ["nosuchscheme://x/y"]) is None and spark.conf.get(key, None) is None
+    try:
+        n = S.size_shuffles(spark, [path])
+        assert spark.conf.get(key) == str(n)
+    finally:
+        spark.conf.unset(key)
+
+
+def test_layer_session_leaves_the_caller_alone(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    spark.conf.set("spark.hadoop.fs.example.setting", "kept")
+    try:
+        child = S.layer_session(spark, {S.SPLIT_BYTES: "1m", S.INITIAL_PARTITIONS: None})
+        assert child is not spark
+        assert child.conf.get(S.SPLIT_BYTES) == "1m"
+        assert child.conf.get("spark.sql.shuffle.partitions") == "5"  # the caller's settings carry over
+        assert child.conf.get("spark.hadoop.fs.example.setting") == "kept"
+        assert spark.conf.get(S.SPLIT_BYTES) != "1m"  # the caller's session is unchanged
+        assert child.sparkContext is spark.sparkContext
+        assert S.layer_session(spark, {S.SPLIT_BYTES: None}) is spark  # nothing to set
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+        spark.conf.unset("spark.hadoop.fs.example.setting")
 
 
 def test_local_fallback_is_stable_without_a_spark_context():
