@@ -124,7 +124,7 @@ def row_filter(spec: TableSpec) -> Column | None:
     conds: list[Column] = [F.col(c).isNotNull() for c in spec.required]
     if spec.reject_blank:
         text = {f.name for f in spec.fields if f.type == "string"}
-        conds += [F.trim(F.col(c)) != "" for c in spec.required if c in text]
+        conds += [S.ascii_trim(c) != "" for c in spec.required if c in text]
     conds += [F.col(r.column).between(r.low, r.high) for r in spec.ranges]
     if not conds:
         return None
