@@ -115,16 +115,30 @@ def config_from_file(path: str) -> dict:
         raise ValueError("a config file holds a mapping with paths, spark and datasets sections")
     paths = _section(doc, "paths")
     spark = _section(doc, "spark")
-    out: dict = {k: paths[k] for k in ("raw", "bronze", "silver", "gold", "root", "raw_pattern") if k in paths}
-    if "app_name" in spark:
-        out["app_name"] = spark["app_name"]
-    if spark.get("shuffle_partitions") is not None:
-        out["shuffle_partitions"] = int(spark["shuffle_partitions"])
-    out["spark_conf"] = {_MEMORY_KEYS[k]: str(v) for k, v in spark.items() if k in _MEMORY_KEYS and v is not None}
+    out: dict = {}
+    for k in ("raw", "bronze", "silver", "gold", "root", "raw_pattern"):
+        if paths.get(k) is not None:
+            if not isinstance(paths[k], str) or not paths[k]:
+                raise ValueError(f"paths.{k} must be a folder name (text)")
+            out[k] = paths[k]
+    if spark.get("app_name") is not None:
+        out["app_name"] = str(spark["app_name"])
+    n = spark.get("shuffle_partitions")
+    if n is not None:
+        if isinstance(n, bool) or not str(n).isdigit() or int(n) < 1:
+            raise ValueError("spark.shuffle_partitions must be a positive whole number")
+        out["shuffle_partitions"] = int(n)
+    out["spark_conf"] = {}
+    for k, key in _MEMORY_KEYS.items():
+        v = spark.get(k)
+        if v is not None:
+            if not isinstance(v, str) or not v[-1:].isalpha():
+                raise ValueError(f"spark.{k} needs a size with a unit, such as '8g'")
+            out["spark_conf"][key] = v
     if doc.get("datasets") is not None:
         datasets = doc["datasets"]
-        if not isinstance(datasets, list) or not all(isinstance(d, str) for d in datasets):
-            raise ValueError("datasets must be a list of names")
+        if not isinstance(datasets, list) or not datasets or not all(isinstance(d, str) for d in datasets):
+            raise ValueError("datasets must be a non-empty list of names")
         out["datasets"] = tuple(datasets)
     return out
 
@@ -227,6 +241,10 @@ def build_session(cfg: RunConfig):
     for k, v in DEFAULT_CONF.items():
         if k not in explicit and k not in REQUIRED_CONF and not preset.contains(k):
             builder = builder.config(k, v)
+    for k, v in REQUIRED_CONF.items():
+        if k not in explicit and preset.contains(k) and preset.get(k) != v:
+            log.warning("%s=%s from spark-submit or the defaults file is replaced by %s "
+                        "(give --conf %s=... to keep another)", k, preset.get(k), v, k)
     for k, v in {**REQUIRED_CONF, **explicit}.items():
         builder = builder.config(k, v)
 

@@ -121,32 +121,43 @@ def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
 
 
 def layer_session(spark: SparkSession, settings: dict[str, str | None]) -> SparkSession:
-    """A session for one layer: the caller's runtime settings plus ``settings``.
-
-    The child shares the SparkContext (same cluster, same job groups) but has
-    its own SQL settings, so a layer's split size or shuffle count never
-    changes the caller's session, nor another run on it. Only ``spark.sql.*``
-    and ``spark.hadoop.*`` settings are copied (the others are fixed for the
-    application). ``None`` values are skipped; with nothing to set, the
-    caller's session itself is returned.
+    """A session for one layer: a clone of the caller's session plus ``settings``.
+
+    The clone shares the SparkContext (same cluster, same job groups) and
+    starts from the caller's session state exactly (every runtime setting,
+    storage credentials set on the session included, and keys the caller
+    unset), but later changes stay separate. A layer's split size or
+    shuffle count so never changes the caller's session, nor another run on
+    it. ``None`` values are skipped; with nothing to set, the caller's
+    session itself is returned.
     """
     wanted = {k: v for k, v in settings.items() if v is not None}
     if not wanted:
         return spark
+    child = _clone(spark)
+    if child is None:
+        log.warning("no separate session for %s; the layer runs with the caller's settings", wanted)
+        return spark
+    for k, v in wanted.items():
+        child.conf.set(k, v)
+    return child
+
+
+def _clone(spark: SparkSession) -> SparkSession | None:
+    try:  # the JVM session's own clone: all session state in one step
+        return SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    except Exception:  # noqa: BLE001 - fall back to a new session and a copy of the settings
+        pass
     try:
         child = spark.newSession()
         inherited = spark.conf.getAll
-    except Exception as e:  # noqa: BLE001 - no child sessions: leave the settings alone
-        log.warning("no separate session for %s (%s); the layer runs with the caller's settings", wanted, e)
-        return spark
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no child sessions here
+        return None
     for k, v in inherited.items():
-        if k.startswith(("spark.sql.", "spark.hadoop.")):
-            try:
-                child.conf.set(k, v)
-            except Exception:  # noqa: BLE001 - a setting fixed for the application
-                pass
-    for k, v in wanted.items():
-        child.conf.set(k, v)
+        try:
+            child.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - fixed for the application
+            pass
     return child
 
 

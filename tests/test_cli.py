@@ -129,6 +129,14 @@ def test_bad_input_is_an_argument_error(tmp_path):
         bad.write_text(body)
         with pytest.raises(SystemExit):
             parse_args(["--config", str(bad)])
+    for body in ("paths: {raw: r, root: o, raw_pattern: null, bronze: 3}\n",
+                 "paths: {raw: r, root: o}\nspark: {shuffle_partitions: true}\n",
+                 "paths: {raw: r, root: o}\nspark: {driver_memory: 4}\n",
+                 "paths: {raw: r, root: o}\ndatasets: []\n"):
+        bad = tmp_path / "bad2.yaml"
+        bad.write_text(body)
+        with pytest.raises(SystemExit):
+            parse_args(["--config", str(bad)])
     nulls = tmp_path / "n.yaml"
     nulls.write_text("paths: {raw: r, root: o}\ndatasets:\nspark: {shuffle_partitions: null}\n")
     assert parse_args(["--config", str(nulls)]).shuffle_partitions is None

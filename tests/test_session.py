@@ -75,20 +75,22 @@ def test_input_bytes_and_sizing(spark):
 
 
 def test_layer_session_leaves_the_caller_alone(spark):
+    old_shuffle = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "5")
-    spark.conf.set("spark.hadoop.fs.example.setting", "kept")
+    spark.conf.set("fs.example.credential", "kept")  # a session-level storage setting
     try:
         child = S.layer_session(spark, {S.SPLIT_BYTES: "1m", S.INITIAL_PARTITIONS: None})
         assert child is not spark
         assert child.conf.get(S.SPLIT_BYTES) == "1m"
         assert child.conf.get("spark.sql.shuffle.partitions") == "5"  # the caller's settings carry over
-        assert child.conf.get("spark.hadoop.fs.example.setting") == "kept"
+        hconf = child._jsparkSession.sessionState().newHadoopConf()
+        assert hconf.get("fs.example.credential") == "kept"  # and reach the file system
         assert spark.conf.get(S.SPLIT_BYTES) != "1m"  # the caller's session is unchanged
         assert child.sparkContext is spark.sparkContext
         assert S.layer_session(spark, {S.SPLIT_BYTES: None}) is spark  # nothing to set
     finally:
-        spark.conf.unset("spark.sql.shuffle.partitions")
-        spark.conf.unset("spark.hadoop.fs.example.setting")
+        spark.conf.set("spark.sql.shuffle.partitions", old_shuffle)
+        spark.conf.unset("fs.example.credential")
 
 
 def test_local_fallback_is_stable_without_a_spark_context():
