@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.tables import written
+from strata.llm.tables import sized, written
 
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = r"#*$%&|<>"
@@ -173,7 +173,6 @@ def judge(docs: DataFrame, host: str = "source", keep: list[str] | None = None)
     judged = table.select(F.col(host), *(F.expr(rule).alias(name) for name, rule in RULES.items()))
     bad = written(host_rates(judged, host).where("rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad")), "rejected-hosts")
     # A small checked number of rejected hosts is broadcast; beyond it the join shuffles and adaptive execution splits a hot host.
-    side = F.broadcast(bad) if bad.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS else bad
-    verdict = table.join(side, table[host].eqNullSafe(side["_host"]), "left")
+    verdict = table.join(sized(bad, BROADCAST_HOSTS), F.col(host).eqNullSafe(F.col("_host")), "left")
     verdict = verdict.withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull())
     return verdict.select(*keep, *MEASURES, "base_failed", "kept")

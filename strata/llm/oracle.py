@@ -8,8 +8,8 @@ _SPACE = r"[\x20\x09-\x0D]"
 
 HOST_RULES = rf"""
 with d as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
-w as (select *, list_filter(regexp_split_to_array(t, '{_SPACE}+'), x -> x <> '') as ws,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+w as (select *, list_filter(regexp_split_to_array(t, '{_SPACE}+'), lambda x: x <> '') as ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
 tri as (select r, i, ws[i] || chr(10) || ws[i + 1] || chr(10) || ws[i + 2] as g
         from (select r, ws, unnest(generate_series(1, len(ws) - 2)) as i from w)),
 rep as (select r, i from (select r, i, count(*) over (partition by r, g) as k from tri) where k > 1),

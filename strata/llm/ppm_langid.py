@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNKNOWN = "und"
 ORDER = 3
@@ -223,5 +224,5 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 names=[*keep, "lang_pred", "score"],
             )
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    return rows.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    schema = T.StructType([docs.schema[c] for c in keep]).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    return rows.mapInArrow(run, schema)

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from strata.llm import best_two_fit, bpe_backtrack, host_rules, oracle, ppm_langid
+from strata.llm import best_two_fit, bpe_backtrack, host_rules, oracle, ppm_langid, signature_tree
 from strata.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +32,16 @@ def op8_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_langid.predict(rows, ppm_langid.train(docs), ["doc_id", "held_out"])
 
 
+def op9_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.similar_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_best_two_fit": op4_best_two_fit,
     "op6_host_rules": op6_host_rules,
     "op7_bpe_backtrack": op7_bpe_backtrack,
     "op8_ppm_langid": op8_ppm_langid,
+    "op9_signature_tree": op9_signature_tree,
 }
 
 ORACLE: dict[str, str] = {
