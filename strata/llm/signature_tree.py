@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components
@@ -39,7 +39,7 @@ PERCENT = 75
 FREQUENT_SHINGLES = 50_000  # at most so many shingles are put last in the order: the size of what is broadcast
 FREQUENT_TRACKED = 200_000  # counters of the frequency sketch
 FREQUENT_LEAST = 100  # a shingle that fewer documents have keeps its place
-BITS = 2048
+LEAST_BITS = 64
 LEAF = 32
 BLOCK = 2000  # documents of a bucket that one task compares with as many others
 
@@ -73,77 +73,95 @@ def frequent_shingles(docs: DataFrame) -> list[int]:
     return [r["item"] for r in top or [] if r["count"] >= FREQUENT_LEAST]
 
 
+def _bitmap(s: np.ndarray) -> tuple[bytes, int]:
+    """The set's token bitmap, with at least a bit per token, and how many tokens found their bit taken.
+
+    A map folds to half its width by OR of its halves: a token's bit is its
+    hash modulo the width.
+    """
+    width = max(LEAST_BITS, 1 << max(len(s) - 1, 0).bit_length())
+    on = np.zeros(width, dtype=bool)
+    on[s & np.uint64(width - 1)] = True
+    return np.packbits(on, bitorder="little").tobytes(), len(s) - int(on.sum())
+
+
 def sketches(docs: DataFrame, last: list[int]) -> DataFrame:
-    """``doc_id, n, set_a, set_b, prefix``: set size, two hashes of the whole set, and the prefix under the common order."""
+    """``doc_id, n, set_a, set_b, prefix, late, bitmap, lost`` per row.
+
+    Set size, two hashes of the whole set, the prefix under the common order
+    (the frequent shingles in it apart, in ``late``), and the bitmap.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(last, dtype=np.int64).view(np.uint64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
         for batch in batches:
-            n, a, b, prefix = [], [], [], []
-            for s in shingle_sets(batch.column(1)):
-                size = len(s)
-                n.append(size)
-                a.append(int(np.add.reduce(_mix(s))) & ((1 << 64) - 1))
-                b.append(int(np.add.reduce(_mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)))) & ((1 << 64) - 1))
-                take = size - _least_common(size) + 1 if size else 0
-                if size and len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    late = frequent[at] == s
-                    if late[:take].any():
-                        s = np.concatenate([s[~late], s[late]])
-                prefix.append(s[:take])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(n, pa.int64()),
-                    pa.array(_signed(np.array(a, dtype=np.uint64))),
-                    pa.array(_signed(np.array(b, dtype=np.uint64))),
-                    _lists(prefix),
-                ],
-                names=["doc_id", "n", "set_a", "set_b", "prefix"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_a long, set_b long, prefix array<long>")
+            for i in range(0, batch.num_rows, 1000):
+                n, a, b, early, late, maps, lost = [], [], [], [], [], [], []
+                for s in shingle_sets(batch.column(1).slice(i, 1000)):
+                    size = len(s)
+                    n.append(size)
+                    a.append(int(np.add.reduce(_mix(s))) & ((1 << 64) - 1))
+                    b.append(int(np.add.reduce(_mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)))) & ((1 << 64) - 1))
+                    bits, gone = _bitmap(s)
+                    maps.append(bits)
+                    lost.append(gone)
+                    take = size - _least_common(size) + 1 if size else 0
+                    common = np.zeros(size, dtype=bool)
+                    if size and len(frequent):
+                        common = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
+                    early.append(s[~common][:take])
+                    late.append(s[common][: max(0, take - len(early[-1]))])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(i, 1000),
+                        pa.array(n, pa.int64()),
+                        pa.array(_signed(np.array(a, dtype=np.uint64))),
+                        pa.array(_signed(np.array(b, dtype=np.uint64))),
+                        _lists(early),
+                        _lists(late),
+                        pa.array(maps, pa.binary()),
+                        pa.array(lost, pa.int64()),
+                    ],
+                    names=["doc_id", "n", "set_a", "set_b", "prefix", "late", "bitmap", "lost"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n long, set_a long, set_b long, prefix array<long>, late array<long>, bitmap binary, lost long"
+    )
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """``doc_id, tokens, bitmap, lost`` of the documents ``ids(doc_id)``, read again from their texts."""
+    """``doc_id, tokens`` of the documents ``ids(doc_id)``, read again from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 sets = list(shingle_sets(batch.column(1).slice(i, 500)))
-                maps, lost = [], []
-                for s in sets:
-                    on = np.zeros(BITS, dtype=bool)
-                    on[s & np.uint64(BITS - 1)] = True
-                    maps.append(np.packbits(on).tobytes())
-                    lost.append(len(s) - int(on.sum()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 500), _lists(sets), pa.array(maps, pa.binary()), pa.array(lost, pa.int64())],
-                    names=["doc_id", "tokens", "bitmap", "lost"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 500), _lists(sets)], names=["doc_id", "tokens"])
 
     some = docs.select("doc_id", "text").join(sized(ids), "doc_id", "left_semi")
-    read = some.mapInArrow(run, "doc_id long, tokens array<long>, bitmap binary, lost long")
-    return written(read, label).dropDuplicates(["doc_id"])
+    return written(some.mapInArrow(run, "doc_id long, tokens array<long>"), label)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` that link, by their whole sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
+def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """Those of the written ``pairs(a, b)`` that link, by their whole sets."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = _sets_of(docs, written(ids, f"{label}-ids"), f"{label}-sets")
+    few = sized(pairs)
+    left = sets.withColumnRenamed("doc_id", "a").join(few, "a").select("a", "b", F.col("tokens").alias("ta"))
+    right = sets.withColumnRenamed("doc_id", "b").join(few, "b").select("a", "b", F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("i"), (F.size("ta") + F.size("tb")).alias("n"))
-    return both.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * PERCENT).select("a", "b")
+    both = left.join(right, ["a", "b"]).select("a", "b", common.alias("i"), (F.size("ta") + F.size("tb")).alias("n"))
+    links = both.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * PERCENT).select("a", "b").distinct()
+    return written(links, f"{label}-links")
 
 
 class Tree:
-    """Signature tree over documents sorted by size; nodes[level][k] cover 2 ** level leaves."""
+    """Signature tree over documents sorted by size, with bitmaps of one width; a node of a level covers 2 ** level leaves."""
 
-    def __init__(self, n: np.ndarray, bits: np.ndarray, lost: np.ndarray, component: np.ndarray):
-        self.n, self.bits, self.lost, self.component = n, bits, lost, component
+    def __init__(self, ids: np.ndarray, n: np.ndarray, bits: np.ndarray, lost: np.ndarray, component: np.ndarray):
+        self.ids, self.n, self.bits, self.lost, self.component = ids, n, bits, lost, component
         edges = np.arange(0, len(n), LEAF)
         self.edges = np.append(edges, len(n))
         one = np.minimum.reduceat(component, edges)
@@ -167,6 +185,13 @@ class Tree:
             }
             self.levels.append(level)
 
+    def folded(self) -> Tree:
+        """The same documents with bitmaps of half the width."""
+        half = self.bits.shape[1] // 2
+        bits = self.bits[:, :half] | self.bits[:, half:]
+        lost = self.n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        return Tree(self.ids, self.n, bits, lost, self.component)
+
     def may_link(self, here: tuple[int, int], other: Tree, there: tuple[int, int]) -> bool:
         x, i, y, j = self.levels[here[0]], here[1], other.levels[there[0]], there[1]
         if x["component"][i] == y["component"][j] != -1:
@@ -207,56 +232,94 @@ def candidates(left: Tree, right: Tree) -> Iterator[tuple[np.ndarray, np.ndarray
             yield i + p.start, j + q.start
 
 
+def _trees(rows: pa.Table) -> dict[int, Tree]:
+    """A tree per width of bitmap."""
+    rows = rows.sort_by([("n", "ascending"), ("doc_id", "ascending")])
+    ids, n, lost, component = (rows[c].to_numpy() for c in ("doc_id", "n", "lost", "component"))
+    maps = rows["bitmap"].to_pylist()
+    widths = np.array([len(m) for m in maps])
+    trees = {}
+    for w in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == w)
+        bits = np.frombuffer(b"".join([maps[i] for i in at]), dtype=np.uint64).reshape(len(at), -1)
+        trees[w] = Tree(ids[at], n[at], bits, lost[at], component[at])
+    return trees
+
+
+def _bucket_pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one bucket (or pair of blocks) that could link. Linked sets differ by less than one doubling in width."""
+    side = rows["side"].to_numpy()
+    left = _trees(rows.filter(pa.array(side < 2)))
+    right = left if (side == 0).all() else _trees(rows.filter(pa.array(side > 0)))
+    for w, tree in left.items():
+        meets = [(tree, right[w])] if w in right else []
+        if 2 * w in right:
+            meets.append((tree, right[2 * w].folded()))
+        if right is not left and w % 2 == 0 and w // 2 in right:
+            meets.append((tree.folded(), right[w // 2]))
+        for x, y in meets:
+            for i, j in candidates(x, y):
+                yield x.ids[i], y.ids[j]
+
+
 def _tree_pairs(rows: DataFrame) -> DataFrame:
     """Candidate pairs ``(a, b)`` of buckets ``rows(bucket, doc_id, component, members, n, bitmap, lost)``.
 
-    Documents link only within a size class or to the next one (a class spans
-    a factor of 4/3), so a bucket falls apart into classes. Large buckets are
-    cut into blocks, and pairs of blocks are compared in separate tasks.
+    A large bucket is cut into blocks, and every two blocks meet in a task of
+    their own.
     """
-    width = float(np.log(100 / PERCENT))
     k = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("doc_id"), k).cast("int")
-    rows = rows.withColumns({"class": F.floor(F.log(F.col("n").cast("double")) / width), "k": k, "block": block})
-    parts = F.sequence(F.lit(0), F.col("k") - 1)
-
-    def job(cls, i, j, side) -> F.Column:
-        return F.struct(cls.alias("cls"), i.alias("i"), j.alias("j"), side.alias("side"))
-
-    own, block = F.col("class"), F.col("block")
-    # side 0 meets side 1; side 2 meets itself. Rounding at a class's edge may move a size by one class: hence two classes on.
-    jobs = F.concat(
-        F.transform(parts, lambda j: job(own, F.least(block, j), F.greatest(block, j), F.lit(2))),
-        *(F.transform(parts, lambda j, d=d: job(own - d, j, block, F.lit(d * 10 + 1))) for d in (1, 2)),
-        *(F.transform(parts, lambda j, d=d: job(own, block, j, F.lit(d * 10))) for d in (1, 2)),
+    block = F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int")
+    rows = rows.withColumn("k", k).withColumn("block", block)
+    # side 0: a block against itself; 1 and 2: against a later block
+    meeting = F.transform(
+        F.sequence(F.lit(0), F.col("k") - 1),
+        lambda j: F.struct(
+            F.least("block", j).alias("i"),
+            F.greatest("block", j).alias("j"),
+            F.when(j == F.col("block"), 0).when(j > F.col("block"), 1).otherwise(2).cast("long").alias("side"),
+        ),
     )
-    dealt = rows.select("bucket", "doc_id", "component", "n", "bitmap", "lost", F.explode(jobs).alias("job")).select(
-        "bucket", "doc_id", "component", "n", "bitmap", "lost", "job.cls", "job.i", "job.j",
-        F.floor(F.col("job.side") / 10).alias("step"), (F.col("job.side") % 10).alias("side"),
-    )
+    dealt = rows.select("bucket", "doc_id", "component", "n", "bitmap", "lost", F.explode(meeting).alias("m")).select(
+        "bucket", "m.i", "m.j", "m.side", "doc_id", "component", "n", "bitmap", "lost"
+    )
+    key = ["bucket", "i", "j"]
 
-    def tree(table: pa.Table) -> Tree:
-        table = table.sort_by([("n", "ascending"), ("doc_id", "ascending")])
-        bits = np.frombuffer(b"".join(table["bitmap"].to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64)
-        t = Tree(*(x if isinstance(x, np.ndarray) else x.to_numpy() for x in (table["n"], bits, table["lost"], table["component"])))
-        t.ids = table["doc_id"].to_numpy()
-        return t
-
-    def run(table: pa.Table) -> pa.Table:
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        side = table["side"].to_numpy()
-        if table["step"][0].as_py() == 0:
-            left = right = tree(table) if len(side) > 1 else None
-        else:
-            left, right = (tree(table.filter(pa.array(side == s))) if (side == s).any() else None for s in (0, 1))
-        if left is not None and right is not None:
-            for i, j in candidates(left, right):
-                a.append(np.minimum(left.ids[i], right.ids[j]))
-                b.append(np.maximum(left.ids[i], right.ids[j]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    mixed = dealt.groupBy("bucket", "cls", "i", "j", "step").applyInArrow(run, "a long, b long")
-    return mixed.where("a < b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, key):
+            a, b = [], []
+            for x, y in _bucket_pairs(table):
+                a.append(np.minimum(x, y))
+                b.append(np.maximum(x, y))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    # Sorted rows arrive in batches: far less work for many small buckets than a call for each.
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").where("a < b").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with the same key, each as one table."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        values = np.stack([table[c].to_numpy() for c in key])
+        cuts = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        at = 0
+        for cut in cuts.tolist():
+            yield table.slice(at, cut - at)
+            at = cut
+        rest = table.slice(at)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _may_meet(rows: DataFrame) -> DataFrame:
+    """Rows of a bucket that have a size near enough to the next smaller's or larger's there."""
+    by_size = Window.partitionBy("bucket").orderBy("n", "doc_id")
+    near = (100 * F.lag("n").over(by_size) >= PERCENT * F.col("n")) | (100 * F.col("n") >= PERCENT * F.lead("n").over(by_size))
+    return rows.withColumn("near", near).where("near").drop("near")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -277,43 +340,57 @@ def similar_components(docs: DataFrame) -> DataFrame:
         members.join(classes.where("rows > 1"), ["n", "set_a", "set_b"]).where("doc_id != rep").select("doc_id").distinct(), "shingle-copies"
     )
     first = sketch.where("n > 0 and doc_id is not null").join(sized(copies), "doc_id", "left_anti")
+    shared = written(_shared(first), "shingle-buckets")
 
-    prefix = first.select(F.col("doc_id").alias("doc"), F.explode("prefix").alias("token"))
-    buckets = prefix.groupBy("token").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low != high")
-    shared = written(prefix.join(buckets.select("token", "low"), "token"), "shingle-buckets")
-
-    sizes = first.select(F.col("doc_id").alias("doc"), F.size("prefix").alias("taken"))
+    sizes = first.select(F.col("doc_id").alias("doc"), (F.size("prefix") + F.size("late")).alias("taken"))
     close = (
         shared.where("doc != low").groupBy("doc", "low").agg(F.count("*").alias("k")).join(sizes, "doc")
         .where("2 * k >= taken").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct()
     )
-    close = written(close, "near-pairs")
-    ids = written(close.select(F.col("a").alias("doc_id")).unionByName(close.select(F.col("b").alias("doc_id"))).distinct(), "near-ids")
-    links = written(_verified(close, _sets_of(docs, ids, "near-sets")), "near-links")
+    links = _verified(docs, written(close, "near-pairs"), "near")
     settled = written(connected_components(links), "near-components")
 
-    labelled = shared.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
+    labelled = shared.join(sized(settled).withColumnRenamed("node", "doc"), "doc", "left").select(
         "token", "doc", F.coalesce("component", "doc").alias("component")
     )
     open_buckets = (
         labelled.groupBy("token")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("who"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("members"),
+            F.bit_xor(F.xxhash64("doc")).alias("who"),
+            F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("who2"),
+        )
         .where("low != high")
-        .groupBy("members", "who")  # buckets of the same documents are one
+        .groupBy("members", "who", "who2")  # buckets of the same documents are one
         .agg(F.min("token").alias("token"))
         .select("token", "members")
     )
-    rows = written(labelled.join(open_buckets, "token"), "open-buckets")
-    ids = written(rows.select(F.col("doc").alias("doc_id")).distinct(), "open-ids")
-    sets = _sets_of(docs, ids, "open-sets")
-    described = rows.join(
-        sets.select(F.col("doc_id").alias("doc"), F.size("tokens").cast("long").alias("n"), "bitmap", "lost"), "doc"
-    ).select(F.col("token").alias("bucket"), F.col("doc").alias("doc_id"), "component", "members", "n", "bitmap", "lost")
-    pairs = written(_tree_pairs(described), "tree-pairs")
-    late = written(_verified(pairs, sets), "tree-links")
-    component = written(connected_components(links.unionByName(late)), "final-components") if not late.isEmpty() else settled
+    rows = labelled.join(sized(written(open_buckets, "open-buckets")), "token")
+    facts = first.select(F.col("doc_id").alias("doc"), "n", "bitmap", "lost")
+    sized_rows = written(rows.join(facts.select("doc", "n"), "doc").select(F.col("token").alias("bucket"), F.col("doc").alias("doc_id"), "component", "members", "n"), "open-rows")
+    described = _may_meet(sized_rows).join(facts.select(F.col("doc").alias("doc_id"), "bitmap", "lost"), "doc_id")
+    late = _verified(docs, written(_tree_pairs(described), "tree-pairs"), "tree")
+    component = settled if late.isEmpty() else written(connected_components(links.unionByName(late)), "all-components")
 
     class_of = members.join(classes.drop("rows"), ["n", "set_a", "set_b"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     return class_of.join(component.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
     )
+
+
+def _shared(first: DataFrame) -> DataFrame:
+    """``token, doc, low``: prefix shingles that several documents have, with the smallest of these.
+
+    Frequent shingles (known and few) are counted with partial sums and
+    joined, so that adaptive execution can split them; the others need only
+    one exchange.
+    """
+    rare = first.select(F.col("doc_id").alias("doc"), F.explode("prefix").alias("token"))
+    same = Window.partitionBy("token")
+    rare = rare.select("token", "doc", F.min("doc").over(same).alias("low"), F.max("doc").over(same).alias("high"))
+    late = first.select(F.col("doc_id").alias("doc"), F.explode("late").alias("token"))
+    ends = late.groupBy("token").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    late = late.join(ends, "token").select("token", "doc", "low", "high")
+    return rare.unionByName(late).where("low != high").drop("high")
