@@ -10,12 +10,15 @@
 3. Documents that share many of them with their bucket's smallest id are
    compared with it. Connected components of the links found settle nearly all
    buckets: one whose documents are all connected needs no more work.
-4. In the other buckets signature trees find the pairs that could still link:
-   a node holds the OR of its documents' token bitmaps, their range of sizes,
-   and the most tokens a document lost to shared bits. Two trees are walked
-   together; a pair of nodes is dropped if the sizes or the greatest possible
-   overlap rule out a link, or if all their documents are connected already.
-   What remains is compared exactly, and components are taken over all links.
+4. In the other buckets signature trees find the documents that could still
+   link: a node holds the OR of its documents' token bitmaps, their range of
+   sizes, and the most tokens a document lost to shared bits. Two trees are
+   walked together; a pair of nodes is dropped if the sizes or the greatest
+   possible overlap rule out a link, or if all their documents are connected
+   already. The documents found go through the same walk once more with
+   bitmaps of all the shingles they share, so that overlaps are exact. It
+   returns only links that connect what was not connected, and components are
+   taken over all links.
 
 No pair with a similarity of 0.75 is lost: the shared prefix shingle, the size
 bound and the overlap bound hold for every such pair. Pairs inside one
@@ -262,40 +265,94 @@ def _bucket_pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 yield x.ids[i], y.ids[j]
 
 
-def _tree_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)`` of buckets ``rows(bucket, doc_id, component, members, n, bitmap, lost)``.
+def _meetings(rows: DataFrame, key: str) -> DataFrame:
+    """``rows(key, members, doc_id, ...)`` dealt to groups ``key, i, j``: a group with many members is cut into blocks.
 
-    A large bucket is cut into blocks, and every two blocks meet in a task of
-    their own.
+    Every two blocks of a group meet, and every block meets itself, each in a
+    task's share of sorted rows. ``side``: 0 for a block that meets itself, 1
+    and 2 for two blocks.
     """
     k = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int")
-    rows = rows.withColumn("k", k).withColumn("block", block)
-    # side 0: a block against itself; 1 and 2: against a later block
+    block = F.pmod(F.xxhash64("doc_id"), F.col("_k")).cast("int")
     meeting = F.transform(
-        F.sequence(F.lit(0), F.col("k") - 1),
+        F.sequence(F.lit(0), F.col("_k") - 1),
         lambda j: F.struct(
-            F.least("block", j).alias("i"),
-            F.greatest("block", j).alias("j"),
-            F.when(j == F.col("block"), 0).when(j > F.col("block"), 1).otherwise(2).cast("long").alias("side"),
+            F.least("_block", j).alias("i"),
+            F.greatest("_block", j).alias("j"),
+            F.when(j == F.col("_block"), 0).when(j > F.col("_block"), 1).otherwise(2).cast("long").alias("side"),
         ),
     )
-    dealt = rows.select("bucket", "doc_id", "component", "n", "bitmap", "lost", F.explode(meeting).alias("m")).select(
-        "bucket", "m.i", "m.j", "m.side", "doc_id", "component", "n", "bitmap", "lost"
+    rest = [c for c in rows.columns if c not in (key, "members")]
+    dealt = rows.withColumn("_k", k).withColumn("_block", block).select(key, F.explode(meeting).alias("_m"), *rest)
+    return (
+        dealt.select(key, "_m.i", "_m.j", "_m.side", *rest).repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
     )
-    key = ["bucket", "i", "j"]
+
+
+def _open_documents(rows: DataFrame) -> DataFrame:
+    """``low, doc_id`` of documents that have a possible link in ``rows(bucket, members, doc_id, low, component, n, bitmap, lost)``.
+
+    Documents, not pairs, leave the trees: no more rows than went in.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, key):
-            a, b = [], []
-            for x, y in _bucket_pairs(table):
-                a.append(np.minimum(x, y))
-                b.append(np.maximum(x, y))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+        for table in _groups(batches, ["bucket", "i", "j"]):
+            found = np.unique(np.concatenate([ids for pair in _bucket_pairs(table) for ids in pair] or [np.empty(0, np.int64)]))
+            if len(found):
+                low = np.full(len(found), table["low"][0].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(found)], names=["low", "doc_id"])
+
+    return _meetings(rows, "bucket").mapInArrow(run, "low long, doc_id long").distinct()
+
+
+def _exact_trees(table: pa.Table) -> tuple[Tree, Tree]:
+    """Trees whose bitmaps have a bit for each shingle that two documents here share: overlaps are exact."""
+    table = table.sort_by([("n", "ascending"), ("doc_id", "ascending")])
+    tokens = table["tokens"].combine_chunks()
+    edges = tokens.offsets.to_numpy()
+    values, place, count = np.unique(tokens.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    bit = np.cumsum(count > 1) - 1
+    width = 64 * max(1, -(-int((count > 1).sum()) // 64))
+    bits = np.zeros((len(table), width // 64), dtype=np.uint64)
+    for k in range(len(table)):
+        own = place[edges[k] - edges[0] : edges[k + 1] - edges[0]]
+        on = np.zeros(width, dtype=bool)
+        on[bit[own[count[own] > 1]]] = True
+        bits[k] = np.packbits(on, bitorder="little").view(np.uint64)
+    side = table["side"].to_numpy()
+    ids, n, component = (table[c].to_numpy() for c in ("doc_id", "n", "component"))
+
+    def tree(at: np.ndarray) -> Tree:
+        return Tree(ids[at], n[at], bits[at], np.zeros(int(at.sum()), dtype=np.int64), component[at].copy())
+
+    left = tree(side < 2)
+    return left, left if (side == 0).all() else tree(side == 2)
+
+
+def _forest(left: Tree, right: Tree) -> Iterator[tuple[int, int]]:
+    """Links between documents of different components, each of which joins two of them."""
+    for i, j in candidates(left, right):
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            old, new = left.component[x], right.component[y]
+            if old != new:
+                yield int(left.ids[x]), int(right.ids[y])
+                for t in (left, right):
+                    t.component[t.component == old] = new
+
+
+def _tree_links(rows: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` in ``rows(low, members, doc_id, component, n, tokens)`` that connect what was not connected."""
 
-    # Sorted rows arrive in batches: far less work for many small buckets than a call for each.
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").where("a < b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["low", "i", "j"]):
+            sides = table["side"].to_numpy()
+            if len(sides) > 1 and not ((sides > 0).all() and (sides == sides[0]).all()):
+                links = list(_forest(*_exact_trees(table)))
+                if links:
+                    a, b = zip(*links, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return _meetings(rows, "low").mapInArrow(run, "a long, b long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
@@ -351,27 +408,37 @@ def similar_components(docs: DataFrame) -> DataFrame:
     settled = written(connected_components(links), "near-components")
 
     labelled = shared.join(sized(settled).withColumnRenamed("node", "doc"), "doc", "left").select(
-        "token", "doc", F.coalesce("component", "doc").alias("component")
+        "token", "doc", "low", F.coalesce("component", "doc").alias("component")
     )
     open_buckets = (
         labelled.groupBy("token")
         .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
+            F.min("component").alias("first"),
+            F.max("component").alias("last"),
             F.count("*").alias("members"),
             F.bit_xor(F.xxhash64("doc")).alias("who"),
             F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("who2"),
         )
-        .where("low != high")
+        .where("first != last")
         .groupBy("members", "who", "who2")  # buckets of the same documents are one
         .agg(F.min("token").alias("token"))
         .select("token", "members")
     )
     rows = labelled.join(sized(written(open_buckets, "open-buckets")), "token")
     facts = first.select(F.col("doc_id").alias("doc"), "n", "bitmap", "lost")
-    sized_rows = written(rows.join(facts.select("doc", "n"), "doc").select(F.col("token").alias("bucket"), F.col("doc").alias("doc_id"), "component", "members", "n"), "open-rows")
-    described = _may_meet(sized_rows).join(facts.select(F.col("doc").alias("doc_id"), "bitmap", "lost"), "doc_id")
-    late = _verified(docs, written(_tree_pairs(described), "tree-pairs"), "tree")
+    rows = rows.join(facts.select("doc", "n"), "doc").select(
+        F.col("token").alias("bucket"), "low", F.col("doc").alias("doc_id"), "component", "members", "n"
+    )
+    described = _may_meet(written(rows, "open-rows")).join(facts.select(F.col("doc").alias("doc_id"), "bitmap", "lost"), "doc_id")
+    opened = written(_open_documents(described), "open-documents")
+    sets = _sets_of(docs, written(opened.select("doc_id").distinct(), "open-ids"), "open-sets")
+    labels = opened.join(opened.groupBy("low").agg(F.count("*").alias("members")), "low").join(
+        sized(settled).withColumnRenamed("node", "doc_id"), "doc_id", "left"
+    )
+    whole = labels.join(sets.withColumn("n", F.size("tokens").cast("long")), "doc_id").select(
+        "low", "members", "doc_id", F.coalesce("component", "doc_id").alias("component"), "n", "tokens"
+    )
+    late = written(_tree_links(whole), "tree-links")
     component = settled if late.isEmpty() else written(connected_components(links.unionByName(late)), "all-components")
 
     class_of = members.join(classes.drop("rows"), ["n", "set_a", "set_b"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
