@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strata.llm import host_rules as H
+from strata.llm import url_redirects as U
 
 _SPACE = r"[\x20\x09-\x0D]"
 
@@ -36,3 +37,57 @@ v as (select h.source, greatest(case when kb is null then mb else (fb + mb * kb)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not v.bad as kept
 from j join v on j.source is not distinct from v.source
 """
+
+_PIECES = r"[\p{L}]+|[\p{N}]+|[^\x20\x09-\x0D\p{L}\p{N}]"
+
+TOKEN_ROLLUP = rf"""
+with d as (select doc_id, source, lang, coalesce(text, '') as t from documents),
+kept as (select distinct doc_id, source, lang, t, row_number() over (partition by t order by doc_id) as k from d),
+u as (select source, lang, replace(t, '|', ' ') as t from kept where k = 1),
+c as (select source, lang, 'words-1' as tokenizer, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) as n from u
+      union all select source, lang, 'pieces-2', len(regexp_extract_all(t, '{_PIECES}')) from u)
+select source, lang, tokenizer, cast(count(*) as bigint) as n_docs, cast(sum(n) as bigint) as n_tokens from c group by all
+"""
+
+#: Conversations as lists of turns; a shorter list that starts a longer one is dropped, and of equal ones all but the first.
+SNAPSHOT_COLLAPSE = """
+with o as (select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) - 1 as position
+           from conversations where conv_id is not null),
+c as (select conv_id, list({'r': role, 't': text} order by position) as turns, count(*) as n from o group by conv_id),
+k as (select * from c a where not exists (
+        select 1 from c b where b.conv_id <> a.conv_id and b.turns[1:a.n] = a.turns and (b.n > a.n or b.conv_id < a.conv_id)))
+select o.conv_id, cast(k.n as bigint) as n_turns, cast(o.position as bigint) as position, coalesce(role, 'unknown') as role,
+       '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10) as rendered
+from o join k on o.conv_id = k.conv_id
+"""
+
+_HOST = "translate(regexp_extract(coalesce({0}, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract(coalesce({0}, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
+
+
+def _rule() -> str:
+    cases = [
+        f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}') then '{r.text}'"
+        for r in sorted(U.RULES, key=lambda r: -len(r.text))
+    ]
+    return f"case {' '.join(cases)} end"
+
+
+def _verdict() -> str:
+    return "case " + " ".join(f"when rule = '{r.text}' then '{r.verdict}'" for r in U.RULES) + " end"
+
+
+#: The pages of the driver name no canonical address and no redirect: aliases here are spellings of one address.
+URL_REDIRECTS = f"""
+with h as (select page_id, url, {_HOST.format('url')} as host, {_PATH.format('url')} as path from pages),
+r as (select *, {_rule()} as rule,
+      case when contains(url, '://') then regexp_replace(host, '^www[.]', '') ||
+        regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+          regexp_extract(url, '^(?s:.*?)://[^/?#]*((?s:.*))$', 1), '#(?s:.*)$', ''),
+          '([?&])(utm_[a-z]+|ref|fbclid|gclid)=[^&#]*&', '\\1', 'g'), '([?&])(utm_[a-z]+|ref|fbclid|gclid)=[^&#]*$', '\\1'),
+          '[?&]$', ''), '/([?]|$)', '\\1', 'g') end as node from h),
+v as (select *, {_verdict()} as own from r),
+b as (select distinct node from v where own = 'block')
+select page_id, host, path, rule, coalesce(own, case when b.node is not null then 'block' end, 'allow') as verdict
+from v left join b on v.node = b.node
+"""

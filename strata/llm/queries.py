@@ -6,16 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import best_two_fit, bpe_backtrack, host_rules, oracle, ppm_langid, signature_tree
+from strata.llm import (
+    best_two_fit,
+    bpe_backtrack,
+    host_rules,
+    oracle,
+    ppm_langid,
+    signature_tree,
+    snapshot_collapse,
+    token_rollup,
+    url_redirects,
+)
 from strata.llm.tables import table
+from strata.plans.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_redirects.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_two_fit.pack(table(spark, sf_dir, "documents"), bpe_backtrack.vocabulary_path())
 
 
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = token_rollup.Rollup(spark, scratch_path(spark, "token-rollup"))
+    for batch_id, changes in token_rollup.change_feed(table(spark, sf_dir, "documents")).items():
+        rollup.commit(batch_id, changes)
+        rollup.commit(batch_id, changes)  # a repeated commit counts once
+    return rollup.totals()
+
+
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     judged = host_rules.judge(docs, keep=["doc_id", "source"])
@@ -36,14 +59,24 @@ def op9_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op10_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot_collapse.rendered(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_redirects": op1_url_redirects,
     "op4_best_two_fit": op4_best_two_fit,
+    "op5_token_rollup": op5_token_rollup,
     "op6_host_rules": op6_host_rules,
     "op7_bpe_backtrack": op7_bpe_backtrack,
     "op8_ppm_langid": op8_ppm_langid,
     "op9_signature_tree": op9_signature_tree,
+    "op10_snapshot_collapse": op10_snapshot_collapse,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_url_redirects": oracle.URL_REDIRECTS,
+    "op5_token_rollup": oracle.TOKEN_ROLLUP,
     "op6_host_rules": oracle.HOST_RULES,
+    "op10_snapshot_collapse": oracle.SNAPSHOT_COLLAPSE,
 }
