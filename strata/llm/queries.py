@@ -10,6 +10,7 @@ from strata.llm import (
     best_two_fit,
     bpe_backtrack,
     host_rules,
+    iblt,
     oracle,
     ppm_langid,
     signature_tree,
@@ -27,6 +28,10 @@ def op1_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_redirects.judge(table(spark, sf_dir, "pages"))
 
 
+def op3_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_two_fit.pack(table(spark, sf_dir, "documents"), bpe_backtrack.vocabulary_path())
 
@@ -65,6 +70,7 @@ def op10_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_redirects": op1_url_redirects,
+    "op3_iblt": op3_iblt,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_token_rollup": op5_token_rollup,
     "op6_host_rules": op6_host_rules,
