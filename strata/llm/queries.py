@@ -10,6 +10,7 @@ from strata.llm import (
     best_two_fit,
     bpe_backtrack,
     host_rules,
+    html_suffix,
     iblt,
     oracle,
     ppm_langid,
@@ -28,6 +29,10 @@ def op1_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_redirects.judge(table(spark, sf_dir, "pages"))
 
 
+def op2_html_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_suffix.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ def op10_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_redirects": op1_url_redirects,
+    "op2_html_suffix": op2_html_suffix,
     "op3_iblt": op3_iblt,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_token_rollup": op5_token_rollup,
