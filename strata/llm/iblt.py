@@ -70,16 +70,16 @@ def _next_lower(ids: DataFrame) -> DataFrame:
     By radix: within groups of neighbouring ids, then between groups in the
     same way. No window holds more than ``2 ** BUCKET_BITS`` rows.
     """
-    ends = ids.agg(F.min("id"), F.max("id")).first()
-    within = Window.partitionBy("g").orderBy(F.desc("id"))
-    ids = ids.withColumn("g", F.shiftright("id", BUCKET_BITS))
-    here = ids.withColumn("lower", F.lead("id").over(within))
-    if ends[0] is None or ends[0] >> BUCKET_BITS == ends[1] >> BUCKET_BITS:
+    few = ids.limit((1 << BUCKET_BITS) + 1).count() <= 1 << BUCKET_BITS
+    ids = ids.withColumn("g", F.lit(0).cast("long") if few else F.shiftright("id", BUCKET_BITS))
+    here = ids.withColumn("lower", F.lead("id").over(Window.partitionBy("g").orderBy(F.desc("id"))))
+    if few:
         return here.select("id", "lower")
     groups = written(ids.groupBy("g").agg(F.max("id").alias("head"), F.min("id").alias("tail")), "id-groups")
     below = _next_lower(groups.select(F.col("g").alias("id")))
-    below = below.join(groups.select(F.col("g").alias("lower"), "head"), "lower").select(F.col("id").alias("g"), "head")
-    tails = groups.join(below, "g", "left").select(F.col("tail").alias("id"), F.col("head").alias("below"))
+    heads = groups.select(F.col("g").alias("lower"), F.col("head").alias("below"))
+    below = below.join(heads, "lower").select(F.col("id").alias("g"), "below")
+    tails = groups.select("g", F.col("tail").alias("id")).join(below, "g", "left").select("id", "below")
     return here.join(tails, "id", "left").select("id", F.coalesce("lower", "below").alias("lower"))
 
 

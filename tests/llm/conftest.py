@@ -1,0 +1,14 @@
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def docs(spark):
+    """A table of documents from ``(doc_id, text)`` or ``(doc_id, text, lang, source)`` rows."""
+
+    def make(rows, schema=DOCS):
+        full = [(*r, "en", "s") if len(r) == 2 else r for r in rows]
+        return spark.createDataFrame([(*r, len(r[1] or "")) for r in full], schema)
+
+    return make
