@@ -59,7 +59,7 @@ def main() -> None:
     layout = write_raw_files(spark, sf_dir, f"{root}/raw")
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up
 
-    spec = RunSpec(declared_schemas=True, concurrent=os.environ.get("BENCH_CONCURRENT", "1") == "1")
+    spec = RunSpec(concurrent=os.environ.get("BENCH_CONCURRENT", "1") == "1")
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
 

@@ -30,6 +30,10 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Sign, integer part and fraction of plain decimal text with a digit somewhere; control characters and spaces around it.
+DECIMAL_TEXT = r"^[\x00-\x20]*([+-]?[0-9]*)(?:(?<=[0-9])\.[0-9]*|\.[0-9]+|(?<=[0-9]))[\x00-\x20]*$"
+
+
 def ascii_trim(c: str | Column) -> Column:
     """Strip ASCII spaces at both ends; tabs and newlines stay, '' stays ''."""
     return F.trim(_c(c))
@@ -38,13 +42,16 @@ def ascii_trim(c: str | Column) -> Column:
 def tolerant_cast(c: str | Column, target: str, source_type: T.DataType | None = None) -> Column:
     """Cast that yields NULL instead of failing.
 
-    Text bound for an integer goes through double first, so ``'3.7'`` becomes
-    3 (truncation, as a non-ANSI cast gives) while ``'abc'`` and values out of
-    range become NULL.
+    Text bound for an integer must be a plain decimal number; its integer part
+    is cast straight to the target, so ``'3.7'`` becomes 3 (truncation, as a
+    non-ANSI cast gives) and no digit of a wide number is lost, while
+    ``'abc'``, ``'1e3'``, ``'5d'`` and values out of range become NULL.
     """
     col = _c(c)
     if target in ("int", "bigint", "smallint", "tinyint") and isinstance(source_type, T.StringType):
-        return col.try_cast("double").try_cast(target)
+        whole = F.regexp_extract(col, DECIMAL_TEXT, 1)
+        plain = col.rlike(DECIMAL_TEXT)
+        return F.when(plain & whole.rlike("[0-9]"), whole.try_cast(target)).when(plain, F.lit(0).cast(target))
     if source_type is not None and target == "string" and isinstance(source_type, T.StringType):
         return col
     return col.try_cast(target)

@@ -56,7 +56,7 @@ def quality_summary(weekly: DataFrame, cvs: DataFrame) -> DataFrame:
 
 
 def weekly_trend(weekly: DataFrame, year: int) -> DataFrame:
-    """Mean of the weekly star averages per week start, over all rows of a year."""
+    """Mean of the weekly star averages per week start, over all rows of a year, in week order."""
     return (
         weekly.filter(F.col("review_year") == year)
         .groupBy("review_week")
@@ -64,6 +64,7 @@ def weekly_trend(weekly: DataFrame, year: int) -> DataFrame:
             S.avg_hundredths("avg_stars_weekly").alias("avg_stars"),
             F.count(F.lit(1)).alias("business_weeks"),
         )
+        .orderBy("review_week")
     )
 
 
@@ -85,7 +86,7 @@ def top_checkins(cvs: DataFrame, n: int = 20) -> DataFrame:
 def business_history(weekly: DataFrame, name: str) -> DataFrame:
     """All weekly rows of the businesses with this exact name, busiest week first."""
     return weekly.filter(F.col("business_name") == name).orderBy(
-        F.col("review_count_weekly").desc(), "business_id", "review_week"
+        F.col("review_count_weekly").desc(), "business_id", "review_week", "review_year", "review_week_number"
     )
 
 

@@ -112,6 +112,9 @@ def field_expr(f: Field, source_type: T.DataType | None) -> Column:
 def project(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Select, rename and type the spec's columns (everything else is dropped)."""
     types = {f.name: f.dataType for f in df.schema.fields}
+    absent = [f.source for f in spec.fields if f.name in spec.required and f.source not in types]
+    if absent:  # optional columns become typed NULLs; without a required one every row would be dropped
+        raise ValueError(f"{spec.name}: required raw column(s) absent: {', '.join(absent)}")
     return df.select(*[field_expr(f, types.get(f.source)) for f in spec.fields])
 
 

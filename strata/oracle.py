@@ -43,7 +43,10 @@ def _int(x: str) -> str:
 
 
 def _int_from_text(x: str) -> str:
-    return f"try_cast(trunc(try_cast({x} as double)) as integer)"
+    return (
+        f"case when regexp_full_match({x}, '[+-]?[0-9]+([.][0-9]*)?') then try_cast(string_split({x}, '.')[1] as integer) "
+        f"when regexp_full_match({x}, '[+-]?[.][0-9]+') then 0 end"
+    )
 
 
 def _day_text(n: str) -> str:
@@ -375,10 +378,11 @@ def queries(params: dict) -> dict[str, str]:
         # bronze and sinks
         "json_scan": ("select * from raw_review", ("raw_review",)),
         "bronze_metadata": (
-            "select *, 'business.json' as source_file, current_date as ingestion_date from raw_business",
+            "select *, 'business.json' as source_file, true as ingested from raw_business",
             ("raw_business",),
         ),
         "bronze_load": ("select * from raw_business", ("raw_business",)),
+        "bronze_declared": ("select * from raw_business", ("raw_business",)),
         "bronze_counts": (counts, all_raw),
         "bronze_incremental": ("select * from raw_business", ("raw_business",)),
         "parquet_roundtrip": ("select * from silver_business", ("silver_business",)),
@@ -431,6 +435,7 @@ def queries(params: dict) -> dict[str, str]:
         "weekly_partitioned": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
         "checkin_counts": ("select * from checkin_counts", ("checkin_counts",)),
         "checkins_vs_stars": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
+        "end_to_end_weekly": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
         "end_to_end": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
         # analyses
         "top_businesses_by_year": (
@@ -462,7 +467,7 @@ def queries(params: dict) -> dict[str, str]:
                    cast(sum(cast(round(avg_stars_weekly * 100) as bigint)) as double)
                      / (count(avg_stars_weekly) * 100) as avg_stars,
                    count(*) as business_weeks
-            from weekly_stars where review_year = {trend_year} group by review_week""",
+            from weekly_stars where review_year = {trend_year} group by review_week order by 1""",
             ("weekly_stars",),
         ),
         "checkin_scatter": (
@@ -475,7 +480,8 @@ def queries(params: dict) -> dict[str, str]:
             ("checkins_vs_stars",),
         ),
         "business_history": (
-            f"select {WEEKLY_OUT} from weekly_stars where business_name = '{name}'",
+            f"select {WEEKLY_OUT} from weekly_stars where business_name = '{name}' "
+            "order by review_count_weekly desc, business_id, review_week, review_year, review_week_number",
             ("weekly_stars",),
         ),
         "same_week_yoy": (

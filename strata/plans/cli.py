@@ -44,7 +44,7 @@ class RunConfig:
     shuffle_partitions: int | None = None
     spark_conf: dict[str, str] = field(default_factory=dict)
     datasets: tuple[str, ...] = DATASETS
-    declared_schemas: bool = True
+    declared_schemas: bool = False
     weekly_partition_by: tuple[str, ...] = ("review_year",)
     concurrent: bool = True
     layers: tuple[str, ...] = LAYERS
@@ -157,7 +157,11 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     p.add_argument("--app-name")
     p.add_argument("--shuffle-partitions", type=int)
     p.add_argument("--datasets", help="comma-separated subset of " + ",".join(DATASETS))
-    p.add_argument("--infer-schemas", action="store_true", help="infer raw JSON schemas (one extra pass)")
+    p.add_argument(
+        "--declared-schemas", action="store_true",
+        help="read the raw JSON with the declared schemas: no inference pass, but keys outside of them are not read",
+    )
+    p.add_argument("--infer-schemas", action="store_true", help="infer raw JSON schemas (the default: keeps every key)")
     p.add_argument("--weekly-partition-by", help="comma-separated partition columns of weekly_stars")
     p.add_argument("--serial", action="store_true", help="run the tables of a layer one after another")
     p.add_argument(
@@ -192,7 +196,7 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
         k, v = item.split("=", 1)
         extra[k.strip()] = v.strip()
     kw["spark_conf"] = {**kw.get("spark_conf", {}), **extra}
-    kw["declared_schemas"] = not a.infer_schemas
+    kw["declared_schemas"] = a.declared_schemas and not a.infer_schemas
     kw["concurrent"] = not a.serial
     if "raw" not in kw:
         p.error("the raw folder is required (--raw or paths.raw in --config)")

@@ -12,7 +12,8 @@ small tables do not leave the cluster idle while a big one runs.
 from __future__ import annotations
 
 import logging
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,11 +139,33 @@ def _unique(names) -> list[str]:
     return list(dict.fromkeys(names))
 
 
-def _each(fn, items, concurrent: bool) -> dict:
+def _each(spark: SparkSession, fn, items, concurrent: bool) -> dict:
+    """``fn`` for each item, at the same time if asked for; the first failure cancels the other items' Spark jobs."""
     if not concurrent or len(items) < 2:
         return {i: fn(i) for i in items}
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no job tags here
+        sc = None
+    tag = f"strata-{uuid.uuid4().hex}"
+
+    def tagged(item):
+        if sc is None:
+            return fn(item)
+        sc.addJobTag(tag)
+        try:
+            return fn(item)
+        finally:
+            sc.removeJobTag(tag)
+
     with ThreadPoolExecutor(max_workers=len(items)) as pool:
-        futures = {i: pool.submit(fn, i) for i in items}
+        futures = {i: pool.submit(tagged, i) for i in items}
+        done, _ = wait(futures.values(), return_when=FIRST_EXCEPTION)
+        failed = next((f for f in futures.values() if f in done and f.exception()), None)
+        if failed is not None:
+            if sc is not None:
+                sc.cancelJobsWithTag(tag)
+            failed.result()
         return {i: f.result() for i, f in futures.items()}
 
 
@@ -154,7 +177,7 @@ def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
         schema = RAW_SCHEMAS.get(name) if spec.declared_schemas else None
         return load_to_bronze(s, layout.raw_file(name), layout.bronze(name), schema)
 
-    return _each(_labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
+    return _each(spark, _labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
 
 
 def _sized(spark: SparkSession, spec: RunSpec, layer: str, inputs: list[str]) -> SparkSession:
@@ -176,7 +199,7 @@ def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
         log.info("cleaned %s: %d rows", name, rows)
         return rows
 
-    return _each(_labelled(spark, "silver", one), datasets, spec.concurrent)
+    return _each(spark, _labelled(spark, "silver", one), datasets, spec.concurrent)
 
 
 def _count_column(dataset: str, column: str) -> str | None:
@@ -201,6 +224,8 @@ def build_checkins_vs_stars(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
     tables = [g for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(spec.datasets)]
+    for g in sorted(set(GOLD_TABLES) - set(tables)):
+        log.warning("gold %s: skipped, its inputs %s are not all among the run's datasets", g, ", ".join(GOLD_INPUTS[g]))
     inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
     s = _sized(spark, spec, "gold", [layout.silver(d) for d in inputs])
 
@@ -217,7 +242,7 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
         log.info("gold %s: %d rows", name, rows)
         return rows
 
-    return _each(_labelled(spark, "gold", one), tables, spec.concurrent)
+    return _each(spark, _labelled(spark, "gold", one), tables, spec.concurrent)
 
 
 LAYERS = ("bronze", "silver", "gold")
@@ -241,11 +266,11 @@ def run_layers(
 
 
 def layer_counts(spark: SparkSession, layout: Layout, datasets: tuple[str, ...] = DATASETS) -> DataFrame:
-    """(layer, dataset, row_count) over every written table, as one Spark query."""
+    """(layer, dataset, row_count) over every table that a run of ``datasets`` writes, as one Spark query."""
     tables = (
         [("bronze", d, layout.bronze(d)) for d in datasets]
         + [("silver", d, layout.silver(d)) for d in datasets]
-        + [("gold", g, layout.gold(g)) for g in GOLD_TABLES]
+        + [("gold", g, layout.gold(g)) for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(datasets)]
     )
     parts = [
         spark.read.parquet(path)

@@ -226,6 +226,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Scratch folders handed out and not yet removed, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint root for one run's tables."""
-    return f"{checkpoint_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint root for one run's tables.
+
+    It stays until :func:`clear_scratch`: results are read lazily, so no query
+    can remove its own.
+    """
+    path = f"{checkpoint_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.conf.get("spark.app.id", ""), []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every scratch folder this application was given; call it when no result of theirs will be read any more."""
+    hconf = spark._jsparkSession.sessionState().newHadoopConf()
+    removed = 0
+    for p in _SCRATCH.pop(spark.conf.get("spark.app.id", ""), []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        removed += bool(path.getFileSystem(hconf).delete(path, True))
+    return removed

@@ -24,7 +24,7 @@ from strata.plans.layers import Layout, RunSpec, layer_counts, run_layers
 from strata.plans.session import scratch_path
 from strata.sources import bronze
 from strata.sources.fixtures import ADAPTERS, raw
-from strata.sources.raw import DATASETS, read_raw, write_raw
+from strata.sources.raw import DATASETS, RAW_SCHEMAS, read_raw, write_raw
 from strata.sources.sinks import write_partitioned, write_table
 
 # Analysis arguments that hit the driver data (its dates span 1995-2001).
@@ -78,7 +78,7 @@ def json_scan(spark, sf_dir):
 
 def bronze_metadata(spark, sf_dir):
     df = bronze.with_ingest_metadata(raw(spark, sf_dir, "business"), "business.json")
-    return df.withColumn("ingestion_date", F.to_date("ingestion_timestamp")).drop("ingestion_timestamp")
+    return df.withColumn("ingested", F.col("ingestion_timestamp").isNotNull()).drop("ingestion_timestamp")
 
 
 def bronze_load(spark, sf_dir):
@@ -105,7 +105,20 @@ def bronze_incremental(spark, sf_dir):
     for i, arrival in enumerate(raw_business_arrivals(spark, sf_dir)):
         write_raw(arrival, f"{root}/raw/arrival-{i}")
         ingest_available(spark, f"{root}/raw/*/part-*", bronze_path, ckpt, "business")
-    return spark.read.parquet(bronze_path).drop("ingestion_timestamp", "source_file", "_corrupt_record")
+    return _typed_as(raw(spark, sf_dir, "business"), spark.read.parquet(bronze_path))
+
+
+def _typed_as(like, df):
+    """The columns of ``like``, cast from the declared schema's text to their types."""
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields))
+
+
+def bronze_declared(spark, sf_dir):
+    """The bronze load by the declared schema: the same values as the inferred one, as text."""
+    root = scratch_path(spark, "bronze-declared")
+    layout = write_raw_files(spark, sf_dir, f"{root}/raw", ("business",))
+    bronze.load_to_bronze(spark, layout.raw_file("business"), layout.bronze("business"), RAW_SCHEMAS["business"])
+    return _typed_as(raw(spark, sf_dir, "business"), spark.read.parquet(layout.bronze("business")))
 
 
 def parquet_roundtrip(spark, sf_dir):
@@ -130,6 +143,12 @@ def end_to_end(spark, sf_dir):
     return spark.read.parquet(layout.gold("checkins_vs_stars"))
 
 
+def end_to_end_weekly(spark, sf_dir):
+    """weekly_stars as the run writes it: its default layout, read back."""
+    layout = _full_run(spark, sf_dir)
+    return weekly_out(spark.read.parquet(layout.gold("weekly_stars")))
+
+
 def weekly_partitioned(spark, sf_dir):
     path = scratch_path(spark, "weekly")
     write_partitioned(weekly(spark, sf_dir), path, ("review_week",), ("business_id",))
@@ -247,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "json_scan": json_scan,
     "bronze_metadata": bronze_metadata,
     "bronze_load": bronze_load,
+    "bronze_declared": bronze_declared,
     "bronze_counts": bronze_counts,
     "bronze_incremental": bronze_incremental,
     "parquet_roundtrip": parquet_roundtrip,
@@ -269,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "checkin_counts": checkin_counts,
     "checkins_vs_stars": checkins_vs_stars,
     "end_to_end": end_to_end,
+    "end_to_end_weekly": end_to_end_weekly,
     "top_businesses_by_year": top_businesses_by_year,
     "weekly_multi_review": weekly_multi_review,
     "quality_summary": quality_summary,

@@ -19,31 +19,21 @@ DATASETS = ("business", "review", "user", "checkin", "tip")
 
 CORRUPT = "_corrupt_record"
 
-# Declared raw schemas. Only the columns the silver layer reads are listed;
-# string is always a safe declaration (silver casts tolerantly), which is why
-# the tip's compliment_count, which arrives as text in some dumps, is string.
+# Declared raw schemas: every published column, all as string. A string column
+# takes whatever JSON value stands there (a quoted number, 3.0 in an integer
+# field, a nested object as its JSON text); silver casts. Keys that are not
+# listed are not read, so a run that must keep them infers the schema.
+_COMPLIMENTS = "hot more profile cute list note plain cool funny writer photos"
+_COLUMNS = {
+    "business": "business_id name address city state postal_code latitude longitude stars review_count is_open attributes categories hours",
+    "review": "review_id user_id business_id stars useful funny cool text date",
+    "checkin": "business_id date",
+    "user": "user_id name review_count yelping_since useful funny cool elite friends fans average_stars "
+    + " ".join(f"compliment_{c}" for c in _COMPLIMENTS.split()),
+    "tip": "user_id business_id text date compliment_count",
+}
 RAW_SCHEMAS: dict[str, str] = {
-    "business": (
-        "business_id string, name string, address string, city string, state string, "
-        "postal_code string, latitude double, longitude double, stars double, "
-        "review_count bigint, is_open bigint, categories string, "
-        f"{CORRUPT} string"
-    ),
-    "review": (
-        "review_id string, user_id string, business_id string, stars double, "
-        "useful bigint, funny bigint, cool bigint, date string, text string, "
-        f"{CORRUPT} string"
-    ),
-    "checkin": f"business_id string, date string, {CORRUPT} string",
-    "user": (
-        "user_id string, name string, review_count bigint, yelping_since string, "
-        "useful bigint, funny bigint, cool bigint, fans bigint, average_stars double, "
-        f"{CORRUPT} string"
-    ),
-    "tip": (
-        "user_id string, business_id string, text string, date string, "
-        f"compliment_count string, {CORRUPT} string"
-    ),
+    name: ", ".join(f"{c} string" for c in [*columns.split(), CORRUPT]) for name, columns in _COLUMNS.items()
 }
 
 

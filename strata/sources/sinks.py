@@ -62,7 +62,3 @@ def write_partitioned(
     writer = laid_out.write.mode(mode).partitionBy(*cols).options(**bloom_filter_options(bloom_filter_columns))
     writer.parquet(path)
     return int(obs.get["rows"])
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

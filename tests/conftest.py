@@ -35,6 +35,9 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-test-ckpt-"))
     yield s
+    from strata.plans.session import clear_scratch
+
+    clear_scratch(s)
 
 
 @pytest.fixture(scope="session")
