@@ -1,0 +1,150 @@
+import datetime as dt
+
+import pytest
+
+import __spark_entry__ as E
+from strata.llm import host_rules, html_suffix, ppm_langid, queries, snapshot_collapse, token_rollup, url_redirects
+from strata.plans.session import scratch_path
+from tests.conftest import ORACLE_DIR
+
+
+def norm(v):
+    return v.isoformat() if isinstance(v, dt.date) else repr(v)
+
+
+@pytest.mark.parametrize("key", sorted(queries.ORACLE))
+def test_matches_oracle(spark, duck, key):
+    df, res = E.queries()[key](spark, ORACLE_DIR), duck.sql(E.oracle_sql()[key])
+    columns = sorted(df.columns)
+    assert columns == sorted(res.columns)
+    at = [res.columns.index(c) for c in columns]
+    assert sorted([norm(r[c]) for c in columns] for r in df.collect()) == sorted([norm(r[i]) for i in at] for r in res.fetchall())
+
+
+def test_urls(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    rows = [
+        (1, None, None, 0), (2, "no scheme", "", 0), (3, "http://X.Example.ORG/es/1", "", 0), (4, "http://a.org", None, 0),
+        (5, "https://shop.net/x", link("http://a.com/de/9?ref=1"), 0), (6, "http://www.shop.net/x/#top", "", 0),
+        (7, "http://b.org/y", link("http://a.com/de/9"), 0), (8, "http://c.net/z", '<meta http-equiv="refresh" content="0; url=/x">', 0),
+        (9, "ftp://evilorg/", "", 0), (9, "ftp://evilorg/", "", 0), (10, "https://shop.net/other", "", 0),
+    ]
+    pages = spark.createDataFrame([(*r[:3], "clash") for r in rows], "page_id long, url string, html string, verdict string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_redirects.judge(pages).collect()}
+    assert got[1] == got[2] == ("", "", None, "allow")
+    assert got[3] == ("x.example.org", "/es/1", "example.org/es/", "block")
+    assert got[4] == ("a.org", "", None, "allow")
+    assert got[5][3] == got[6][3] == "block"  # aliases of a blocked address
+    assert got[7][2:] == ("org/", "allow")  # its own rule comes first
+    assert got[8][3] == got[9][3] == got[10][3] == "allow"
+    assert url_redirects.judge(pages).count() == len(rows)
+    assert url_redirects.judge(pages.limit(0)).count() == 0
+
+
+def test_main_text(spark):
+    notice = "we use small files on your machine to make this site work for you"
+    page = (
+        "<title>t</title><header>Site</header><nav>Menu</nav><div class='cookie-notice'>Cookies</div><main><article class='post'>"
+        "<header><h1>Title &amp; more</h1></header><p>First <b>bold</b>\n text&nbsp;here.<br>Next<p>Second <script>'</p>'</script>para.</p>"
+        "<aside>Related</aside><div class=ad>Buy</div><form><label>Name</label></form><section id=comments>"
+        "<article class=comment>Nice</article></section></article></main><footer>Foot</footer>"
+    )
+    plain = lambda s: f"<body><div>{notice}</div><div>{s} {notice} end{s}</div></body>"
+    rows = [
+        (1, "http://h/1", page), (2, "http://h/2", None), (3, "http://h/3", ""), (4, "http://h/4", plain("alpha")),
+        (5, "http://h/5", plain("beta")), (6, "http://other/6", plain("gamma")), (None, None, "<p>a &lt;b> c</p>"),
+    ]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
+    got = {r.page_id: r.text for r in html_suffix.extract(pages).collect()}
+    assert got[1] == "Title & more\nFirst bold text here. Next\nSecond para."
+    assert got[2] == got[3] == ""
+    assert got[4] == "alpha endalpha" and got[5] == "beta endbeta"  # what both pages of the host have is gone
+    assert got[6] == f"{notice}\ngamma {notice} endgamma"
+    assert got[None] == "a <b> c"
+    assert html_suffix.extract(pages.limit(0)).count() == 0
+
+
+def test_rollup_commits_once_and_compacts(spark):
+    counts = spark.createDataFrame([(1, "s", None, "v", 5), (2, "s", "en", "v", 7)], "doc_id long, source string, lang string, tokenizer string, n_tokens long")
+    rollup = token_rollup.Rollup(spark, scratch_path(spark, "rollup-test"))
+    total = lambda: sorted(map(tuple, rollup.totals().collect()), key=repr)
+    assert total() == []
+    assert rollup.commit("b1", token_rollup.inserts(counts)) and not rollup.commit("b1", token_rollup.inserts(counts))
+    assert total() == [("s", "en", "v", 1, 7), ("s", None, "v", 1, 5)]
+    rollup.compact()
+    assert not rollup.commit("b1", token_rollup.inserts(counts))
+    new = counts.withColumn("n_tokens", counts.n_tokens + 1)
+    assert rollup.commit("b2", token_rollup.revisions(counts, new)) and rollup.commit("b3", token_rollup.deletes(new.where("doc_id = 1")))
+    assert total() == [("s", "en", "v", 1, 8)]
+    rollup.compact()
+    assert total() == [("s", "en", "v", 1, 8)] and rollup.batches() == []
+    with pytest.raises(ValueError):
+        rollup.commit("../x", counts)
+
+
+def test_host_rules_edge_cases(spark, docs):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, "a b c " * 40, "en", "bad") for i in range(30)] + [(100 + i, good + f" {i}", "en", "fine") for i in range(30)]
+    rows += [(200, good, "en", "bad"), (201, None, "en", None), (202, "", "en", None), (203, good, "en", None)]
+    got = {r.doc_id: r for r in host_rules.judge(docs(rows).selectExpr("*", "1 as n_words")).collect()}
+    assert (got[0].n_words, got[0].n_repeat_words, got[0].base_failed, got[0].kept) == (120, 120, True, False)
+    assert got[100].kept and not got[200].base_failed and not got[200].kept  # its host fails as a whole
+    assert got[201].n_words == got[202].n_words == 0 and got[203].kept
+    assert host_rules.judge(docs([])).count() == 0
+
+
+def test_language_of_odd_texts(spark, docs):
+    train = docs([(i, f"the quick brown fox number {i} " * 5, "en", "s") for i in range(80)] + [(500 + i, f"der schnelle braune fuchs nummer {i} " * 5, "de", "s") for i in range(80)])
+    model = ppm_langid.train(train)
+    rows = [(1, None), (2, "123 !?"), (3, "the fox"), (4, "der braune fuchs"), (5, "ж" * 70000), (6, "the brown fox " * 30000), (6, "")]
+    got = [(r.doc_id, r.lang_pred, r.score) for r in ppm_langid.predict(docs(rows), model, ["doc_id"]).collect()]
+    assert {x[:2] for x in got} >= {(1, "und"), (2, "und"), (3, "en"), (4, "de"), (6, "en"), (6, "und")}
+    assert len(got) == len(rows) and all(0 <= s <= 1 for _, _, s in got)
+    nothing = ppm_langid.predict(docs(rows), ppm_langid.train(docs([])), ["doc_id"])
+    assert {r.lang_pred for r in nothing.collect()} == {"und"}
+
+
+def test_code_lengths_do_not_depend_on_slices(monkeypatch, docs):
+    model = ppm_langid.fit([("a", 0x00006162, 9), ("a", 0x00616263, 9), ("b", 0x61626364, 12), ("b", 0x00000061, 3)], least_seen=1)
+    import numpy as np
+
+    data, starts = np.frombuffer(b"abcdabcdxyzabcd", dtype=np.uint8), np.array([0, 4, 4, 11, 15])
+    whole = model.code_lengths(data, starts)
+    monkeypatch.setattr(ppm_langid, "SLICE", 3)
+    assert np.allclose(whole, model.code_lengths(data, starts)) and np.allclose(whole[0], whole[3]) and (whole[1] == 0).all()
+
+
+def test_held_out_accuracy(spark):
+    rows = queries.op8_ppm_langid(spark, ORACLE_DIR).join(spark.read.parquet(f"{ORACLE_DIR}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    test = [r for r in rows.collect() if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in test) >= 0.95 * len(test)
+
+
+def test_snapshots(spark, monkeypatch):
+    monkeypatch.setattr(snapshot_collapse, "CHUNK", 2)
+    long = [("user" if k % 2 == 0 else "bot", f"t{k}") for k in range(9)]
+    talks = {1: long[:3], 2: long, 3: long, 4: long[:4] + [("bot", "other")], 5: [("user", None)], 6: [("user", "")], 7: [(None, "t0")]}
+    rows = [(c, 10 * k, r, t, 0) for c, turns in talks.items() for k, (r, t) in enumerate(turns)] + [(None, 0, "user", "x", 0)]
+    got = snapshot_collapse.rendered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, position int")).collect()
+    assert {r.conv_id for r in got} == {2, 4, 5, 6, 7}
+    assert [r.rendered for r in sorted(got, key=lambda r: r.position) if r.conv_id == 2] == [f"<|{r}|>\n{t}\n<|end|>\n" for r, t in long]
+    assert {r.n_turns for r in got if r.conv_id == 4} == {5}
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark):
+    import corpus_pipeline as C
+
+    from strata.llm.tables import table, written
+    from tests.llm.test_similar import brute
+
+    docs = table(spark, ORACLE_DIR, "documents")
+    columns = docs.columns
+    for name, stage in C.STAGES[:3]:
+        before = docs
+        docs = written(stage(spark, before, ORACLE_DIR), "pipeline-test")
+        assert docs.columns == columns
+        if stage is C.near_duplicates:
+            label = brute([(r.doc_id, r.text) for r in before.collect()])
+            assert {r.doc_id for r in docs.collect()} == {i for i, (_, c) in label.items() if c == i}
+    packed = C.packing(spark, docs, ORACLE_DIR)
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
