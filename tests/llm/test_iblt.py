@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from llm_helpers import docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from strata.llm import iblt

@@ -1,11 +1,12 @@
 import datetime as dt
 
 import pytest
+from conftest import ORACLE_DIR
+from llm_helpers import brute, docs  # noqa: F401
 
 import __spark_entry__ as E
 from strata.llm import host_rules, html_suffix, ppm_langid, queries, snapshot_collapse, token_rollup, url_redirects
 from strata.plans.session import scratch_path
-from tests.conftest import ORACLE_DIR
 
 
 def norm(v):
@@ -135,7 +136,6 @@ def test_pipeline_keeps_what_brute_force_keeps(spark):
     import corpus_pipeline as C
 
     from strata.llm.tables import table, written
-    from tests.llm.test_similar import brute
 
     docs = table(spark, ORACLE_DIR, "documents")
     columns = docs.columns

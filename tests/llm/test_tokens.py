@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from llm_helpers import docs  # noqa: F401
 from tokenizers import Tokenizer
 
 from strata.llm import best_two_fit, bpe_backtrack
