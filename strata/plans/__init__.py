@@ -8,7 +8,6 @@ from strata.plans.session import (
     scratch_path,
     session_conf,
     shuffle_partitions_for,
-    size_shuffles,
 )
 
 __all__ = [
@@ -25,5 +24,4 @@ __all__ = [
     "scratch_path",
     "session_conf",
     "shuffle_partitions_for",
-    "size_shuffles",
 ]

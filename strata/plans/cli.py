@@ -86,6 +86,7 @@ class RunConfig:
             concurrent=self.concurrent,
             size_shuffles=not any(chosen(k) for k in _SHUFFLE_KEYS),
             raw_split_bytes=None if chosen(_SPLIT_KEY) else RunSpec.raw_split_bytes,
+            silver_split_bytes=None if chosen(_SPLIT_KEY) else RunSpec.silver_split_bytes,
         )
 
 

@@ -88,6 +88,11 @@ class RunSpec:
     # splits small inputs finer to keep every core busy. None leaves the
     # session's spark.sql.files.maxPartitionBytes alone.
     raw_split_bytes: int | None = 512 * 1024 * 1024
+    # Bytes of bronze Parquet per silver map task, set on the silver layer's
+    # own session. The dedup shuffle has maps x reducers blocks, and reducers
+    # are capped, so at scale fewer and larger map tasks are what keeps its
+    # blocks from becoming tiny random reads. None leaves the session alone.
+    silver_split_bytes: int | None = 512 * 1024 * 1024
     # Size the initial shuffle partition count of silver and gold from the
     # bytes of their inputs (changes a session setting, hence opt-in).
     size_shuffles: bool = False
@@ -180,18 +185,21 @@ def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
     return _each(spark, _labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
 
 
-def _sized(spark: SparkSession, spec: RunSpec, layer: str, inputs: list[str]) -> SparkSession:
-    """The layer's session, its initial shuffle count sized from ``inputs`` when asked."""
-    if not spec.size_shuffles:
-        return spark
-    n = shuffle_partitions_from_input(spark, inputs)
-    log.info("%s: %s initial shuffle partitions", layer, n)
-    return layer_session(spark, {INITIAL_PARTITIONS: None if n is None else str(n)})
+def _sized(
+    spark: SparkSession, spec: RunSpec, layer: str, inputs: list[str], split_bytes: int | None = None
+) -> SparkSession:
+    """The layer's session: its split size, and its initial shuffle count sized from ``inputs`` when asked."""
+    settings = {SPLIT_BYTES: None if split_bytes is None else str(split_bytes)}
+    if spec.size_shuffles:
+        n = shuffle_partitions_from_input(spark, inputs)
+        log.info("%s: %s initial shuffle partitions", layer, n)
+        settings[INITIAL_PARTITIONS] = None if n is None else str(n)
+    return layer_session(spark, settings)
 
 
 def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
     datasets = _unique(spec.datasets)
-    s = _sized(spark, spec, "silver", [layout.bronze(d) for d in datasets])
+    s = _sized(spark, spec, "silver", [layout.bronze(d) for d in datasets], spec.silver_split_bytes)
 
     def one(name: str) -> int:
         out = clean(s.read.parquet(layout.bronze(name)), SPECS[name])

@@ -10,8 +10,6 @@ import logging
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -105,21 +103,6 @@ def shuffle_partitions_from_input(spark: SparkSession, paths: list[str]) -> int
     return shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)
 
 
-def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
-    """Set AQE's initial shuffle partition count on ``spark`` from the size of ``paths``.
-
-    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``; AQE
-    then merges partitions to the advisory size. Returns the count, or None
-    when the size is unknown (nothing is changed then). The layered run does
-    not call this on the caller's session: it sizes a layer's own session
-    (:func:`layer_session`).
-    """
-    n = shuffle_partitions_from_input(spark, paths)
-    if n is not None:
-        spark.conf.set(INITIAL_PARTITIONS, str(n))
-    return n
-
-
 def layer_session(spark: SparkSession, settings: dict[str, str | None]) -> SparkSession:
     """A session for one layer: a clone of the caller's session plus ``settings``.
 
@@ -161,27 +144,6 @@ def _clone(spark: SparkSession) -> SparkSession | None:
     return child
 
 
-@contextmanager
-def session_setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
-    """Set one runtime setting on ``spark`` for the duration of a block, then restore it.
-
-    ``value=None`` leaves the setting alone. Prefer :func:`layer_session` where
-    other work may share the session.
-    """
-    if value is None:
-        yield
-        return
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
     for k, v in conf.items():
         spark.conf.set(k, v)

@@ -103,7 +103,7 @@ def test_extra_spark_settings():
     assert cfg.explicit_conf()["spark.sql.shuffle.partitions"] == "7"
     assert cfg.explicit_conf()["spark.ui.enabled"] == "true"
     spec = cfg.run_spec()
-    assert spec.size_shuffles is False and spec.raw_split_bytes is None  # the user's values stand
+    assert spec.size_shuffles is False and spec.raw_split_bytes is None and spec.silver_split_bytes is None  # the user's values stand
     plain = parse_args(["--raw", "r", "--root", "o"])
     assert plain.run_spec().size_shuffles is True and plain.run_spec().raw_split_bytes == RunSpec.raw_split_bytes
     # Settings made through spark-submit count as the user's too.

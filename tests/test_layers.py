@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from strata.plans.layers import Layout, RunSpec, layer_counts, run_bronze, run_layers
+from strata.plans.layers import Layout, RunSpec, layer_counts, run_bronze, run_layers, run_silver
 from strata.plans.session import scratch_path
 from strata.registry import write_raw_files
 
@@ -108,6 +108,21 @@ def test_raw_split_size_applies_to_bronze_only(spark, layout):
     assert files(small) > files(default)
 
 
+def test_silver_split_size_stays_in_its_layer(spark, layout):
+    from strata.plans.layers import _sized
+    from strata.plans.session import SPLIT_BYTES
+
+    lay, counts = layout
+    before = spark.conf.get(SPLIT_BYTES)
+    assert _sized(spark, RunSpec(), "silver", [], 16384).conf.get(SPLIT_BYTES) == "16384"
+    assert _sized(spark, RunSpec(), "gold", []) is spark
+    for split in (16384, None):
+        again = Layout(root=scratch_path(spark, "test-silver-split"), raw=lay.raw, bronze_root=f"{lay.root}/bronze")
+        got = run_silver(spark, again, RunSpec(datasets=("review",), silver_split_bytes=split))
+        assert got == {"review": counts["silver"]["review"]}
+    assert spark.conf.get(SPLIT_BYTES) == before
+
+
 def test_written_gold_equals_oracle(spark, layout):
     """The tables the layered run writes (partitioned, row-counted, bloom-filtered) equal the oracle."""
     import datetime as dt

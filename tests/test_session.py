@@ -66,12 +66,19 @@ def test_input_bytes_and_sizing(spark):
     assert S.shuffle_partitions_from_input(spark, [path]) == 2 * spark.sparkContext.defaultParallelism
     # A path that cannot be listed skips the sizing instead of failing.
     assert S.input_bytes(spark, ["nosuchscheme://x/y"]) is None
-    assert S.size_shuffles(spark, ["nosuchscheme://x/y"]) is None and spark.conf.get(key, None) is None
-    try:
-        n = S.size_shuffles(spark, [path])
-        assert spark.conf.get(key) == str(n)
-    finally:
-        spark.conf.unset(key)
+    assert S.shuffle_partitions_from_input(spark, ["nosuchscheme://x/y"]) is None
+    assert spark.conf.get(key, None) is None  # sizing changes nothing on the caller's session
+
+
+def test_silver_shuffle_blocks_at_scale():
+    """18 TB of bronze reviews: the silver split keeps the dedup shuffle's blocks from becoming tiny."""
+    from strata.plans import RunSpec
+
+    bronze = 18 * 10**12
+    reducers = S.shuffle_partitions_for(bronze, cores=8000)
+    blocks = -(-bronze // RunSpec.silver_split_bytes) * reducers
+    assert blocks * 4 <= -(-bronze // S.TARGET_PARTITION_BYTES) * reducers + 4 * reducers  # a quarter of 128 MiB splits'
+    assert bronze / blocks > 7000  # bytes a block, compressed
 
 
 def test_layer_session_leaves_the_caller_alone(spark):

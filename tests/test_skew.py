@@ -117,7 +117,7 @@ def test_hot_partition_value_spread_over_writers(spark):
 def test_one_big_raw_file_is_read_by_many_tasks(spark):
     """A single JSON dump holding every row is split by byte ranges, not read by one task."""
     from strata.plans.layers import Layout, RunSpec, run_bronze
-    from strata.plans.session import scratch_path, session_setting
+    from strata.plans.session import SPLIT_BYTES, layer_session, scratch_path
     from strata.sources.raw import RAW_SCHEMAS, read_raw
 
     root = scratch_path(spark, "test-big-file")
@@ -128,9 +128,9 @@ def test_one_big_raw_file_is_read_by_many_tasks(spark):
         F.concat(F.lit("text "), i.cast("string")).alias("text"),
     ).coalesce(1).write.json(f"{root}/raw/yelp_academic_dataset_review.json")
     lay = Layout(root=root, raw=f"{root}/raw")
-    with session_setting(spark, "spark.sql.files.maxPartitionBytes", str(2 * 1024 * 1024)):
-        df = read_raw(spark, lay.raw_file("review"), RAW_SCHEMAS["review"])
-        assert df.rdd.getNumPartitions() >= 4  # ~20 MB file, 2 MiB splits, any core count
+    small = layer_session(spark, {SPLIT_BYTES: str(2 * 1024 * 1024)})
+    df = read_raw(small, lay.raw_file("review"), RAW_SCHEMAS["review"])
+    assert df.rdd.getNumPartitions() >= 4  # ~20 MB file, 2 MiB splits, any core count
     # Every row lands once, however the file was cut.
     counts = run_bronze(spark, lay, RunSpec(datasets=("review",), raw_split_bytes=1024 * 1024))
     assert counts == {"review": 200_000}
