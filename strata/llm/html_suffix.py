@@ -35,11 +35,13 @@ from strata.llm.url_redirects import host_of
 RUN = 8  # tokens of the shortest repeated substring
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|button|title|audio|video)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)",
-    re.I | re.S,
+    re.S,
 )
+RAW = frozenset("script style title textarea".split())  # without an end tag they go on to the end of the page
+SKIPPED = RAW | frozenset("noscript template svg math iframe object canvas select button audio video".split())
+SKIPPED_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in SKIPPED}
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.S)
 # HTML's elements, ARIA's roles and usual class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,101 +49,158 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr br td th".split()
 )
-OUT = frozenset("nav footer aside form menu dialog head".split())
+OUT = frozenset("nav footer aside menu dialog head".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-OUT_NAMES = frozenset(
+# Whole class names and ids. What is beside the text is dropped with the articles in it (teasers, comments), unless the page has no others.
+BESIDE_NAMES = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer comment comments disqus reply replies respond related "
+    "recommended widget pagination pager teaser site-nav main-nav main-navigation site-navigation nav-menu nav-links top-nav side-nav "
+    "post-navigation main-menu site-footer page-footer main-footer footer-links footer-widgets side-bar left-sidebar right-sidebar "
+    "sidebar-left sidebar-right widget-area related-posts related-articles related-links related-content recommended-posts "
+    "comment-list comments-area comment-form comment-respond comments-section".split()
+)
+OUT_NAMES = BESIDE_NAMES | frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
-    "notices alert popup modal overlay newsletter subscribe subscription signup nav navbar navigation menu breadcrumb breadcrumbs "
-    "sidebar aside footer masthead comment comments disqus reply replies respond share sharing social related recommended widget "
-    "toolbar pagination pager login search".split()
+    "notices alert popup modal overlay newsletter subscribe subscription signup masthead share sharing social toolbar login search "
+    "cookie-notice cookie-banner cookie-bar cookie-consent gdpr-banner consent-banner ad-banner banner-ad ad-container ad-slot ad-unit "
+    "ad-wrapper ad-box adsbygoogle sponsored-content newsletter-signup newsletter-form email-signup social-share social-links "
+    "social-media social-icons share-buttons share-links sharing-buttons site-header login-form search-form search-box search-bar".split()
+)
+COMMENT_NAMES = frozenset(
+    "comment comments reply replies ad ads advert advertisement sponsored promo related teaser comment-body comment-content "
+    "ad-slot ad-unit related-post teaser-card".split()
 )
-COMMENT_NAMES = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo related teaser".split())
 ARTICLE_NAMES = frozenset(
     "article-body articlebody article-content article-text post-content post-body entry-content story-body main-content content-body".split()
 )
 OPEN, MAIN, ARTICLE, DROPPED = 0, 1, 2, 3
+AROUND, FORM, BESIDE = 1, 2, 3  # why an element is dropped
 
 
-def _region(tag: str, attributes: str, inside: int) -> int:
-    """What an element's content is, given what surrounds it."""
-    if inside == DROPPED or tag in OUT or (tag == "header" and inside != ARTICLE):
-        return DROPPED
+def _region(tag: str, attributes: str, inside: int) -> tuple[int, int]:
+    """What an element's content is, given what surrounds it, and why it is dropped (0: it is not)."""
+    out = BESIDE if tag in OUT else FORM if tag == "form" else AROUND if tag == "header" and inside != ARTICLE else 0
     if attributes:
         values: dict[str, str] = {}
         for name, a, b, c, hidden in ATTRIBUTE.findall(attributes):
             values[hidden or name.lower()] = a or b or c
-        names = f"{values.get('class', '')} {values.get('id', '')}".lower().split()
-        parts = {p for n in names for p in re.split(r"[^a-z0-9]+", n)}
+        names = set(values.get("class", "").lower().split())
+        within = inside == ARTICLE
+        if not within or tag == "div":  # in an article, ids are anchors of its sections
+            names.update(values.get("id", "").lower().split())
         role = values.get("role", "").lower()
         style = values.get("style", "").replace(" ", "").lower()
         if role in OUT_ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in style:
-            return DROPPED
-        if tag not in ("html", "body", "main") and parts & (COMMENT_NAMES if tag == "article" else OUT_NAMES):
-            return DROPPED
+            out = BESIDE
+        elif tag == "article":
+            out = BESIDE if names & COMMENT_NAMES else out
+        elif tag not in ("html", "body", "main") and not (within and tag in INLINE):
+            out = BESIDE if names & BESIDE_NAMES else out or (AROUND if names & OUT_NAMES else 0)
         if role == "article" or values.get("itemprop", "").lower() == "articlebody" or ARTICLE_NAMES.intersection(names):
-            return ARTICLE
+            return ARTICLE, out
         if role == "main":
-            return max(inside, MAIN)
+            return max(inside, MAIN), out
     if tag == "article":
-        return ARTICLE
-    return max(inside, MAIN) if tag == "main" else inside
+        return ARTICLE, out
+    return (max(inside, MAIN) if tag == "main" else inside), out
+
+
+def _kept_elements(blocks: list, why: list[int], holders: list) -> set[int]:
+    """Of the elements to be dropped, those that are not, as they hold the page's text.
+
+    ``why`` says why each is dropped; ``holders`` has the page's article and
+    main elements with the dropped elements around each. A main element keeps
+    all that surround it; an article keeps them but for menus, comments and
+    the like, and these too if every article of the page is in such. On a page
+    without either, a form with most of the words is the page itself.
+    """
+    kept = {k for main, around in holders for k in around if main or why[k] != BESIDE}
+    if holders and not any(kept.issuperset(around) for _, around in holders):
+        kept.update(k for _, around in holders for k in around)
+    if not holders and FORM in why:
+        words = [(set(around), text.count(" ") + 1) for _, around, text in blocks]
+        for k in range(len(why)):
+            if why[k] == FORM and sum(n for a, n in words if a - kept == {k}) > sum(n for a, n in words if not a - kept):
+                kept.add(k)
+    return kept
 
 
 def parse(page: str | None) -> list[tuple[int, str]]:
     """The blocks of a page as ``(region, text)``, in order, without empty ones; null and empty pages have none.
 
-    A page without an article has its main element for one.
+    A page without an article has its main element for one. Text that is never
+    shown as such (scripts, styles, images, controls) is in no block.
     """
-    found: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = []
-    region, text, at = OPEN, [], 0
+    found: list[tuple[int, tuple[int, ...], str]] = []
+    stack: list[tuple[str, int, tuple[int, ...]]] = []
+    why: list[int] = []
+    holders: list[tuple[bool, tuple[int, ...]]] = []
+    endless: set[str] = set()
+    region, around, text, at = OPEN, (), [], 0
 
     def close() -> None:
         if text:
             block = " ".join("".join(text).split())
             if block:
-                found.append((region, block))
+                found.append((region, around, block))
             text.clear()
 
     page = page or ""
-    for m in MARKUP.finditer(page):
+    while m := MARKUP.search(page, at):
         if m.start() > at:
             text.append(entities.unescape(page[at : m.start()]))
         at = m.end()
-        tag = m[3]
+        tag = m[2]
         if not tag:
             continue
         tag = tag.lower()
+        if tag in SKIPPED:
+            if not m[1] and not m[3].endswith("/") and tag not in endless:
+                end = SKIPPED_END[tag].search(page, at)
+                if end:
+                    at = end.end()
+                elif tag in RAW:
+                    at = len(page)
+                else:
+                    endless.add(tag)
+            continue
         if tag in INLINE:
             if tag in ("br", "td", "th"):
                 text.append(" ")
-            if tag in VOID or (not m[2] and not m[4].strip()):
+            if tag in VOID or (not m[1] and not m[3].strip()):
                 if tag not in VOID:
-                    stack.append((tag, region))
+                    stack.append((tag, region, around))
                 continue
         else:
             close()
-        if m[2]:
+        if m[1]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    inner = stack[k - 1][1] if k else OPEN
-                    if inner != region:
+                    inner = stack[k - 1][1:] if k else (OPEN, ())
+                    if inner != (region, around):
                         close()
-                        region = inner
+                        region, around = inner
                     del stack[k:]
                     break
-        elif tag not in VOID and not m[4].endswith("/"):
-            inner = _region(tag, m[4], region)
-            if inner != region:
+        elif tag not in VOID and not m[3].endswith("/"):
+            inner, out = _region(tag, m[3], region)
+            if inner != region or out:
                 close()
-                region = inner
-            stack.append((tag, region))
+            region = inner
+            if out:
+                why.append(out)
+                around = (*around, len(why) - 1)
+            elif tag in ("article", "main"):
+                holders.append((tag == "main", around))
+            stack.append((tag, region, around))
     if at < len(page):
         text.append(entities.unescape(page[at:]))
     close()
-    if not any(r == ARTICLE for r, _ in found):
-        found = [(ARTICLE if r == MAIN else r, b) for r, b in found]
-    return [(OPEN if r == MAIN else r, b) for r, b in found]
+    kept = _kept_elements(found, why, holders) if why else set()
+    blocks = [(r if kept.issuperset(a) else DROPPED, b) for r, a, b in found]
+    if not any(r == ARTICLE for r, _ in blocks):
+        blocks = [(ARTICLE if r == MAIN else r, b) for r, b in blocks]
+    return [(OPEN if r == MAIN else r, b) for r, b in blocks]
 
 
 def _stream(blocks: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:

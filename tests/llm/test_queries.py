@@ -65,6 +65,28 @@ def test_main_text(spark):
     assert html_suffix.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='layout no-sidebar'><article><p>a b</p></article></div>", "a b"),
+        ("<div class='content-sidebar-wrap'><article><p>a b</p></article></div>", "a b"),
+        ("<article><section id='related-work'><h2 id='search-algorithms'>h</h2><p>a <a class='popup' href='x'>b</a></p></section></article>", "h\na b"),
+        ("<article><h2 id='search'>h</h2><section id='comments'>c</section></article>", "h\nc"),
+        ("<form action='x'><article>a b</article></form>", "a b"),
+        ("<div class='banner'><main>a b</main></div><nav>n</nav>", "a b"),
+        ("<article>a</article><div class='related'><article>t</article></div><nav><article>u</article></nav>", "a"),
+        ("<aside class='sidebar'><article>a b</article></aside>", "a b"),
+        ("<form id='aspnetForm'><div>all of the text</div><div class='sidebar'>s</div><nav>n</nav></form>", "all of the text"),
+        ("<div>all of the text</div><form><label>Name</label></form>", "all of the text"),
+        ("<article><svg viewBox='0 0'/>a<svg-icon name='x'></svg-icon> b<video-player>c</video-player></article>", "a\nb\nc"),
+        ("<article>a <button>no end <p>b</p><title-bar>c</title-bar><script>x", "a no end\nb\nc"),
+        ("<article>a<svg><title>t</title></svg> b<iframe src=x></iframe ></article>", "a b"),
+    ],
+)
+def test_main_text_is_not_lost_to_names_and_markup(page, text):
+    assert html_suffix.main_text(html_suffix.parse(page), None) == text
+
+
 def test_rollup_commits_once_and_compacts(spark):
     counts = spark.createDataFrame([(1, "s", None, "v", 5), (2, "s", "en", "v", 7)], "doc_id long, source string, lang string, tokenizer string, n_tokens long")
     rollup = token_rollup.Rollup(spark, scratch_path(spark, "rollup-test"))
