@@ -1,19 +1,24 @@
-"""Main text of web pages: page structure, and a suffix array per host for what structure leaves open.
-
-Pages are parsed into blocks. Menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles, known by their elements, roles
-and class names, are left out, and the blocks of an article are kept. Blocks
-outside of both (on a page without an article, all that is left) are open, and
-their host decides: the host's pages form one token stream, whose suffixes are
-grouped by their first tokens, as a suffix array sorted to that depth groups
-them. A group with suffixes of two pages is a substring that the host repeats;
-tokens of open blocks under such substrings are boilerplate, and the runs
-between them are kept.
-
-Groups are found with two minima per key, combined before the shuffle, so no
-task holds a group: a host or a notice with a third of all pages costs no more
-than others. Articles are never cut by what repeats: a copied article is still
+"""Main text of web pages: substrings that a host repeats over its pages, and page structure as a check.
+
+Pages are parsed into blocks of text, those of menus, footers and adverts
+included, and all blocks of a page are one token stream. A position of a
+stream is repeated if its suffix has the first ``RUN`` tokens in common with
+suffixes of enough other pages of the host. These are the positions that a
+suffix array of the host's streams finds by common prefixes of ``RUN`` tokens
+and more; as only that depth decides, suffixes are grouped by the hash of
+their first tokens and no sorted array is built. A block with at least half of
+its words under such substrings is boilerplate and loses them.
+
+Structure is the check. Blocks in menus, headers, footers, sidebars, notices,
+adverts, forms and comments, known by their elements, roles and class names,
+are left out also where nothing repeats them, as on a host's only page. An
+article that repetition would take as a whole stays: a copied article is still
 the main text of its page.
+
+Enough is a share of the host's pages, and a fixed number on large hosts.
+Pages with the same text outside of what structure leaves out (a page under
+two addresses, a reprint) count as one. Pages are counted by sums per
+substring, combined before the shuffle, so no task holds a host or a notice.
 """
 
 from __future__ import annotations
@@ -33,6 +38,8 @@ from strata.llm.tables import sized, written
 from strata.llm.url_redirects import host_of
 
 RUN = 8  # tokens of the shortest repeated substring
+SHARE = 0.2  # of a host's pages, two at least, that have what is boilerplate
+MANY = 20  # pages that are enough on any host
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -203,70 +210,114 @@ def parse(page: str | None) -> list[tuple[int, str]]:
     return [(OPEN if r == MAIN else r, b) for r, b in blocks]
 
 
-def _stream(blocks: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of ``RUN`` tokens over the blocks outside the article, and whether each token is in an open block."""
-    outside = [(r, b) for r, b in blocks if r != ARTICLE]
-    words = [text_words(np.frombuffer(b.encode("utf-8", "replace"), dtype=np.uint8)) for _, b in outside]
-    is_open = np.concatenate([np.full(len(w), r == OPEN) for (r, _), w in zip(outside, words, strict=True)] or [np.empty(0, bool)])
-    tokens = np.concatenate(words or [np.empty(0, np.uint64)])
+def _tokens(blocks: list[tuple[int, str]]) -> np.ndarray:
+    """The word hashes of a page's stream: of all its blocks, in order."""
+    return text_words(np.frombuffer(" ".join(b for _, b in blocks).encode("utf-8", "replace"), dtype=np.uint8))
+
+
+def _hash(tokens: np.ndarray) -> int:
+    """A hash of a whole stream; 0 for an empty one."""
+    return int(np.add.reduce(_mix(tokens ^ _mix(np.arange(1, len(tokens) + 1, dtype=np.uint64)))).astype(np.uint64).view(np.int64))
+
+
+def _windows(tokens: np.ndarray, host: int) -> np.ndarray:
+    """The first ``RUN`` tokens of each suffix, as a hash that differs by host."""
     n = max(0, len(tokens) - RUN + 1)
-    total = np.zeros(n, dtype=np.uint64)
+    total = np.full(n, host, dtype=np.int64).view(np.uint64)
     for k in range(RUN):
         total = _mix(total ^ tokens[k : k + n])
-    return total.view(np.int64), is_open
+    return total.view(np.int64)
 
 
-def windows(pages: DataFrame) -> DataFrame:
-    """``page_id, host, window, position, open``: the suffixes of each page's stream by their first tokens."""
-    schema = T.StructType([pages.schema["page_id"], T.StructField("host", T.LongType())]).add("window", "long").add("position", "integer").add("open", "boolean")
+def _hosted(pages: DataFrame, *names: str) -> DataFrame:
+    return pages.select(F.xxhash64(host_of(F.col("url"))).alias("host"), "html", *names)
+
+
+def streams(pages: DataFrame) -> DataFrame:
+    """``page_id, host, stream, content``: hashes of each page's stream and of its part that structure leaves."""
+    schema = T.StructType([pages.schema["page_id"]]).add("host", "long").add("stream", "long").add("content", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, window, position, is_open = [], [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, bool)]
-            for k, page in enumerate(batch.column(2)):
-                w, o = _stream(parse(page.as_py()))
-                row += [k] * len(w)
-                window.append(w)
-                position.append(np.arange(len(w), dtype=np.int32))
-                near = np.concatenate(([0], np.cumsum(o)))
-                is_open.append(near[RUN:] > near[: len(near) - RUN] if len(w) else np.empty(0, bool))
-            at = pa.array(row, pa.int64())
+            stream, content = [], []
+            for page in batch.column(1):
+                blocks = parse(page.as_py())
+                tokens = _tokens(blocks)
+                inside = np.repeat([r != DROPPED for r, _ in blocks], [b.count(" ") + 1 for _, b in blocks]) if blocks else np.empty(0, bool)
+                stream.append(_hash(tokens))
+                content.append(_hash(tokens[inside]) or stream[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(np.concatenate(x)) for x in (window, position, is_open))],
-                names=["page_id", "host", "window", "position", "open"],
+                [batch.column(2), batch.column(0), pa.array(stream, pa.int64()), pa.array(content, pa.int64())],
+                names=["page_id", "host", "stream", "content"],
             )
 
-    return pages.select("page_id", F.xxhash64(host_of(F.col("url"))).alias("host"), "html").mapInArrow(run, schema)
+    return _hosted(pages, "page_id").mapInArrow(run, schema)
+
+
+def windows(pages: DataFrame) -> DataFrame:
+    """``host, stream, windows``: the suffixes of each page's stream, by their first tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                stream, parts = [], []
+                for host, page in zip(batch.column(0).slice(i, 500).to_pylist(), batch.column(1).slice(i, 500), strict=True):
+                    tokens = _tokens(parse(page.as_py()))
+                    stream.append(_hash(tokens))
+                    parts.append(_windows(tokens, host))
+                offsets = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 500), pa.array(stream, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)))],
+                    names=["host", "stream", "windows"],
+                )
+
+    return _hosted(pages).mapInArrow(run, "host long, stream long, windows array<long>")
+
+
+def repeated_substrings(pages: DataFrame) -> DataFrame:
+    """``window``: what enough pages of a host have.
+
+    Of rows with the same page id, and of pages with the same content, one
+    counts, by its stream; rows with that stream share its count.
+    """
+    rows = written(streams(pages).where("stream != 0"), "page-streams")
+    unnamed = F.when(F.col("page_id").isNull(), F.col("content"))
+    once = rows.groupBy("host", "page_id", unnamed.alias("unnamed")).agg(F.min(F.struct("stream", "content")).alias("s"))
+    distinct = written(once.groupBy("host", "s.content").agg(F.min("s.stream").alias("stream")), "distinct-pages")
+    least = F.least(F.lit(MANY), F.greatest(F.lit(2), F.ceil(F.count("*") * SHARE))).cast("int")
+    hosts = written(distinct.groupBy("host").agg(F.count("*").alias("n"), least.alias("least")).where("n > 1"), "hosts")
+    copies = rows.groupBy("host", "stream").agg(F.count("*").alias("copies"))
+    counted = distinct.select("host", "stream").join(copies, ["host", "stream"]).join(sized(hosts.drop("n")), "host")
+    counted = written(counted, "counted-pages")
+    found = windows(pages).join(sized(counted), ["host", "stream"])
+    found = found.select(F.explode(F.array_distinct("windows")).alias("window"), "least", "copies")
+    repeated = found.groupBy("window", "least").agg(F.sum(1 / F.col("copies")).alias("n")).where("n > least - 0.5")
+    return written(repeated.select("window"), "repeated-substrings")
 
 
 def covered_positions(pages: DataFrame) -> DataFrame:
-    """``page_id, covered``: where substrings that other pages of the host have start, on pages with open blocks."""
-    found = windows(pages.where("page_id is not null"))
-    repeated = (
-        found.groupBy("host", "window")
-        .agg(F.min("page_id").alias("a"), F.max("page_id").alias("b"), F.max("open").alias("open"))
-        .where("a != b and open").select("host", "window")
-    )
-    repeated = written(repeated, "repeated-substrings")
-    there = found.where("open").join(sized(repeated), ["host", "window"], "left_semi")
-    return there.groupBy("page_id").agg(F.collect_set("position").alias("covered"))
+    """``host, stream, covered``: where repeated substrings start in the streams that have some."""
+    repeated = repeated_substrings(pages)
+    there = windows(pages).select("host", "stream", F.posexplode("windows").alias("position", "window"))
+    there = there.join(sized(repeated), "window", "left_semi")
+    return there.groupBy("host", "stream").agg(F.collect_set("position").alias("covered"))
 
 
 def main_text(blocks: list[tuple[int, str]], covered: list[int] | None) -> str:
-    """Article blocks, and of open blocks the runs of words under no repeated substring, a block a line."""
+    """The blocks that structure leaves, a block a line, without the repeated words of those that are mostly such words."""
     under: set[int] = {p + k for p in covered or () for k in range(RUN)}
-    out, at = [], 0
+    out, at, article = [], 0, False
     for region, block in blocks:
-        if region == ARTICLE:
-            out.append(block)
-            continue
         words = block.split(" ")
-        if region == OPEN:
-            kept = " ".join(w for k, w in enumerate(words, at) if k not in under)
-            if kept:
-                out.append(kept)
+        kept = [w for k, w in enumerate(words, at) if k not in under] if under else words
         at += len(words)
-    return "\n".join(out)
+        if region == DROPPED:
+            continue
+        text = block if 2 * len(kept) > len(words) else " ".join(kept)
+        article |= region == ARTICLE and bool(text)
+        out.append((region, block, text))
+    # Nothing of the article is left: it is a copied one.
+    return "\n".join(filter(None, (b if r == ARTICLE and not article else t for r, b, t in out)))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -277,15 +328,32 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select("page_id", "url", "html")
     covered = written(covered_positions(rows), "covered-positions")
-    schema = T.StructType([rows.schema["page_id"], rows.schema["url"]]).add("text", "string").add("n_chars", "long")
+    ids = [rows.schema["page_id"], rows.schema["url"]]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stream, regions, texts = [], [], []
+            for page in batch.column(1):
+                blocks = parse(page.as_py())
+                stream.append(_hash(_tokens(blocks)))
+                regions.append([r for r, _ in blocks])
+                texts.append([b for _, b in blocks])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(2), batch.column(3), batch.column(0), pa.array(stream, pa.int64()),
+                 pa.array(regions, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))],
+                names=["page_id", "url", "host", "stream", "regions", "blocks"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(parse(p.as_py()), c.as_py()) for p, c in zip(batch.column(2), batch.column(3), strict=True)]
+            pages = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
+            texts = [main_text(list(zip(r, b, strict=True)), c) for r, b, c in pages]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    joined = rows.join(sized(covered, 50_000), "page_id", "left").select("page_id", "url", "html", "covered")
-    return joined.mapInArrow(run, schema)
+    parsed = T.StructType(list(ids)).add("host", "long").add("stream", "long").add("regions", T.ArrayType(T.IntegerType())).add("blocks", T.ArrayType(T.StringType()))
+    parsed = _hosted(rows, "page_id", "url").mapInArrow(read, parsed)
+    joined = parsed.join(sized(covered, 50_000), ["host", "stream"], "left").select("page_id", "url", "regions", "blocks", "covered")
+    return joined.mapInArrow(run, T.StructType(list(ids)).add("text", "string").add("n_chars", "long"))

@@ -87,6 +87,21 @@ def test_main_text_is_not_lost_to_names_and_markup(page, text):
     assert html_suffix.main_text(html_suffix.parse(page), None) == text
 
 
+def _extracted(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_suffix.extract(pages).collect()}
+
+
+def test_repetition_decides_within_articles(spark):
+    notice = "sign up for our weekly letter and never miss a story again"
+    page = lambda k: f"<nav>Menu</nav><article><p>{' '.join(f'w{k}x{i}' for i in range(12))}</p><p>{notice}</p></article>"
+    copied = "<article><p>one text that two of the pages on this host have in common</p></article><footer>{}</footer>".format
+    rows = [(k, f"http://h/{k}", page(k)) for k in range(4)] + [(10 + k, f"http://g/{k}", copied(k)) for k in range(2)] + [(12, "http://g/2", copied(7))]
+    got = _extracted(spark, rows)
+    assert all(got[k] == " ".join(f"w{k}x{i}" for i in range(12)) for k in range(4))  # no structure tells the notice from the article
+    assert got[10] == got[11] == got[12] == "one text that two of the pages on this host have in common"
+
+
 def test_rollup_commits_once_and_compacts(spark):
     counts = spark.createDataFrame([(1, "s", None, "v", 5), (2, "s", "en", "v", 7)], "doc_id long, source string, lang string, tokenizer string, n_tokens long")
     rollup = token_rollup.Rollup(spark, scratch_path(spark, "rollup-test"))
