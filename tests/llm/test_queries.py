@@ -102,6 +102,17 @@ def test_repetition_decides_within_articles(spark):
     assert got[10] == got[11] == got[12] == "one text that two of the pages on this host have in common"
 
 
+def test_copies_and_quotations_stay(spark):
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    quoted = "to be or not to be that is the question"
+    twice = f"<div>{words(1, 30)}</div><div>{words(2, 30)}</div>"
+    rows = [(1, "http://h/a", twice), (2, "https://h/a?utm_source=x", twice + "<footer>other</footer>")]
+    rows += [(k, f"http://h/{k}", f"<div>{words(k, 15)} {quoted} {words(k + 100, 15)}</div>") for k in (3, 4)]
+    got = _extracted(spark, rows)
+    assert got[1] == got[2] == f"{words(1, 30)}\n{words(2, 30)}"
+    assert all(got[k] == f"{words(k, 15)} {quoted} {words(k + 100, 15)}" for k in (3, 4))
+
+
 def test_rollup_commits_once_and_compacts(spark):
     counts = spark.createDataFrame([(1, "s", None, "v", 5), (2, "s", "en", "v", 7)], "doc_id long, source string, lang string, tokenizer string, n_tokens long")
     rollup = token_rollup.Rollup(spark, scratch_path(spark, "rollup-test"))
