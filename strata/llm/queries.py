@@ -66,7 +66,7 @@ def op8_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signature_tree.similar_components(table(spark, sf_dir, "documents"))
+    return signature_tree.similar_documents(table(spark, sf_dir, "documents"))
 
 
 def op10_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,9 +20,13 @@
    returns only links that connect what was not connected, and components are
    taken over all links.
 
+5. Every link is inside one component. To count them, the classes of each
+   component meet pairwise in blocks, in a walk over exact bitmaps that
+   leaves out no pair for being connected; a linked class counts with all
+   its documents. Counts leave the blocks, not pairs.
+
 No pair with a similarity of 0.75 is lost: the shared prefix shingle, the size
-bound and the overlap bound hold for every such pair. Pairs inside one
-component are not listed; the result needs components only.
+bound and the overlap bound hold for every such pair.
 """
 
 from __future__ import annotations
@@ -45,6 +49,7 @@ FREQUENT_LEAST = 100  # a shingle that fewer documents have keeps its place
 LEAST_BITS = 64
 LEAF = 32
 BLOCK = 2000  # documents of a bucket that one task compares with as many others
+SHINGLES = 1000  # of a document, for the size of blocks with whole sets: longer ones count as several
 
 
 def _least_common(n: np.ndarray | int):
@@ -62,6 +67,12 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_signed(values)))
 
 
+def _set_hashes(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a whole set."""
+    a, b = np.add.reduce(_mix(s)), np.add.reduce(_mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+    return int(a) & ((1 << 64) - 1), int(b) & ((1 << 64) - 1)
+
+
 def frequent_shingles(docs: DataFrame) -> list[int]:
     """The shingles that most documents of the whole corpus have, by a frequency sketch; a bounded number."""
 
@@ -104,8 +115,9 @@ def sketches(docs: DataFrame, last: list[int]) -> DataFrame:
                 for s in shingle_sets(batch.column(1).slice(i, 1000)):
                     size = len(s)
                     n.append(size)
-                    a.append(int(np.add.reduce(_mix(s))) & ((1 << 64) - 1))
-                    b.append(int(np.add.reduce(_mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)))) & ((1 << 64) - 1))
+                    set_a, set_b = _set_hashes(s)
+                    a.append(set_a)
+                    b.append(set_b)
                     bits, gone = _bitmap(s)
                     maps.append(bits)
                     lost.append(gone)
@@ -135,16 +147,17 @@ def sketches(docs: DataFrame, last: list[int]) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """``doc_id, tokens`` of the documents ``ids(doc_id)``, read again from their texts."""
+    """``doc_id, tokens, set_a, set_b`` of the documents ``ids(doc_id)``, read again from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 sets = list(shingle_sets(batch.column(1).slice(i, 500)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 500), _lists(sets)], names=["doc_id", "tokens"])
+                a, b = (pa.array(_signed(np.array(h, dtype=np.uint64))) for h in zip(*map(_set_hashes, sets), strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 500), _lists(sets), a, b], names=["doc_id", "tokens", "set_a", "set_b"])
 
     some = docs.select("doc_id", "text").join(sized(ids), "doc_id", "left_semi")
-    return written(some.mapInArrow(run, "doc_id long, tokens array<long>"), label)
+    return written(some.mapInArrow(run, "doc_id long, tokens array<long>, set_a long, set_b long"), label)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
@@ -355,6 +368,33 @@ def _tree_links(rows: DataFrame) -> DataFrame:
     return _meetings(rows, "low").mapInArrow(run, "a long, b long")
 
 
+def _link_counts(rows: DataFrame) -> DataFrame:
+    """``doc_id, links``: with how many documents each class links, for ``rows(low, members, doc_id, component, n, size, tokens)``.
+
+    A row is a class of ``size`` documents, ``doc_id`` and ``component`` its
+    own key, so that no pair of ``low`` counts as connected.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["low", "i", "j"]):
+            sides = table["side"].to_numpy()
+            if len(sides) < 2 or ((sides > 0).all() and (sides == sides[0]).all()):
+                continue
+            order = np.argsort(table["doc_id"].to_numpy())
+            ids, size = table["doc_id"].to_numpy()[order], table["size"].to_numpy()[order]
+            links = np.zeros(len(ids), dtype=np.int64)
+            left, right = _exact_trees(table)
+            here, there = np.searchsorted(ids, left.ids), np.searchsorted(ids, right.ids)
+            for i, j in candidates(left, right):
+                np.add.at(links, here[i], size[there[j]])
+                np.add.at(links, there[j], size[here[i]])
+            some = links > 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some])], names=["doc_id", "links"])
+
+    found = _meetings(rows, "low").mapInArrow(run, "doc_id long, links long")
+    return found.groupBy("doc_id").agg(F.sum("links").alias("links"))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with the same key, each as one table."""
     rest = None
@@ -389,10 +429,54 @@ def similar_components(docs: DataFrame) -> DataFrame:
     its component is null. Columns other than ``doc_id`` and ``text`` are not
     read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    members, classes, component = _components(_documents(docs))
+    return _labelled(members, classes, component).select("doc_id", "n_shingles", "component_id")
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs``: `similar_components` and the links of its text.
+
+    ``n_links`` is the number of other documents whose set of shingles has a
+    similarity of 0.75 at least with this row's. Rows that repeat an id with
+    an equal set are one document, each row without an id is one that only
+    equal sets link.
+    """
+    docs = _documents(docs)
+    members, classes, component = _components(docs)
+    classes = classes.withColumn("key", F.xxhash64("n", "set_a", "set_b"))
+    nodes = component.withColumnRenamed("node", "rep")
+    # Blocks are cut by documents, or by shingles where documents are long.
+    weight = F.greatest(F.count("*"), F.ceil(F.sum("n") / SHINGLES)).alias("members")
+    totals = written(classes.join(nodes, "rep").groupBy("component").agg(weight), "component-sizes")
+    sets = _sets_of(docs, written(nodes.select(F.col("rep").alias("doc_id")), "linked-ids"), "linked-sets").withColumnRenamed("doc_id", "rep")
+    once = sets.withColumn("n", F.size("tokens").cast("long")).join(classes.drop("rows"), ["rep", "n", "set_a", "set_b"]).dropDuplicates(["key"])
+    rows = once.join(nodes, "rep").join(sized(totals), "component").select(
+        F.col("component").alias("low"), "members", F.col("key").alias("doc_id"), F.col("key").alias("component"), "n", "size", "tokens"
+    )
+    links = written(_link_counts(rows), "link-counts").withColumnRenamed("doc_id", "key")
+    return _labelled(members, classes, component).join(links, "key", "left").select(
+        "doc_id", "n_shingles", "component_id", (F.coalesce(F.col("size") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))).alias("n_links")
+    )
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def _labelled(members: DataFrame, classes: DataFrame, component: DataFrame) -> DataFrame:
+    """The rows of ``members`` with the columns of their class and ``component_id``."""
+    class_of = members.join(classes.drop("rows"), ["n", "set_a", "set_b"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    found = class_of.join(component.withColumnRenamed("node", "rep"), "rep", "left")
+    return found.withColumn("component_id", F.coalesce("component", "rep")).withColumnRenamed("n", "n_shingles")
+
+
+def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketched rows, their classes of equal sets, and ``node, component`` of the classes' smallest ids that link."""
     sketch = written(sketches(docs, frequent_shingles(docs)), "shingle-sketches")
     members = sketch.select("doc_id", "n", "set_a", "set_b")
-    classes = written(members.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "shingle-classes")
+    documents = F.count_distinct("doc_id") + F.count_if(F.col("doc_id").isNull())
+    classes = members.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), documents.alias("size"))
+    classes = written(classes, "shingle-classes")
     copies = written(
         members.join(classes.where("rows > 1"), ["n", "set_a", "set_b"]).where("doc_id != rep").select("doc_id").distinct(), "shingle-copies"
     )
@@ -439,12 +523,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
         "low", "members", "doc_id", F.coalesce("component", "doc_id").alias("component"), "n", "tokens"
     )
     late = written(_tree_links(whole), "tree-links")
-    component = settled if late.isEmpty() else written(connected_components(links.unionByName(late)), "all-components")
-
-    class_of = members.join(classes.drop("rows"), ["n", "set_a", "set_b"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    return class_of.join(component.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
-    )
+    return members, classes, settled if late.isEmpty() else written(connected_components(links.unionByName(late)), "all-components")
 
 
 def _shared(first: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 import random
 
-from llm_helpers import brute, docs  # noqa: F401
+from llm_helpers import brute, docs, sets  # noqa: F401
 
 from strata.llm import signature_tree
 from strata.llm.components import connected_components
@@ -34,6 +34,32 @@ def test_components_equal_brute_force(spark, docs, monkeypatch):
         assert got == brute(rows)
 
 
+def test_links_equal_brute_force(spark, docs, monkeypatch):
+    rows = texts()
+    rows += [(100_000 + i, t) for i, t in rows[::7]]  # copies count as documents
+    all_sets = {i: sets(t) for i, t in rows}
+
+    def link(a, b):
+        common = len(a & b)
+        return bool(a) and 100 * common >= 75 * (len(a) + len(b) - common)
+
+    want = {i: sum(link(a, b) for j, b in all_sets.items() if j != i) for i, a in all_sets.items()}
+    for block, shingles in ((2000, 1000), (7, 20)):
+        monkeypatch.setattr(signature_tree, "BLOCK", block)
+        monkeypatch.setattr(signature_tree, "SHINGLES", shingles)
+        got = signature_tree.similar_documents(docs(rows)).collect()
+        assert {r.doc_id: r.n_links for r in got} == want
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+
+
+def test_links_of_repeated_ids(docs):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x"
+    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (None, "p q r s t u v"), (2, None), (7, near), (7, near), (8, near + " y")]
+    got = sorted(((r.doc_id, r.n_shingles, r.n_links) for r in signature_tree.similar_documents(docs(rows)).collect()), key=repr)
+    assert got == sorted([(5, 2, 1), (5, 2, 1), (None, 2, 1), (None, 3, 0), (2, 0, 0), (7, 20, 1), (7, 20, 1), (8, 21, 1)], key=repr)
+    assert signature_tree.similar_documents(docs([])).count() == 0
+
+
 def test_repeated_ids_and_rows_without_an_id(docs):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (None, "p q r s t u v"), (2, None)]
     got = sorted(map(tuple, signature_tree.similar_components(docs(rows)).collect()), key=repr)
