@@ -37,13 +37,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """``lang, text`` of about ``per_language`` labelled rows of each language, whole texts.
+def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, held: bool = False) -> DataFrame:
+    """``lang, text`` of about ``per_language`` labelled rows of each language, whole texts; with ``held``, of the held-out ones.
 
     Rows are chosen by a hash of their id, in the share that the language's
     number of labelled rows asks for; a language with fewer rows gives all.
     """
-    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (held_out() == held))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
         return rows.select("lang", "text").limit(0)
@@ -194,13 +194,21 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | N
     return fit(list(zip(counted["lang"].to_pylist(), counted["key"].to_pylist(), counted["n"].to_pylist(), strict=True)))
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs``, then ``lang_pred`` and ``score``.
+def usual_bits(docs: DataFrame, model: Model | None, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, float]:
+    """The median bits per byte of each language, over a sample of its held-out rows: what text of the language takes that was not learned."""
+    rows = predict(training_sample(docs, per_language, held=True), model, ["lang"], bits=True).where("lang = lang_pred")
+    return {r["lang"]: r["m"] for r in rows.groupBy("lang").agg(F.percentile_approx("bits_per_byte", 0.5).alias("m")).collect()}  # one row a language
+
+
+def predict(docs: DataFrame, model: Model | None, keep: list[str], bits: bool = False) -> DataFrame:
+    """The columns ``keep`` of ``docs``, then ``lang_pred`` and ``score``, and with ``bits`` also ``bits_per_byte``.
 
     ``lang_pred`` is the language of the shortest code (the first by name on a
     tie) and ``score`` its share of the probability of all languages. A null
     text, a text without letters, and any text if nothing was learned, is
-    ``und`` with score 0. Rows are neither dropped nor merged.
+    ``und`` with score 0 and no bits. ``score`` compares languages and nears 1
+    with the length of any text; bits per byte, of the shortest code, tell
+    whether the language explains the text. Rows are neither dropped nor merged.
     """
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(*keep, F.when(letters, F.col("text")).alias("_text"))
@@ -211,18 +219,22 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
         for batch in batches:
             text = batch.column(len(keep))
             if frozen is None:
-                names, score = [UNKNOWN] * len(text), np.zeros(len(text))
+                names, score, rate = [UNKNOWN] * len(text), np.zeros(len(text)), np.zeros(len(text))
             else:
                 known = ~np.asarray(text.is_null())
-                bits = frozen.code_lengths(*_bytes(text))
-                best = bits.argmin(axis=1)
-                shortest = bits[np.arange(len(best)), best]
-                score = np.where(known, 1 / np.exp2(np.maximum(shortest[:, None] - bits, -1000)).sum(axis=1), 0.0)
+                data, starts = _bytes(text)
+                lengths = frozen.code_lengths(data, starts)
+                best = lengths.argmin(axis=1)
+                shortest = lengths[np.arange(len(best)), best]
+                score = np.where(known, 1 / np.exp2(np.maximum(shortest[:, None] - lengths, -1000)).sum(axis=1), 0.0)
+                rate = shortest / np.maximum(np.diff(starts), 1)
                 names = [frozen.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(score, pa.float64())],
-                names=[*keep, "lang_pred", "score"],
-            )
+            columns = [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(score, pa.float64())]
+            if bits:
+                columns.append(pa.array(rate, pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     schema = T.StructType([docs.schema[c] for c in keep]).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    if bits:
+        schema = schema.add("bits_per_byte", T.DoubleType())
     return rows.mapInArrow(run, schema)

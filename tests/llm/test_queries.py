@@ -180,6 +180,31 @@ def test_snapshots(spark, monkeypatch):
     assert {r.n_turns for r in got if r.conv_id == 4} == {5}
 
 
+def test_pipeline_drops_what_no_language_explains(spark, docs):
+    import random
+
+    import corpus_pipeline as C
+
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    italian = (
+        "nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita ahi quanto a dir qual "
+        "era cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura tanto amara che poco piu morte ma per "
+        "trattar del ben vi trovai diro de le altre cose che vi ho scorte io non so ben ridir come vi entrai"
+    )
+    odd = [italian, "все счастливые семьи похожи друг на друга " * 10]
+    odd += [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(80)) for _ in range(8)]
+    clean = C.quality_rules(spark, spark.read.parquet(f"{ORACLE_DIR}/documents.parquet"), ORACLE_DIR).where("text is not null")
+    model = ppm_langid.train(clean)
+    usual = ppm_langid.usual_bits(clean, model)
+    assert set(usual) == set(model.languages)
+    before = {r.doc_id: r.text for r in clean.collect()}
+    extra = docs([(-1 - k, t, None, "s") for k, t in enumerate(odd)])
+    kept = {r.doc_id for r in C.language_id(spark, clean.unionByName(extra.select(*clean.columns)), ORACLE_DIR).collect()}
+    assert min(kept) >= 0 and len(kept) > 150
+    assert all(" | " in before[k] for k in before.keys() - kept)  # menu lines, which the small training sample lacks
+
+
 def test_pipeline_keeps_what_brute_force_keeps(spark):
     import corpus_pipeline as C
 
