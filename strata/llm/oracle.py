@@ -91,3 +91,39 @@ b as (select distinct node from v where own = 'block')
 select page_id, host, path, rule, coalesce(own, case when b.node is not null then 'block' end, 'allow') as verdict
 from v left join b on v.node = b.node
 """
+
+#: Base 32 takes five bits a letter: 20 bits, or five hexadecimal digits, are four letters.
+WARC_BUNDLES = """
+with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as h from pages),
+g as (select h, payload_bytes, max(page_id) as m, count(*) as n from p group by all),
+q as (select page_id, payload_bytes, h, m, n > 1 and m is not null and page_id is distinct from m as again from p join g using (h, payload_bytes))
+select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (cast(('0x' || substr(h, 5 * (i // 4) + 1, 5)) as bigint) >> (15 - 5 * (i % 4))) % 32 + 1, 1)), '') as payload_digest,
+       case when again then 'revisit' else 'response' end as record_type, case when again then m end as refers_to
+from q
+"""
+
+#: The CRC-32 of the decimal of c, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({c}::varchar, ''), lambda s: ascii(s)::bigint)),
+  lambda x, b: list_reduce(list_prepend(xor(x, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))))"""
+
+#: Every node as the list of its turns. Distinct lists are nodes; a node is expanded into its prefixes to sum over subtrees.
+CONVERSATION_TRIE = f"""
+with o as (select conv_id, coalesce(role, '') as r, coalesce(text, '') as t, turn from conversations where conv_id is not null),
+p as (select *, row_number() over (partition by conv_id order by turn nulls first, substr(sha256(length(r) || ':' || r || t), 1, 32)) as i from o),
+c as (select conv_id, list({{'r': r, 't': t}} order by i) as turns from p group by conv_id),
+h as (select *, {_CRC32.format(c="conv_id")} % 6 as h from c),
+b as (select h.conv_id, list_concat(coalesce(l.turns[1:h.h], []), h.turns[h.h + 1:]) as turns
+      from h left join c l on l.conv_id = h.conv_id - h.conv_id % 100),
+m as (select conv_id, turns[1:d] as path, d, d = len(turns) as ends from (select *, unnest(range(0, len(turns) + 1)) as d from b)),
+k as (select path, d, min(conv_id) as conv_id, count(*) as n,
+             sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256 from m group by path, d),
+ch as (select path[1:d - 1] as path, count(*) as n from k where d > 0 group by 1),
+v as (select k.*, coalesce(ch.n, 0) as n_children, case when k.d > 0 then (k.n - 1) * length(k.path[k.d].t) else 0 end as saved
+      from k left join ch on k.path = ch.path),
+s as (select path[1:e] as path, sum(saved) as saved, count(*) filter (where n_children = 0) as leaves
+      from (select *, unnest(range(0, d + 1)) as e from v) group by 1)
+select v.conv_id, cast(v.d as bigint) as depth, u.conv_id as parent_conv_id, cast(v.n as bigint) as n_convs,
+       cast(v.n_children as bigint) as n_children, cast(s.leaves as bigint) as n_leaves, cast(s.saved as bigint) as saved_tokens, v.ends_sha256
+from v join s on v.path = s.path left join v u on v.d > 0 and u.d = v.d - 1 and u.path = v.path[1:v.d - 1]
+"""

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm import (
     best_two_fit,
     bpe_backtrack,
+    conversation_trie,
     host_rules,
     html_suffix,
     iblt,
@@ -18,8 +20,10 @@ from strata.llm import (
     snapshot_collapse,
     token_rollup,
     url_redirects,
+    warc_bundles,
+    whitening,
 )
-from strata.llm.tables import table
+from strata.llm.tables import table, written
 from strata.plans.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +77,25 @@ def op10_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_collapse.rendered(table(spark, sf_dir, "conversations"))
 
 
+def op11_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc_bundles.archive(table(spark, sf_dir, "pages"), path)
+    number = lambda c, name: F.col(c).cast("long").alias(name)
+    return warc_bundles.records(spark, path).select(
+        number("id", "page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to", "refers_to")
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.ordered(table(spark, sf_dir, "conversations"))
+    turns = written(turns, "trie-ordered")
+    return conversation_trie.trie(conversation_trie.shared_heads(turns), turns.select("conv_id"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_redirects": op1_url_redirects,
     "op2_html_suffix": op2_html_suffix,
@@ -84,6 +107,9 @@ QUERIES: dict[str, Query] = {
     "op8_ppm_langid": op8_ppm_langid,
     "op9_signature_tree": op9_signature_tree,
     "op10_snapshot_collapse": op10_snapshot_collapse,
+    "op11_warc_bundles": op11_warc_bundles,
+    "op12_whitening": op12_whitening,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE: dict[str, str] = {
@@ -91,4 +117,6 @@ ORACLE: dict[str, str] = {
     "op5_token_rollup": oracle.TOKEN_ROLLUP,
     "op6_host_rules": oracle.HOST_RULES,
     "op10_snapshot_collapse": oracle.SNAPSHOT_COLLAPSE,
+    "op11_warc_bundles": oracle.WARC_BUNDLES,
+    "op13_conversation_trie": oracle.CONVERSATION_TRIE,
 }

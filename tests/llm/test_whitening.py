@@ -1,0 +1,127 @@
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from conftest import ORACLE_DIR
+
+from strata.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, n int, whitened string"  # the last two clash with results
+
+
+def frame(spark, vectors, parts=3):
+    return spark.createDataFrame([(i, v, 1, "x") for i, v in vectors], SCHEMA).repartition(parts)
+
+
+def plain(vectors):
+    """Longs, exact covariance and deviations by plain Python."""
+    x = [[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for v in vectors]
+    n, d = len(x), range(len(x[0]))
+    s = [sum(r[j] for r in x) for j in d]
+    w = [[n * r[j] - s[j] for j in d] for r in x]
+    cov = [[Fraction(sum(r[i] * r[j] for r in w), n**3) for j in d] for i in d]
+    return x, s, cov, [sum(v * v for v in r) for r in w]
+
+
+def held(spark, vectors, components=32):
+    got = whitening.whiten(frame(spark, list(enumerate(vectors))), components=components).toPandas()
+    x, s, cov, deviations = plain(vectors)
+    n, v = len(x), np.array([[float(c) for c in r] for r in cov])
+    assert (got.n == n).all() and (got.identity_error <= 1e-9).all()
+    w = got.pivot(index="vec_id", columns="component", values="whitened").to_numpy()
+    assert got.drop_duplicates("vec_id").sort_values("vec_id").deviation.tolist() == deviations
+    e = np.linalg.eigh(v)[0][::-1]
+    explained = got[got.vec_id == 0].sort_values("component").explained.to_numpy()
+    assert np.allclose(explained, e[: len(explained)] / e.sum(), rtol=1e-6, atol=0)
+    centred = np.array([[float(Fraction(n * r[j] - s[j], n)) for j in range(len(s))] for r in x])
+    assert np.abs(w.T @ w / n - np.eye(w.shape[1])).max() < 1e-9
+    # Scaled back, a component is a unit vector that the covariance only stretches.
+    u = np.linalg.lstsq(centred, w * np.sqrt(explained * e.sum()), rcond=None)[0]
+    assert np.abs(v @ u - u * (explained * e.sum())).max() < 1e-8 * e[0]
+    return got
+
+
+def test_against_exact_arithmetic(spark):
+    rng = np.random.default_rng(5)
+    got = held(spark, (rng.normal(size=(90, 7)) * [3, 2, 1, 1, 0.5, 0.2, 5] + 0.3).astype(np.float32).tolist())
+    assert len(got) == 90 * 7
+    far = rng.normal(size=(60, 3)) * [900, 5000, 20] + [1e5, -3e5, 7]
+    held(spark, far.astype(np.float32).tolist(), components=2)
+
+
+def test_two_columns_alike_and_a_constant_one(spark):
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(50, 4)).astype(np.float32)
+    a[:, 1], a[:, 3] = a[:, 0], 2
+    assert held(spark, a.tolist()).component.max() == 2  # no component without variance
+
+
+def test_rows_that_are_left_out(spark):
+    rng = np.random.default_rng(7)
+    good = [(i, r) for i, r in enumerate(rng.normal(size=(20, 3)).astype(np.float32).tolist())]
+    bad = [(90, None), (91, [1.0, None, 2.0]), (92, [math.nan, 1.0, 1.0]), (93, [math.inf, 1.0, 1.0]), (94, []), (95, [1.0, 2.0])]
+    got = whitening.whiten(frame(spark, [*good, *bad, (None, good[0][1]), good[1]])).toPandas()
+    assert (got.n == 22).all() and len(got) == 22 * 3
+    assert set(got.vec_id.dropna()) == set(range(20)) and got.vec_id.isna().sum() == 3
+    assert len(got[got.vec_id == 1]) == 6  # a repeated row is a vector of its own
+
+
+@pytest.mark.parametrize("vectors", [[], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]])
+def test_nothing_to_whiten(spark, vectors):
+    got = whitening.whiten(frame(spark, vectors))
+    assert got.count() == 0 and got.columns[:2] == ["vec_id", "component"]
+
+
+def test_large_whole_numbers_stay_exact():
+    rng = np.random.default_rng(8)
+    a = rng.integers(-(1 << 40), 1 << 40, size=(50, 4))
+    exact = [[sum(int(r[i]) * int(r[j]) for r in a) for j in range(4)] for i in range(4)]
+    assert whitening._exact_product(a).tolist() == exact
+    assert whitening._exact_product(a >> 14).tolist() == [[sum(int(r[i] >> 14) * int(r[j] >> 14) for r in a) for j in range(4)] for i in range(4)]
+
+
+VALUES = {
+    "spread": np.linspace(1, 10, 20),
+    "clusters": [5, 5 + 1e-9, 5 + 3e-9, 1, 1 + 1e-5, 1 + 2e-5, 0.1, 1e-8, 2e-8],
+    "far apart": [1e6, 1, 1e-6],
+}
+
+
+@pytest.mark.parametrize("name", VALUES)
+def test_refined_eigenvectors(name):
+    rng, values = np.random.default_rng(9), np.sort(np.array(VALUES[name], whitening.HIGH))[::-1]
+    d = len(values)
+    q = np.linalg.qr(rng.normal(size=(d, d)))[0].astype(whitening.HIGH)
+    for _ in range(4):
+        q = q + q @ ((np.eye(d, dtype=whitening.HIGH) - q.T @ q) / 2)
+    a = (q * values) @ q.T
+    got, x = whitening.eigenvectors((a + a.T) / 2)
+    eps = float(np.finfo(whitening.HIGH).eps) * d * float(values[0])
+    assert np.abs(got - values).max() < 4 * eps and np.abs(x.T @ x - np.eye(d)).max() < 1e-17
+    gaps = np.abs(values[:, None] - values[None, :]) + np.eye(d) * 1e9
+    angle = np.linalg.norm((x - q * np.sign(np.sum(x * q, axis=0))).astype(float), axis=0)
+    assert (angle < 1e-15 + 40 * eps / gaps.min(axis=0).astype(float)).all()
+    single = np.linalg.eigh(a.astype(np.float32))[1]
+    assert np.abs(np.sum(single * q[:, ::-1].astype(float), axis=0)).min() < 1 - 1e-9 or name == "far apart"  # the start is far worse
+
+
+def test_equal_eigenvalues_get_an_orthonormal_basis():
+    rng = np.random.default_rng(10)
+    q = np.linalg.qr(rng.normal(size=(10, 10)))[0]
+    a = (q * ([2.0] * 6 + [1.0] * 4)) @ q.T
+    values, x = whitening.eigenvectors((a + a.T) / 2)
+    assert np.abs(x.T @ x - np.eye(10)).max() < 1e-17 and np.abs(a @ x - x * values).max() < 1e-14
+    assert whitening.eigenvectors(np.zeros((3, 3)))[0].tolist() == [0, 0, 0]
+
+
+def test_query(spark):
+    got = queries.op12_whitening(spark, ORACLE_DIR).toPandas()
+    n = spark.read.parquet(f"{ORACLE_DIR}/embeddings.parquet").count()
+    assert len(got) == 32 * n and got.identity_error.max() <= 1e-4
+    x = np.array([r.x for r in whitening.scaled(spark.read.parquet(f"{ORACLE_DIR}/embeddings.parquet")).orderBy("vec_id").collect()])
+    e, u = np.linalg.eigh(np.cov(x.T.astype(float), bias=True))
+    want = (x - x.mean(axis=0)) @ u[:, ::-1][:, :32] / np.sqrt(e[::-1][:32])
+    w = got.pivot(index="vec_id", columns="component", values="whitened").to_numpy()
+    assert np.abs(w - want * np.sign((w * want).sum(axis=0))).max() < 1e-7
+    assert np.allclose(got[got.vec_id == 0].sort_values("component").explained, e[::-1][:32] / e.sum(), rtol=1e-9)
