@@ -210,8 +210,8 @@ def deduplicate(df: DataFrame, rule: Dedup) -> DataFrame:
     return first.select(*[cols.get(c, F.col(c)) for c in df.columns])
 
 
-def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Apply a spec: [explode] -> project/type -> filter -> [dedup]."""
+def typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The spec without its dedup: [explode] -> project/type -> filter."""
     if spec.explode is not None:
         keep = sorted({f.source for f in spec.fields if f.source != spec.explode.target} & set(df.columns))
         df = explode_list(df, spec.explode, keep)
@@ -222,6 +222,10 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     cond = row_filter(spec)
     if cond is not None:
         out = out.filter(cond)
-    if spec.dedup is not None:
-        out = deduplicate(out, spec.dedup)
     return out
+
+
+def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Apply a spec: [explode] -> project/type -> filter -> [dedup]."""
+    out = typed(df, spec)
+    return out if spec.dedup is None else deduplicate(out, spec.dedup)
