@@ -343,6 +343,24 @@ def _hundredths_rounded(s: str, n: str) -> str:
     return f"cast(sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) as double) / 100"
 
 
+def _drift() -> str:
+    """Rows per key that the narrow schemas of the query lack (a null is no key of the line), and lines cut off."""
+    lacking = {
+        "business": "address city state postal_code latitude longitude review_count is_open categories".split(),
+        "review": "stars useful funny cool text".split(),
+    }
+    parts = [
+        f"select '{name}' as dataset, 'undeclared' as problem, '{key}' as key, count(*) as rows from raw_{name} "
+        f"where {key} is not null and not ends_with(coalesce(business_id, ''), '7')"
+        for name, keys in lacking.items()
+        for key in keys
+    ]
+    parts += [
+        f"select '{name}', 'corrupt', null, count(*) from raw_{name} where ends_with(business_id, '7')" for name in lacking
+    ]
+    return f"select * from ({' union all '.join(parts)}) where rows > 0"
+
+
 def queries(params: dict) -> dict[str, str]:
     """Oracle text for every registered key. ``params`` are the analysis arguments."""
     year = params["year"]
@@ -385,11 +403,14 @@ def queries(params: dict) -> dict[str, str]:
         "bronze_declared": ("select * from raw_business", ("raw_business",)),
         "bronze_counts": (counts, all_raw),
         "bronze_incremental": ("select * from raw_business", ("raw_business",)),
+        "bronze_drift": (_drift(), ("raw_business", "raw_review")),
         "parquet_roundtrip": ("select * from silver_business", ("silver_business",)),
+        "versioned_publish": ("select * from silver_business", ("silver_business",)),
         "layer_counts": (layers, all_layers),
         # silver
         "silver_business": ("select * from silver_business", ("silver_business",)),
         "silver_review": ("select * from silver_review", ("silver_review",)),
+        "silver_review_two_pass": ("select * from silver_review", ("silver_review",)),
         "silver_checkin": ("select * from silver_checkin", ("silver_checkin",)),
         "silver_user": ("select * from silver_user", ("silver_user",)),
         "silver_tip": ("select * from silver_tip", ("silver_tip",)),

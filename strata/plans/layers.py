@@ -22,15 +22,19 @@ from pyspark.sql import functions as F
 from strata.operators import gold
 from strata.operators.silver import SPECS
 from strata.operators.rules import clean
+from strata.operators.two_pass import clean_two_pass
 from strata.plans.session import (
     INITIAL_PARTITIONS,
     SPLIT_BYTES,
+    input_bytes,
     layer_session,
+    scratch_path,
     shuffle_partitions_from_input,
 )
-from strata.sources.bronze import load_to_bronze
+from strata.sources.bronze import Limits, load
 from strata.sources.raw import DATASETS, RAW_FILE, RAW_SCHEMAS, raw_path
 from strata.sources.sinks import write_partitioned, write_table
+from strata.sources.versions import publish, read_table, resolve
 
 log = logging.getLogger(__name__)
 
@@ -93,6 +97,17 @@ class RunSpec:
     # are capped, so at scale fewer and larger map tasks are what keeps its
     # blocks from becoming tiny random reads. None leaves the session alone.
     silver_split_bytes: int | None = 512 * 1024 * 1024
+    # Bytes of bronze from which a silver table is deduplicated in two passes,
+    # so that only rows with a copy are shuffled; below, one pass has fewer
+    # jobs. None always takes one.
+    two_pass_bytes: int | None = 16 * 1024 * 1024 * 1024
+    # Shares of corrupt rows and of rows with undeclared keys that fail a
+    # bronze load; by default they are counted and logged.
+    limits: Limits = Limits()
+    # Write each table to a new version and switch to it when it is complete
+    # (strata.sources.versions): readers and failed runs never see half a
+    # table. Read such tables through versions.read_table.
+    versioned: bool = False
     # Size the initial shuffle partition count of silver and gold from the
     # bytes of their inputs (changes a session setting, hence opt-in).
     size_shuffles: bool = False
@@ -180,18 +195,23 @@ def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
 
     def one(name: str) -> int:
         schema = RAW_SCHEMAS.get(name) if spec.declared_schemas else None
-        return load_to_bronze(s, layout.raw_file(name), layout.bronze(name), schema)
+        return load(s, layout.raw_file(name), layout.bronze(name), schema, limits=spec.limits, versioned=spec.versioned).rows
 
     return _each(spark, _labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
 
 
+def _put(spark: SparkSession, spec: RunSpec, table: str, write) -> int:
+    """``write(folder)`` for a table in place, or for a new version of it."""
+    return publish(spark, table, write) if spec.versioned else write(table)
+
+
 def _sized(
     spark: SparkSession, spec: RunSpec, layer: str, inputs: list[str], split_bytes: int | None = None
 ) -> SparkSession:
     """The layer's session: its split size, and its initial shuffle count sized from ``inputs`` when asked."""
     settings = {SPLIT_BYTES: None if split_bytes is None else str(split_bytes)}
     if spec.size_shuffles:
-        n = shuffle_partitions_from_input(spark, inputs)
+        n = shuffle_partitions_from_input(spark, [resolve(spark, p) for p in inputs])
         log.info("%s: %s initial shuffle partitions", layer, n)
         settings[INITIAL_PARTITIONS] = None if n is None else str(n)
     return layer_session(spark, settings)
@@ -202,8 +222,13 @@ def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
     s = _sized(spark, spec, "silver", [layout.bronze(d) for d in datasets], spec.silver_split_bytes)
 
     def one(name: str) -> int:
-        out = clean(s.read.parquet(layout.bronze(name)), SPECS[name])
-        rows = write_table(out, layout.silver(name))
+        source = resolve(s, layout.bronze(name))
+        size = None if spec.two_pass_bytes is None else input_bytes(s, [source])
+        if size is not None and size >= spec.two_pass_bytes:
+            out = clean_two_pass(s.read.parquet(source), SPECS[name], scratch_path(s, f"repeated-{name}"))
+        else:
+            out = clean(s.read.parquet(source), SPECS[name])
+        rows = _put(s, spec, layout.silver(name), lambda path: write_table(out, path))
         log.info("cleaned %s: %d rows", name, rows)
         return rows
 
@@ -218,14 +243,14 @@ def _count_column(dataset: str, column: str) -> str | None:
 
 def build_weekly_stars(spark: SparkSession, layout: Layout) -> DataFrame:
     return gold.weekly_stars(
-        spark.read.parquet(layout.silver("review")), spark.read.parquet(layout.silver("business")),
+        read_table(spark, layout.silver("review")), read_table(spark, layout.silver("business")),
         count_column=_count_column("review", "review_id"),
     )
 
 
 def build_checkins_vs_stars(spark: SparkSession, layout: Layout) -> DataFrame:
     return gold.checkins_vs_stars(
-        spark.read.parquet(layout.silver("checkin")), spark.read.parquet(layout.silver("business")),
+        read_table(spark, layout.silver("checkin")), read_table(spark, layout.silver("business")),
         count_column=_count_column("checkin", "checkin_timestamp"),
     )
 
@@ -241,12 +266,14 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
         if name == "weekly_stars":
             by = spec.weekly_partition_by
             cluster = [c for c in spec.weekly_cluster_by if c not in by]
-            rows = write_partitioned(
-                build_weekly_stars(s, layout), layout.gold(name), by, cluster,
-                bloom_filter_columns=spec.weekly_bloom_filters,
+            out = build_weekly_stars(s, layout)
+            rows = _put(
+                s, spec, layout.gold(name),
+                lambda path: write_partitioned(out, path, by, cluster, bloom_filter_columns=spec.weekly_bloom_filters),
             )
         else:
-            rows = write_table(build_checkins_vs_stars(s, layout), layout.gold(name))
+            out = build_checkins_vs_stars(s, layout)
+            rows = _put(s, spec, layout.gold(name), lambda path: write_table(out, path))
         log.info("gold %s: %d rows", name, rows)
         return rows
 
@@ -281,7 +308,7 @@ def layer_counts(spark: SparkSession, layout: Layout, datasets: tuple[str, ...]
         + [("gold", g, layout.gold(g)) for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(datasets)]
     )
     parts = [
-        spark.read.parquet(path)
+        read_table(spark, path)
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(layer).alias("layer"), F.lit(name).alias("dataset"), "row_count")
         for layer, name, path in tables

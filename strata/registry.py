@@ -20,12 +20,14 @@ from strata.operators import gold
 from strata.operators.rules import explode_list as _explode
 from strata.operators.silver import CHECKIN, SPECS
 from strata.operators.rules import clean
+from strata.operators.two_pass import clean_two_pass
 from strata.plans.layers import Layout, RunSpec, layer_counts, run_layers
 from strata.plans.session import scratch_path
 from strata.sources import bronze
 from strata.sources.fixtures import ADAPTERS, raw
 from strata.sources.raw import DATASETS, RAW_SCHEMAS, read_raw, write_raw
 from strata.sources.sinks import write_partitioned, write_table
+from strata.sources.versions import publish, read_table
 
 # Analysis arguments that hit the driver data (its dates span 1995-2001).
 PARAMS = {
@@ -121,6 +123,49 @@ def bronze_declared(spark, sf_dir):
     return _typed_as(raw(spark, sf_dir, "business"), spark.read.parquet(layout.bronze("business")))
 
 
+DRIFT_SCHEMAS = {  # declared schemas that lack some keys of the dumps
+    "business": "business_id string, name string, stars string, _corrupt_record string",
+    "review": "review_id string, user_id string, business_id string, date string, _corrupt_record string",
+}
+
+
+def bronze_drift(spark, sf_dir):
+    """What a load by a declared schema counts: keys it does not list, and lines cut off in the middle."""
+    root = scratch_path(spark, "bronze-drift")
+    parts = []
+    for name, schema in DRIFT_SCHEMAS.items():
+        rows = raw(spark, sf_dir, name)
+        line = F.to_json(F.struct(*rows.columns))
+        cut = F.substring(line, F.lit(1), F.length(line) - 1)
+        rows.select(F.when(F.col("business_id").endswith("7"), cut).otherwise(line).alias("value")).write.text(f"{root}/raw/{name}")
+        bronze.load(spark, f"{root}/raw/{name}", f"{root}/bronze/{name}", schema)
+        report = bronze.drift_report(spark.read.parquet(f"{root}/bronze/{name}"))
+        parts.append(report.select(F.lit(name).alias("dataset"), "problem", "key", F.col("rows")))
+    return parts[0].unionByName(parts[1])
+
+
+def versioned_publish(spark, sf_dir):
+    """A table published twice, and a third write that fails half way: the second version is read."""
+    path = scratch_path(spark, "versioned")
+    business = silver(spark, sf_dir, "business")
+    publish(spark, path, lambda folder: write_table(business.where("stars < 2"), folder))
+    publish(spark, path, lambda folder: write_table(business, folder))
+    broken = business.withColumn("stars", F.when(F.col("stars") > 4, F.raise_error(F.lit("a lost write"))).otherwise(0.0))
+    try:
+        publish(spark, path, lambda folder: write_table(broken, folder))
+    except Exception as e:  # noqa: BLE001 - the failure is the point; anything else is one
+        if "a lost write" not in str(e):
+            raise
+    return read_table(spark, path)
+
+
+def silver_review_two_pass(spark, sf_dir):
+    """Reviews deduplicated by moving only rows whose id repeats."""
+    root = scratch_path(spark, "two-pass")
+    write_table(raw(spark, sf_dir, "review"), f"{root}/bronze")
+    return clean_two_pass(spark.read.parquet(f"{root}/bronze"), SPECS["review"], f"{root}/repeated")
+
+
 def parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "roundtrip")
     write_table(silver(spark, sf_dir, "business"), path)
@@ -269,10 +314,13 @@ QUERIES: dict[str, Query] = {
     "bronze_declared": bronze_declared,
     "bronze_counts": bronze_counts,
     "bronze_incremental": bronze_incremental,
+    "bronze_drift": bronze_drift,
     "parquet_roundtrip": parquet_roundtrip,
+    "versioned_publish": versioned_publish,
     "layer_counts": layer_counts_query,
     "silver_business": lambda spark, d: silver(spark, d, "business"),
     "silver_review": lambda spark, d: silver(spark, d, "review"),
+    "silver_review_two_pass": silver_review_two_pass,
     "silver_checkin": lambda spark, d: silver(spark, d, "checkin"),
     "silver_user": lambda spark, d: silver(spark, d, "user"),
     "silver_tip": lambda spark, d: silver(spark, d, "tip"),

@@ -8,7 +8,9 @@ file come back NULL; malformed lines land in ``_corrupt_record`` either way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # The raw dumps' file names (the public dataset's naming) and
@@ -18,11 +20,12 @@ RAW_FILE = "yelp_academic_dataset_{name}.json"
 DATASETS = ("business", "review", "user", "checkin", "tip")
 
 CORRUPT = "_corrupt_record"
+RESCUED = "_rescued"  # keys that the declared schema does not list, with their values as text
 
 # Declared raw schemas: every published column, all as string. A string column
 # takes whatever JSON value stands there (a quoted number, 3.0 in an integer
 # field, a nested object as its JSON text); silver casts. Keys that are not
-# listed are not read, so a run that must keep them infers the schema.
+# listed go to RESCUED when read by read_declared.
 _COMPLIMENTS = "hot more profile cute list note plain cool funny writer photos"
 _COLUMNS = {
     "business": "business_id name address city state postal_code latitude longitude stars review_count is_open attributes categories hours",
@@ -49,6 +52,37 @@ def read_raw(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return reader.json(path)
 
 
+def declared_fields(schema: str) -> T.StructType:
+    """The schema's columns without the corrupt-record column."""
+    return T.StructType([f for f in T.StructType.fromDDL(schema).fields if f.name != CORRUPT])
+
+
+def parse_line(schema: str, line: Column) -> list[Column]:
+    """Columns of one JSON line: the schema's, ``_corrupt_record`` and ``_rescued``.
+
+    A line that is no JSON object is kept whole in ``_corrupt_record``, with
+    all else null. ``_rescued`` maps keys outside of the schema to their
+    values as text; it is null, not empty, without such keys, and only lines
+    that have some are parsed for it. Names match by case.
+    """
+    fields = declared_fields(schema)
+    keys, known = F.json_object_keys(line), F.array(*[F.lit(f.name) for f in fields])
+    record = F.when(keys.isNotNull(), F.from_json(line, fields))
+    values = F.from_json(line, T.MapType(T.StringType(), T.StringType()))
+    others = F.map_filter(values, lambda k, v: ~F.array_contains(known, k))
+    return [
+        *[record.getField(f.name).alias(f.name) for f in fields],
+        F.when(keys.isNull(), line).alias(CORRUPT),
+        F.when(F.size(F.array_except(keys, known)) > 0, others).alias(RESCUED),
+    ]
+
+
+def read_declared(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One scan of the lines by a declared schema that loses no key: see :func:`parse_line`. Blank lines are no rows."""
+    lines = spark.read.text(path)
+    return lines.where(F.btrim("value", F.lit(" \t\r\n")) != "").select(*parse_line(schema, F.col("value")))
+
+
 def write_raw(df: DataFrame, path: str) -> None:
     """Write rows as newline-delimited JSON (NULL fields are omitted, as in the dumps)."""
     df.write.mode("overwrite").json(path)

@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+def _counted(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
     # Counted in the writing stage itself: no second job, no re-listing of the output.
     obs = Observation()
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in measures.items()]), obs
 
 
 def bloom_filter_options(columns: Sequence[str]) -> dict[str, str]:
@@ -45,6 +45,13 @@ def write_table(
     return int(obs.get["rows"])
 
 
+def write_measured(df: DataFrame, path: str, mode: str = "overwrite", **measures: Column) -> dict[str, int]:
+    """Write Parquet; returns ``rows`` and the given aggregates, all taken during the write."""
+    out, obs = _counted(df, **measures)
+    out.write.mode(mode).parquet(path)
+    return {k: int(v) for k, v in obs.get.items()}
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
