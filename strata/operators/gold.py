@@ -9,7 +9,7 @@ on ``business_id`` cannot be skewed whatever the input looks like.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import scalars as S
@@ -45,6 +45,21 @@ CHECKINS_VS_STARS_COLUMNS = (
 )
 
 
+MEASURES = ("stars", "useful", "funny", "cool")
+#: How the weekly average of a measure is called.
+AVERAGES = {"stars": "avg_stars_weekly", "useful": "avg_useful", "funny": "avg_funny", "cool": "avg_cool"}
+
+
+def _by_week(reviews: DataFrame):
+    d = F.col("review_date")
+    return reviews.groupBy(
+        "business_id",
+        S.calendar_year(d).alias("review_year"),
+        S.iso_week(d).alias("review_week_number"),
+        S.week_start(d).alias("review_week"),
+    )
+
+
 def weekly_agg(reviews: DataFrame, count_column: str | None = "review_id") -> DataFrame:
     """Reviews per (business, calendar year, ISO week number, week start).
 
@@ -57,34 +72,49 @@ def weekly_agg(reviews: DataFrame, count_column: str | None = "review_id") -> Da
     ``count_column=None`` counts rows. For silver reviews, whose review_id is
     required, the two agree, and counting rows spares the scan the id column
     (a third of the bytes the aggregate reads).
+
+    Stars are summed exactly, so their average does not depend on the order of
+    addition whatever decimals they have; sums of whole numbers are exact anyway.
     """
     counted = F.count(F.lit(1)) if count_column is None else F.count(count_column)
-    d = F.col("review_date")
-    return reviews.groupBy(
-        "business_id",
-        S.calendar_year(d).alias("review_year"),
-        S.iso_week(d).alias("review_week_number"),
-        S.week_start(d).alias("review_week"),
-    ).agg(
-        S.round2(F.avg("stars")).alias("avg_stars_weekly"),
+    stars = S.exact_sums("stars", "stars", reviews.schema["stars"].dataType)
+    grouped = _by_week(reviews).agg(
+        *[c.alias(k) for k, c in stars.items()],
         counted.alias("review_count_weekly"),
         S.round2(F.avg("useful")).alias("avg_useful"),
         S.round2(F.avg("funny")).alias("avg_funny"),
         S.round2(F.avg("cool")).alias("avg_cool"),
     )
+    return grouped.select(
+        *WEEK_KEYS, S.exact_mean2("stars").alias("avg_stars_weekly"), "review_count_weekly", "avg_useful", "avg_funny", "avg_cool"
+    )
 
 
-def weekly_stars(reviews: DataFrame, business: DataFrame, count_column: str | None = "review_id") -> DataFrame:
-    """Every silver business with its weekly review figures.
+def weekly_sums(reviews: DataFrame, sign: int = 1) -> DataFrame:
+    """What :func:`weekly_agg` is made from, as sums that add up over batches: ``n`` rows and per measure its exact sums.
 
-    LEFT join: a business without reviews keeps one row with the sentinel
-    keys (9999-01-01, 9999, 0) and zero metrics; aggregates of businesses
-    missing from silver are dropped. Undated reviews get the same sentinel
-    keys but a non-zero count. ``count_column`` as in :func:`weekly_agg`.
+    ``sign=-1`` takes reviews out. See :mod:`strata.operators.state`.
     """
-    w = weekly_agg(reviews, count_column)
+    sums: dict[str, Column] = {}
+    for m in MEASURES:
+        sums |= S.exact_sums(m, m, reviews.schema[m].dataType, sign)
+    return _by_week(reviews).agg((F.count(F.lit(1)) * sign).alias("n"), *[c.alias(k) for k, c in sums.items()])
+
+
+def weekly_averages(sums: DataFrame) -> DataFrame:
+    """:func:`weekly_agg` from added-up sums: rounded here and nowhere before."""
+    return sums.select(
+        *WEEK_KEYS,
+        S.exact_mean2("stars").alias("avg_stars_weekly"),
+        F.col("n").alias("review_count_weekly"),
+        *[S.exact_mean2(m).alias(AVERAGES[m]) for m in MEASURES[1:]],
+    )
+
+
+def with_business(weekly: DataFrame, business: DataFrame, how: str = "left") -> DataFrame:
+    """Every silver business with its weekly figures; see :func:`weekly_stars`. ``how="inner"``: only those that have some."""
     zero = F.lit(0)
-    return business.join(w, "business_id", "left").select(
+    return business.join(weekly, "business_id", how).select(
         "business_id",
         "business_name",
         "city",
@@ -101,6 +131,17 @@ def weekly_stars(reviews: DataFrame, business: DataFrame, count_column: str | No
     )
 
 
+def weekly_stars(reviews: DataFrame, business: DataFrame, count_column: str | None = "review_id") -> DataFrame:
+    """Every silver business with its weekly review figures.
+
+    LEFT join: a business without reviews keeps one row with the sentinel
+    keys (9999-01-01, 9999, 0) and zero metrics; aggregates of businesses
+    missing from silver are dropped. Undated reviews get the same sentinel
+    keys but a non-zero count. ``count_column`` as in :func:`weekly_agg`.
+    """
+    return with_business(weekly_agg(reviews, count_column), business)
+
+
 def sort_weekly(weekly: DataFrame) -> DataFrame:
     """Total order for reading weekly_stars: business, year, week number, week."""
     return weekly.orderBy(*WEEK_KEYS)
@@ -124,7 +165,11 @@ def checkins_vs_stars(
     ``review_count`` is the business record's own field. The ratio is NULL
     when it is 0 or NULL. ``count_column`` as in :func:`checkin_counts`.
     """
-    counts = checkin_counts(checkins, count_column)
+    return with_checkins(checkin_counts(checkins, count_column), business)
+
+
+def with_checkins(counts: DataFrame, business: DataFrame) -> DataFrame:
+    """Every silver business with its check-in count; see :func:`checkins_vs_stars`."""
     return (
         business.join(counts, "business_id", "left")
         .select(

@@ -457,7 +457,10 @@ def queries(params: dict) -> dict[str, str]:
         "checkin_counts": ("select * from checkin_counts", ("checkin_counts",)),
         "checkins_vs_stars": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
         "end_to_end_weekly": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
+        "weekly_incremental": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
+        "weekly_from_sums": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
         "end_to_end": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
+        "checkins_incremental": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
         # analyses
         "top_businesses_by_year": (
             f"""select business_id, business_name, city, state,

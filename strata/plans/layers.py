@@ -200,7 +200,7 @@ def run_bronze(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
     return _each(spark, _labelled(spark, "bronze", one), _unique(spec.datasets), spec.concurrent)
 
 
-def _put(spark: SparkSession, spec: RunSpec, table: str, write) -> int:
+def put_table(spark: SparkSession, spec: RunSpec, table: str, write) -> int:
     """``write(folder)`` for a table in place, or for a new version of it."""
     return publish(spark, table, write) if spec.versioned else write(table)
 
@@ -228,7 +228,7 @@ def run_silver(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -
             out = clean_two_pass(s.read.parquet(source), SPECS[name], scratch_path(s, f"repeated-{name}"))
         else:
             out = clean(s.read.parquet(source), SPECS[name])
-        rows = _put(s, spec, layout.silver(name), lambda path: write_table(out, path))
+        rows = put_table(s, spec, layout.silver(name), lambda path: write_table(out, path))
         log.info("cleaned %s: %d rows", name, rows)
         return rows
 
@@ -267,13 +267,13 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
             by = spec.weekly_partition_by
             cluster = [c for c in spec.weekly_cluster_by if c not in by]
             out = build_weekly_stars(s, layout)
-            rows = _put(
+            rows = put_table(
                 s, spec, layout.gold(name),
                 lambda path: write_partitioned(out, path, by, cluster, bloom_filter_columns=spec.weekly_bloom_filters),
             )
         else:
             out = build_checkins_vs_stars(s, layout)
-            rows = _put(s, spec, layout.gold(name), lambda path: write_table(out, path))
+            rows = put_table(s, spec, layout.gold(name), lambda path: write_table(out, path))
         log.info("gold %s: %d rows", name, rows)
         return rows
 

@@ -16,16 +16,17 @@ from pyspark.sql import functions as F
 
 from strata.functions import scalars as S
 from strata.operators import analyses as A
-from strata.operators import gold
+from strata.operators import gold, state
 from strata.operators.rules import explode_list as _explode
 from strata.operators.silver import CHECKIN, SPECS
 from strata.operators.rules import clean
 from strata.operators.two_pass import clean_two_pass
+from strata.plans.incremental import Ledger, apply_checkins, apply_reviews
 from strata.plans.layers import Layout, RunSpec, layer_counts, run_layers
 from strata.plans.session import scratch_path
 from strata.sources import bronze
 from strata.sources.fixtures import ADAPTERS, raw
-from strata.sources.raw import DATASETS, RAW_SCHEMAS, read_raw, write_raw
+from strata.sources.raw import DATASETS, RAW_SCHEMAS, read_declared, read_raw, write_raw
 from strata.sources.sinks import write_partitioned, write_table
 from strata.sources.versions import publish, read_table
 
@@ -194,6 +195,58 @@ def end_to_end_weekly(spark, sf_dir):
     return weekly_out(spark.read.parquet(layout.gold("weekly_stars")))
 
 
+def _arrivals(spark, sf_dir, name: str, root: str, first, second) -> Layout:
+    """Raw rows in three arrivals: ``first`` and ``second`` pick those of the first two. A run over the first one only."""
+    layout = write_raw_files(spark, sf_dir, f"{root}/raw", tuple(d for d in DATASETS if d != name))
+    rows = raw(spark, sf_dir, name)
+    earlier = F.coalesce(first, F.lit(False))
+    write_raw(rows.where(earlier), layout.raw_file(name))
+    run_layers(spark, layout, RunSpec())
+    now = F.coalesce(second, F.lit(False))
+    for batch, some in (("second", ~earlier & now), ("third", ~earlier & ~now)):
+        write_raw(rows.where(some), f"{root}/arrivals/{batch}")
+    return layout
+
+
+def weekly_incremental(spark, sf_dir):
+    """weekly_stars after three arrivals of reviews, of which the last two touch some years only.
+
+    Every id has its copies, with other payloads, in any of the arrivals.
+    """
+    root = scratch_path(spark, "weekly-incremental")
+    year, part = F.col("date").substr(1, 4), F.pmod(F.xxhash64("user_id", "useful"), F.lit(4))
+    late = year.isin("1996", "1997") & (part == 0)
+    layout = _arrivals(spark, sf_dir, "review", root, ~late & ~((part == 1) & (year == "1998")) & ~year.startswith("b"), late)
+    for batch in ("second", "third"):
+        rows = read_declared(spark, f"{root}/arrivals/{batch}", RAW_SCHEMAS["review"])
+        apply_reviews(spark, layout, batch, rows)
+        apply_reviews(spark, layout, batch, rows)  # a repeated batch changes nothing
+    return weekly_out(read_table(spark, layout.gold("weekly_stars")))
+
+
+def weekly_from_sums(spark, sf_dir):
+    """weekly_stars from sums of three batches, compacted in between, and no review read for the last step."""
+    root = scratch_path(spark, "weekly-sums")
+    reviews = silver(spark, sf_dir, "review")
+    ledger = Ledger(spark, f"{root}/sums", state.WEEKLY_KEYS)
+    part = F.pmod(F.xxhash64("review_id"), F.lit(3))
+    for k in range(3):
+        ledger.commit(f"batch {k}", gold.weekly_sums(reviews.where(part == k)))
+        if k == 1:
+            ledger.compact()
+    return weekly_out(state.weekly_stars(ledger.read(), silver(spark, sf_dir, "business")))
+
+
+def checkins_incremental(spark, sf_dir):
+    """checkins_vs_stars after three arrivals of check-in lists, some of which repeat check-ins of earlier ones."""
+    root = scratch_path(spark, "checkins-incremental")
+    part = F.pmod(F.xxhash64("date"), F.lit(3))
+    layout = _arrivals(spark, sf_dir, "checkin", root, part == 0, part == 1)
+    for batch in ("second", "third"):
+        apply_checkins(spark, layout, batch, read_declared(spark, f"{root}/arrivals/{batch}", RAW_SCHEMAS["checkin"]))
+    return read_table(spark, layout.gold("checkins_vs_stars"))
+
+
 def weekly_partitioned(spark, sf_dir):
     path = scratch_path(spark, "weekly")
     write_partitioned(weekly(spark, sf_dir), path, ("review_week",), ("business_id",))
@@ -338,6 +391,9 @@ QUERIES: dict[str, Query] = {
     "checkins_vs_stars": checkins_vs_stars,
     "end_to_end": end_to_end,
     "end_to_end_weekly": end_to_end_weekly,
+    "weekly_incremental": weekly_incremental,
+    "weekly_from_sums": weekly_from_sums,
+    "checkins_incremental": checkins_incremental,
     "top_businesses_by_year": top_businesses_by_year,
     "weekly_multi_review": weekly_multi_review,
     "quality_summary": quality_summary,

@@ -10,8 +10,9 @@ so one hot week never lands on a single writer.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -69,3 +70,42 @@ def write_partitioned(
     writer = laid_out.write.mode(mode).partitionBy(*cols).options(**bloom_filter_options(bloom_filter_columns))
     writer.parquet(path)
     return int(obs.get["rows"])
+
+
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    column: str,
+    values: Sequence[str],
+    cluster_by: Sequence[str] = (),
+    bloom_filter_columns: Sequence[str] = (),
+) -> int:
+    """Replaces the partitions ``values`` (as text) of a table partitioned by ``column`` with ``df``'s rows of them.
+
+    Other partitions, their files included, stay as they are. A replaced
+    partition without rows in ``df`` goes, which an overwrite of partitions
+    alone would leave as it was. The new files are written aside and moved in
+    when all are complete. Returns the number of rows written.
+    """
+    if not values:
+        return 0
+    key = F.col(column).cast("string")
+    some = df.where(key.isin(list(values))).hint("rebalance", column).sortWithinPartitions(column, *cluster_by)
+    out, obs = _counted(some, found=F.collect_set(key))
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
+    writer.options(**bloom_filter_options(bloom_filter_columns)).parquet(path)
+    got = obs.get
+    _drop_partitions(df.sparkSession, path, column, set(values) - set(got["found"] or ()))
+    return int(got["rows"])
+
+
+def _drop_partitions(spark: SparkSession, path: str, column: str, values: set[str]) -> None:
+    """Removes the folders of partitions that have no rows any more."""
+    if not values:
+        return
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for s in fs.listStatus(root):
+        name, _, value = s.getPath().getName().partition("=")
+        if name == column and unquote(value) in values:
+            fs.delete(s.getPath(), True)
