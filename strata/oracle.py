@@ -460,6 +460,9 @@ def queries(params: dict) -> dict[str, str]:
         "weekly_incremental": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
         "weekly_from_sums": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
         "end_to_end": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
+        "weekly_bucketed": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
+        "weekly_ordered": (f"select {WEEKLY_OUT} from weekly_stars", ("weekly_stars",)),
+        "end_to_end_cached": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
         "checkins_incremental": ("select * from checkins_vs_stars", ("checkins_vs_stars",)),
         # analyses
         "top_businesses_by_year": (

@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 from strata.plans.layers import LAYERS, Layout, RunSpec, run_layers
 from strata.plans.session import INITIAL_PARTITIONS, SPLIT_BYTES, session_conf
+from strata.sources.bronze import Limits
 from strata.sources.raw import DATASETS, RAW_FILE
 
 log = logging.getLogger("strata")
@@ -47,6 +48,8 @@ class RunConfig:
     declared_schemas: bool = False
     weekly_partition_by: tuple[str, ...] = ("review_year",)
     concurrent: bool = True
+    versioned: bool = False
+    limits: Limits = Limits()
     layers: tuple[str, ...] = LAYERS
 
     def layout(self) -> Layout:
@@ -84,6 +87,8 @@ class RunConfig:
             declared_schemas=self.declared_schemas,
             weekly_partition_by=self.weekly_partition_by,
             concurrent=self.concurrent,
+            versioned=self.versioned,
+            limits=self.limits,
             size_shuffles=not any(chosen(k) for k in _SHUFFLE_KEYS),
             raw_split_bytes=None if chosen(_SPLIT_KEY) else RunSpec.raw_split_bytes,
             silver_split_bytes=None if chosen(_SPLIT_KEY) else RunSpec.silver_split_bytes,
@@ -160,10 +165,13 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     p.add_argument("--datasets", help="comma-separated subset of " + ",".join(DATASETS))
     p.add_argument(
         "--declared-schemas", action="store_true",
-        help="read the raw JSON with the declared schemas: no inference pass, but keys outside of them are not read",
+        help="read the raw JSON with the declared schemas: no inference pass; keys outside of them are counted and kept in _rescued",
     )
     p.add_argument("--infer-schemas", action="store_true", help="infer raw JSON schemas (the default: keeps every key)")
     p.add_argument("--weekly-partition-by", help="comma-separated partition columns of weekly_stars")
+    p.add_argument("--versioned", action="store_true", help="write tables as versions and switch to them when they are complete")
+    p.add_argument("--max-corrupt", type=float, metavar="SHARE", help="fail a bronze load with a larger share of lines that are no records")
+    p.add_argument("--max-drifted", type=float, metavar="SHARE", help="fail a declared load with a larger share of rows with undeclared keys")
     p.add_argument("--serial", action="store_true", help="run the tables of a layer one after another")
     p.add_argument(
         "--conf", action="append", default=[], metavar="KEY=VALUE",
@@ -199,6 +207,8 @@ def parse_args(argv: Sequence[str] | None = None) -> RunConfig:
     kw["spark_conf"] = {**kw.get("spark_conf", {}), **extra}
     kw["declared_schemas"] = a.declared_schemas and not a.infer_schemas
     kw["concurrent"] = not a.serial
+    kw["versioned"] = a.versioned
+    kw["limits"] = Limits(a.max_corrupt, a.max_drifted)
     if "raw" not in kw:
         p.error("the raw folder is required (--raw or paths.raw in --config)")
     if "{name}" not in kw.get("raw_pattern", RAW_FILE):

@@ -13,9 +13,12 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,7 @@ from strata.sources.versions import publish, read_table, resolve
 log = logging.getLogger(__name__)
 
 GOLD_TABLES = ("weekly_stars", "checkins_vs_stars")
+BUSINESS_COLUMNS = ("business_id", "business_name", "city", "state", "stars", "review_count")  # what both gold tables read
 GOLD_INPUTS = {"weekly_stars": ("review", "business"), "checkins_vs_stars": ("checkin", "business")}
 
 
@@ -104,6 +108,9 @@ class RunSpec:
     # Shares of corrupt rows and of rows with undeclared keys that fail a
     # bronze load; by default they are counted and logged.
     limits: Limits = Limits()
+    # Keep silver.business with the executors while the two gold tables are
+    # made, if it is small. Off: reading it twice was no slower (README).
+    cache_business: bool = False
     # Write each table to a new version and switch to it when it is complete
     # (strata.sources.versions): readers and failed runs never see half a
     # table. Read such tables through versions.read_table.
@@ -241,20 +248,55 @@ def _count_column(dataset: str, column: str) -> str | None:
     return None if column in SPECS[dataset].required else column
 
 
-def build_weekly_stars(spark: SparkSession, layout: Layout) -> DataFrame:
+def build_weekly_stars(spark: SparkSession, layout: Layout, business: DataFrame | None = None) -> DataFrame:
     return gold.weekly_stars(
-        read_table(spark, layout.silver("review")), read_table(spark, layout.silver("business")),
+        read_table(spark, layout.silver("review")), read_table(spark, layout.silver("business")) if business is None else business,
         count_column=_count_column("review", "review_id"),
     )
 
 
-def build_checkins_vs_stars(spark: SparkSession, layout: Layout) -> DataFrame:
+def build_checkins_vs_stars(spark: SparkSession, layout: Layout, business: DataFrame | None = None) -> DataFrame:
     return gold.checkins_vs_stars(
-        read_table(spark, layout.silver("checkin")), read_table(spark, layout.silver("business")),
+        read_table(spark, layout.silver("checkin")), read_table(spark, layout.silver("business")) if business is None else business,
         count_column=_count_column("checkin", "checkin_timestamp"),
     )
 
 
+@contextmanager
+def persisted(df: DataFrame, stored_bytes: int | None, most: float = 0.2) -> Iterator[DataFrame]:
+    """``df`` kept by the executors inside the ``with`` block, if it is small; as it is otherwise.
+
+    ``stored_bytes`` is its size as Parquet. Rows in memory take several times
+    that (:data:`UNPACKED`), and may take the share ``most`` of what the executors
+    have for storage. What does not fit after all goes to their disks. A lost executor's part is read
+    again.
+    """
+    room = _storage_bytes(df.sparkSession)
+    if stored_bytes is None or room is None or UNPACKED * stored_bytes > most * room:
+        yield df
+        return
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+UNPACKED = 6  # bytes of a cached row per byte of Parquet; 2 to 5 on these tables
+
+
+def _storage_bytes(spark: SparkSession) -> int | None:
+    """Memory that all executors together have for cached data; None where that cannot be had (Spark Connect)."""
+    try:
+        values = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().values().iterator()
+        total = 0
+        while values.hasNext():
+            total += values.next()._1()
+        return total
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) -> dict[str, int]:
     tables = [g for g in GOLD_TABLES if set(GOLD_INPUTS[g]) <= set(spec.datasets)]
     for g in sorted(set(GOLD_TABLES) - set(tables)):
@@ -262,22 +304,28 @@ def run_gold(spark: SparkSession, layout: Layout, spec: RunSpec = RunSpec()) ->
     inputs = sorted({d for g in tables for d in GOLD_INPUTS[g]})
     s = _sized(spark, spec, "gold", [layout.silver(d) for d in inputs])
 
+    business: DataFrame | None = None
+
     def one(name: str) -> int:
         if name == "weekly_stars":
             by = spec.weekly_partition_by
             cluster = [c for c in spec.weekly_cluster_by if c not in by]
-            out = build_weekly_stars(s, layout)
+            out = build_weekly_stars(s, layout, business)
             rows = put_table(
                 s, spec, layout.gold(name),
                 lambda path: write_partitioned(out, path, by, cluster, bloom_filter_columns=spec.weekly_bloom_filters),
             )
         else:
-            out = build_checkins_vs_stars(s, layout)
+            out = build_checkins_vs_stars(s, layout, business)
             rows = put_table(s, spec, layout.gold(name), lambda path: write_table(out, path))
         log.info("gold %s: %d rows", name, rows)
         return rows
 
-    return _each(spark, _labelled(spark, "gold", one), tables, spec.concurrent)
+    if not (spec.cache_business and len(tables) > 1):
+        return _each(spark, _labelled(spark, "gold", one), tables, spec.concurrent)
+    source = resolve(s, layout.silver("business"))
+    with persisted(s.read.parquet(source).select(*BUSINESS_COLUMNS), input_bytes(s, [source])) as business:
+        return _each(spark, _labelled(spark, "gold", one), tables, spec.concurrent)
 
 
 LAYERS = ("bronze", "silver", "gold")
@@ -300,8 +348,16 @@ def run_layers(
     return {name: steps[name](spark, layout, spec) for name in LAYERS if name in layers}
 
 
+#: Parquet through the V2 source, which answers a count from file footers.
+FOOTER_COUNTS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
 def layer_counts(spark: SparkSession, layout: Layout, datasets: tuple[str, ...] = DATASETS) -> DataFrame:
-    """(layer, dataset, row_count) over every table that a run of ``datasets`` writes, as one Spark query."""
+    """(layer, dataset, row_count) over every table that a run of ``datasets`` writes, as one Spark query.
+
+    Counts come from the files' footers: no column of any table is read.
+    """
+    spark = layer_session(spark, FOOTER_COUNTS)
     tables = (
         [("bronze", d, layout.bronze(d)) for d in datasets]
         + [("silver", d, layout.silver(d)) for d in datasets]

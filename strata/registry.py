@@ -26,6 +26,7 @@ from strata.plans.layers import Layout, RunSpec, layer_counts, run_layers
 from strata.plans.session import scratch_path
 from strata.sources import bronze
 from strata.sources.fixtures import ADAPTERS, raw
+from strata.sources.layouts import read_bucketed, read_ordered, write_bucketed, write_ordered
 from strata.sources.raw import DATASETS, RAW_SCHEMAS, read_declared, read_raw, write_raw
 from strata.sources.sinks import write_partitioned, write_table
 from strata.sources.versions import publish, read_table
@@ -237,6 +238,29 @@ def weekly_from_sums(spark, sf_dir):
     return weekly_out(state.weekly_stars(ledger.read(), silver(spark, sf_dir, "business")))
 
 
+def weekly_bucketed(spark, sf_dir):
+    """weekly_stars from sums and businesses that lie in the same buckets: no exchange below the join."""
+    root = scratch_path(spark, "weekly-bucketed")
+    write_bucketed(gold.weekly_sums(silver(spark, sf_dir, "review")), f"{root}/sums", "business_id", 8)
+    write_bucketed(silver(spark, sf_dir, "business"), f"{root}/business", "business_id", 8)
+    return weekly_out(state.weekly_stars(read_bucketed(spark, f"{root}/sums"), read_bucketed(spark, f"{root}/business")))
+
+
+def weekly_ordered(spark, sf_dir):
+    """weekly_stars written in its total order and read in it, without a sort."""
+    path = scratch_path(spark, "weekly-ordered")
+    write_ordered(weekly(spark, sf_dir), path, gold.WEEK_KEYS, 8)
+    return weekly_out(read_ordered(spark, path))
+
+
+def end_to_end_cached(spark, sf_dir):
+    """checkins_vs_stars of a run that keeps silver.business in memory for both gold tables."""
+    root = scratch_path(spark, "layers")
+    layout = write_raw_files(spark, sf_dir, f"{root}/raw")
+    run_layers(spark, layout, RunSpec(cache_business=True))
+    return spark.read.parquet(layout.gold("checkins_vs_stars"))
+
+
 def checkins_incremental(spark, sf_dir):
     """checkins_vs_stars after three arrivals of check-in lists, some of which repeat check-ins of earlier ones."""
     root = scratch_path(spark, "checkins-incremental")
@@ -393,6 +417,9 @@ QUERIES: dict[str, Query] = {
     "end_to_end_weekly": end_to_end_weekly,
     "weekly_incremental": weekly_incremental,
     "weekly_from_sums": weekly_from_sums,
+    "weekly_bucketed": weekly_bucketed,
+    "weekly_ordered": weekly_ordered,
+    "end_to_end_cached": end_to_end_cached,
     "checkins_incremental": checkins_incremental,
     "top_businesses_by_year": top_businesses_by_year,
     "weekly_multi_review": weekly_multi_review,

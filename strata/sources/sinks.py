@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def _counted(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
-    # Counted in the writing stage itself: no second job, no re-listing of the output.
+def count_rows(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and what will know its rows once it is written: counted in the writing stage itself, without a second job."""
     obs = Observation()
     return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in measures.items()]), obs
 
@@ -41,14 +41,14 @@ def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", bloom_filter_columns: Sequence[str] = ()
 ) -> int:
     """Write Parquet; returns the number of rows written."""
-    out, obs = _counted(df)
+    out, obs = count_rows(df)
     out.write.mode(mode).options(**bloom_filter_options(bloom_filter_columns)).parquet(path)
     return int(obs.get["rows"])
 
 
 def write_measured(df: DataFrame, path: str, mode: str = "overwrite", **measures: Column) -> dict[str, int]:
     """Write Parquet; returns ``rows`` and the given aggregates, all taken during the write."""
-    out, obs = _counted(df, **measures)
+    out, obs = count_rows(df, **measures)
     out.write.mode(mode).parquet(path)
     return {k: int(v) for k, v in obs.get.items()}
 
@@ -66,7 +66,7 @@ def write_partitioned(
     Returns the number of rows written.
     """
     cols = list(partition_by)
-    laid_out, obs = _counted(df.hint("rebalance", *cols).sortWithinPartitions(*cols, *cluster_by))
+    laid_out, obs = count_rows(df.hint("rebalance", *cols).sortWithinPartitions(*cols, *cluster_by))
     writer = laid_out.write.mode(mode).partitionBy(*cols).options(**bloom_filter_options(bloom_filter_columns))
     writer.parquet(path)
     return int(obs.get["rows"])
@@ -91,7 +91,7 @@ def replace_partitions(
         return 0
     key = F.col(column).cast("string")
     some = df.where(key.isin(list(values))).hint("rebalance", column).sortWithinPartitions(column, *cluster_by)
-    out, obs = _counted(some, found=F.collect_set(key))
+    out, obs = count_rows(some, found=F.collect_set(key))
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
     writer.options(**bloom_filter_options(bloom_filter_columns)).parquet(path)
     got = obs.get

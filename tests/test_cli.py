@@ -180,3 +180,9 @@ def test_raw_pattern():
     assert cfg.layout().raw_file("tip") == "in/tip.ndjson"
     with pytest.raises(SystemExit):
         parse_args(["--raw", "in", "--root", "o", "--raw-pattern", "fixed.json"])
+
+
+def test_versions_and_limits():
+    spec = parse_args(["--raw", "r", "--root", "o", "--versioned", "--max-corrupt", "0.01"]).run_spec()
+    assert spec.versioned and spec.limits.corrupt == 0.01 and spec.limits.drifted is None
+    assert not parse_args(["--raw", "r", "--root", "o"]).run_spec().versioned
