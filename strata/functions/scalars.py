@@ -140,43 +140,40 @@ def avg_hundredths(c: str | Column) -> Column:
 # Means that do not depend on the order of addition: exact sums first, one
 # division and rounding at the end.
 # ---------------------------------------------------------------------------
-REST = "decimal(38,17)"
+REST_DIGITS = 15  # digits after the point that a value's decimal text is summed with
 
 
 def exact_sums(c: str, prefix: str, source_type: T.DataType, sign: int = 1) -> dict[str, Column]:
-    """Aggregates that add up exactly: ``<prefix>_n`` (non-NULL values), ``<prefix>_h`` (hundredths, bigint) and ``<prefix>_r``.
+    """Aggregates that add up exactly, all bigint: ``<prefix>_n`` (non-NULL values), ``<prefix>_h`` (hundredths) and ``<prefix>_r``.
 
     Whole numbers and values of at most two decimals, which ratings are, are
-    summed as integer hundredths. What is neither goes to ``<prefix>_r``, the sum
-    of the value's decimal text (17 digits after the point). NaN and infinite
-    values have no such text and count as NULL. ``sign=-1`` takes rows out again.
+    summed as hundredths. Of other values, what their decimal text (15 digits
+    after the point) has beyond hundredths is summed in ``<prefix>_r``, in units
+    of 10 ** -15. NaN, infinite values and those of 10 ** 15 or more count as
+    NULL; a sum too large for a bigint is an error. ``sign=-1`` takes rows out again.
     """
-    v, n = F.col(c), F.lit(sign)
+    v, n, none = F.col(c), F.lit(sign), F.lit(0).cast("bigint")
+    total = lambda x: F.coalesce(F.sum(x), none) * n
     if isinstance(source_type, T.IntegralType):
-        return {
-            f"{prefix}_n": F.count(v) * n,
-            f"{prefix}_h": F.coalesce(F.sum(v.cast("bigint")), F.lit(0).cast("bigint")) * 100 * n,
-            f"{prefix}_r": F.lit(0).cast(REST),
-        }
-    h = F.when(F.abs(v) < 1e15, F.round(v * 100))
-    short = h / 100 == v
-    text = v.try_cast(REST)
-    none = F.lit(0).cast(REST)
+        return {f"{prefix}_n": F.count(v) * n, f"{prefix}_h": total(v.cast("bigint") * 100), f"{prefix}_r": none}
+    known = F.when(F.abs(v) < 1e15, v)
+    h = F.rint(known * 100)
+    text = known.cast(f"decimal(38,{REST_DIGITS})")
+    rest = ((text - (h / 100).cast(f"decimal(38,{REST_DIGITS})")) * 10**REST_DIGITS).cast("bigint")
     return {
-        f"{prefix}_n": F.count(F.when(short, v).otherwise(text)) * n,
-        f"{prefix}_h": F.coalesce(F.sum(F.when(short, h.cast("bigint"))), F.lit(0).cast("bigint")) * n,
-        f"{prefix}_r": (F.coalesce(F.sum(F.when(short, F.lit(None)).otherwise(text)), none) * n).cast(REST),
+        f"{prefix}_n": F.count(known) * n,
+        f"{prefix}_h": total(h.cast("bigint")),
+        f"{prefix}_r": total(F.when(h / 100 == v, none).otherwise(rest)),
     }
 
 
 def exact_mean2(prefix: str) -> Column:
     """The mean of what :func:`exact_sums` summed, HALF_UP to two digits; NULL without values."""
-    n, rest = F.col(f"{prefix}_n"), F.col(f"{prefix}_r")
-    # (2 |s| + n) div 2n in hundredths is |s| / n rounded half up.
-    whole = F.col(f"{prefix}_h")
-    plain = F.call_function("div", 2 * F.abs(whole) + n, 2 * n)
-    sum_ = (whole.cast("decimal(21,0)") + rest * 100).cast("decimal(38,15)")
-    exact = F.call_function("div", 2 * F.abs(sum_) + n, (2 * n).cast("decimal(20,0)"))
-    size = F.when(rest == 0, plain).otherwise(exact)
-    below = F.when(rest == 0, whole < 0).otherwise(sum_ < 0)
-    return F.when(n > 0, F.when(below, -size).otherwise(size).cast("double") / 100)
+    n, h, r = (F.col(f"{prefix}_{x}") for x in "nhr")
+    # (2 |s| + n) div 2n is |s| / n rounded half up, in whole hundredths or in decimals.
+    plain = F.call_function("div", 2 * F.abs(h) + n, 2 * n)
+    sum_ = h.cast("decimal(38,0)") * 10 ** (REST_DIGITS - 2) + r
+    unit = (2 * n).cast("decimal(38,0)") * 10 ** (REST_DIGITS - 2)
+    exact = F.call_function("div", 2 * F.abs(sum_) + unit / 2, unit)
+    size = F.when(r == 0, plain).otherwise(exact)
+    return F.when(n > 0, F.when(F.when(r == 0, h < 0).otherwise(sum_ < 0), -size).otherwise(size).cast("double") / 100)
