@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components
+from strata.llm.rowids import row_ids
 from strata.llm.shingles import _mix, shingle_sets
 from strata.llm.tables import sized, written
 
@@ -424,13 +425,16 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     The component is the smallest ``doc_id`` reachable by links, itself
     included. Null and blank texts have an empty set and are linked with
-    nothing. Rows that repeat an id are one document; a row without an id is
-    linked only through an equal set (its component is then that set's), else
-    its component is null. Columns other than ``doc_id`` and ``text`` are not
-    read.
+    nothing. Rows that repeat an id and its text are one document. Of an id
+    with several texts each is a document of its own: it has the links and the
+    component of that text, and components of different texts may then be
+    called by the same id. A row without an id is linked only through an equal
+    set (its component is then that set's), else its component is null.
+    Columns other than ``doc_id`` and ``text`` are not read.
     """
-    members, classes, component = _components(_documents(docs))
-    return _labelled(members, classes, component).select("doc_id", "n_shingles", "component_id")
+    docs, renamed = _documents(docs)
+    members, classes, component = _components(docs, renamed)
+    return _named(renamed, _labelled(members, classes, component)).select("doc_id", "n_shingles", "component_id")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -441,8 +445,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     an equal set are one document, each row without an id is one that only
     equal sets link.
     """
-    docs = _documents(docs)
-    members, classes, component = _components(docs)
+    docs, renamed = _documents(docs)
+    members, classes, component = _components(docs, renamed)
     classes = classes.withColumn("key", F.xxhash64("n", "set_a", "set_b"))
     nodes = component.withColumnRenamed("node", "rep")
     # Blocks are cut by documents, or by shingles where documents are long.
@@ -454,13 +458,30 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         F.col("component").alias("low"), "members", F.col("key").alias("doc_id"), F.col("key").alias("component"), "n", "size", "tokens"
     )
     links = written(_link_counts(rows), "link-counts").withColumnRenamed("doc_id", "key")
-    return _labelled(members, classes, component).join(links, "key", "left").select(
+    out = _named(renamed, _labelled(members, classes, component)).join(links, "key", "left")
+    return out.select(
         "doc_id", "n_shingles", "component_id", (F.coalesce(F.col("size") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))).alias("n_links")
     )
 
 
-def _documents(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _documents(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``doc_id, text`` with an id of its own for each text of an id that has several, and ``doc_id, given`` of these (None: there are none)."""
+    rows, changed = row_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    docs = rows.select(F.col("row_id").alias("doc_id"), "text")
+    if not changed:
+        return docs, None
+    renamed = rows.where("row_id != doc_id").select(F.col("row_id").alias("doc_id"), F.col("doc_id").alias("given")).distinct()
+    return docs, written(renamed, "renamed-ids")
+
+
+def _named(renamed: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """``rows`` with the source's ids: of a row, and the smallest one of a component."""
+    if renamed is None:
+        return rows
+    given = F.coalesce("given", "doc_id")
+    rows = written(rows.join(sized(renamed), "doc_id", "left").withColumn("doc_id", given).drop("given"), "rows-by-source-id")
+    least = rows.where("component_id is not null").groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    return rows.join(least, "component_id", "left").withColumn("component_id", F.col("least")).drop("least")
 
 
 def _labelled(members: DataFrame, classes: DataFrame, component: DataFrame) -> DataFrame:
@@ -470,12 +491,14 @@ def _labelled(members: DataFrame, classes: DataFrame, component: DataFrame) -> D
     return found.withColumn("component_id", F.coalesce("component", "rep")).withColumnRenamed("n", "n_shingles")
 
 
-def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _components(docs: DataFrame, renamed: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sketched rows, their classes of equal sets, and ``node, component`` of the classes' smallest ids that link."""
     sketch = written(sketches(docs, frequent_shingles(docs)), "shingle-sketches")
     members = sketch.select("doc_id", "n", "set_a", "set_b")
-    documents = F.count_distinct("doc_id") + F.count_if(F.col("doc_id").isNull())
-    classes = members.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), documents.alias("size"))
+    named = members if renamed is None else members.join(sized(renamed), "doc_id", "left")
+    given = F.col("doc_id") if renamed is None else F.coalesce("given", "doc_id")
+    documents = F.count_distinct(given) + F.count_if(F.col("doc_id").isNull())
+    classes = named.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), documents.alias("size"))
     classes = written(classes, "shingle-classes")
     copies = written(
         members.join(classes.where("rows > 1"), ["n", "set_a", "set_b"]).where("doc_id != rep").select("doc_id").distinct(), "shingle-copies"

@@ -1,4 +1,5 @@
 import random
+from collections import defaultdict
 
 from llm_helpers import brute, docs, sets  # noqa: F401
 
@@ -67,6 +68,61 @@ def test_repeated_ids_and_rows_without_an_id(docs):
     assert signature_tree.similar_components(docs([])).count() == 0
 
 
+def test_ids_of_several_texts_keep_the_links_of_each(docs):
+    a, b = "one two three four five six seven", " ".join(f"w{i}" for i in range(30))
+    rows = [(1, a), (2, a), (2, b), (3, b + " z")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in signature_tree.similar_documents(docs(rows)).collect())
+    assert got == [(1, 3, 1, 1), (2, 3, 1, 1), (2, 26, 2, 1), (3, 27, 2, 1)]
+    assert sorted(map(tuple, signature_tree.similar_components(docs(rows)).collect())) == [x[:3] for x in got]
+
+
+def test_random_ids_of_several_texts(docs):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(25)]), t) for _, t in texts()]
+    rows += rng.sample(rows, 15)
+    for shift in (0, (1 << 63) - 26):  # up to the largest number, too
+        some = [(i if i is None else i + shift, t) for i, t in rows]
+        nodes = sorted({(i, sets(t)) for i, t in some if i is not None and sets(t)}, key=repr)
+        comp = {n: n[0] for n in nodes}
+        near = [(x, y) for x in nodes for y in nodes if x is not y and 100 * len(x[1] & y[1]) >= 75 * len(x[1] | y[1])]
+        changed = True
+        while changed:
+            changed = False
+            for x, y in near:
+                if comp[x] != comp[y]:
+                    comp[x] = comp[y] = min(comp[x], comp[y])
+                    changed = True
+        alone = defaultdict(int)  # rows without an id
+        ids = defaultdict(set)
+        for i, t in some:
+            if i is None:
+                alone[sets(t)] += 1
+            else:
+                ids[sets(t)].add(i)
+
+        def links(s):
+            if not s:
+                return 0
+            others = sum(len(ids[u]) + alone[u] for u in list(ids) if u and u != s and ids[s] and 100 * len(s & u) >= 75 * len(s | u))
+            return len(ids[s]) + alone[s] - 1 + others
+
+        # Without ids, an equal set with an id names the component, and other links than by equal sets are not sought.
+        want = []
+        for i, t in some:
+            s = sets(t)
+            own = min((comp[n] for n in nodes if n[1] == s), default=None)
+            if i is not None or own is not None or not s:
+                want.append((i, len(s), (i if not s else own if i is None else comp[i, s]), links(s)))
+        got = [tuple(r) for r in signature_tree.similar_documents(docs(some)).collect()]
+        lone = [r for r in got if r[0] is None and r[2] is None]
+        assert sorted((r for r in got if r not in lone), key=repr) == sorted((w for w in want if not (w[0] is None and w[2] is None)), key=repr)
+        if shift == 0:
+            names = {}
+            for (i, n, c, k) in got:
+                names.setdefault(i, set()).add(c)
+            assert any(len(c) > 1 for i, c in names.items() if i is not None)
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(200, 260)] + [(7, 7), (300, 300), (None, 4), (5, 4)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).distinct().collect())
