@@ -74,6 +74,7 @@ class BacktrackEncoder:
         vocabulary = {held(t): i for t, i in model["vocab"].items()}
         self.text_of = {i: t for t, i in vocabulary.items()}
         self.length = {i: len(t) for t, i in vocabulary.items()}
+        self.reach = max(self.length.values())
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.automaton = ahocorasick.Automaton()
@@ -134,7 +135,10 @@ class BacktrackEncoder:
         longest, length, shorter, pairs = self.automaton.iter_long, self.length, self.shorter, self.pairs
         if len(pairs) > PAIR_ENTRIES:
             pairs.clear()
-        token = next(longest(s, 0))[1]
+        # The automaton takes a copy of what it searches: of a long word only as much as a token can be long.
+        reach = self.reach
+        first = (lambda at: next(longest(s[at : at + reach]))[1]) if n > reach else (lambda at: next(longest(s, at))[1])
+        token = first(0)
         while True:
             end = at + length[token]
             if before < 0:
@@ -146,7 +150,7 @@ class BacktrackEncoder:
                 if end == n:
                     return struct.pack(f"<{len(out)}I", *out)
                 at, before = end, token
-                token = next(longest(s, at))[1]
+                token = first(at)
                 continue
             token = shorter[token]
             while token < 0:  # nothing fits here: shorten the token before

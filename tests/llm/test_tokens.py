@@ -31,12 +31,34 @@ def test_encodes_and_decodes_as_the_library(library):
         assert bpe.decode(got).decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_long_words_as_the_library_and_in_linear_time(library):
+    import time
+
+    rng = random.Random(6)
+    bpe = bpe_backtrack.encoder(bpe_backtrack.vocabulary_path())
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1 << 18))
+    for part in (word[: 1 << 14], "ab" * 5000, "é" * 3000 + word[:3000], "a" * 9999):
+        assert bpe.encode(part).tolist() == library.encode(part, add_special_tokens=False).ids
+
+    def took(n):
+        begin = time.process_time()
+        bpe._encode_piece(word[:n])
+        return time.process_time() - begin
+
+    took(1 << 12)
+    assert took(1 << 18) < 12 * max(0.02, took(1 << 16))  # 4 times the letters
+
+
 def test_encode_digests_rows(docs, library):
-    rows = [(i % 12, t) for i, t in enumerate(ODD)]
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(len(ODD), "twice"), (len(ODD), "twice")]
     got = bpe_backtrack.encode_digests(docs(rows), bpe_backtrack.vocabulary_path()).collect()
     assert len(got) == len(rows)
-    for (i, t), r in zip(rows, sorted(got, key=lambda r: r.n_tokens), strict=False):
-        assert r.n_tokens >= 0
+    texts = dict(rows)
+    for r in got:
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     ids = library.encode("漢字😀", add_special_tokens=False).ids
     assert hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest() in {r.ids_sha256 for r in got}
     assert bpe_backtrack.encode_digests(docs([]), bpe_backtrack.vocabulary_path()).count() == 0
