@@ -11,10 +11,15 @@ by a rule.
 
 from __future__ import annotations
 
+import html
+import re
 from dataclasses import dataclass
+from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.components import connected_components
 from strata.llm.tables import sized, written
@@ -46,7 +51,8 @@ _TAG = r"(?is)<(?:link|meta)\b[^>]*>"
 _CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
 _HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
 _REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
-_TARGET = r"(?is)\burl\s*=\s*['\"]?([^'\"\s>]+)"
+#: In the value of content: in quotes of its own, or up to the end of the value, whose quotes may be left out.
+_TARGET = r"(?is)\burl\s*=\s*(?:\"([^\"]*)|'([^']*)|([^'\"\s>]+))"
 _TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid)=[^&#]*"
 
 
@@ -89,32 +95,45 @@ def plain(url: Column) -> Column:
     return F.when(url.contains("://"), F.concat(F.regexp_replace(host_of(url), r"^www\.", ""), rest))
 
 
-def _resolved(target: Column, url: Column) -> Column:
-    """A link's address, seen from the page at ``url``; null if it is neither absolute nor starts with ``/``."""
-    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    scheme = F.regexp_extract(url, r"(?s)^(.*?:)//", 1)
-    target = F.regexp_replace(F.trim(target), "&amp;", "&")
-    return (
-        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-        .when(target.startswith("//") & (scheme != ""), F.concat(scheme, target))
-        .when(target.startswith("/") & (site != ""), F.concat(site, target))
-    )
+def resolve(url: str | None, target: str | None) -> str | None:
+    """The address that a link on the page at ``url`` names: character references decoded, relative to the page.
+
+    Null for links within the page, for other schemes than the web's and for
+    what is no address.
+    """
+    target = html.unescape(target or "").strip()
+    if not target or target.startswith("#") or url is None:
+        return None
+    try:
+        found = urljoin(url, target)
+    except ValueError:  # such as an unclosed bracket in a host
+        return None
+    return found if re.match("(?i)https?://[^/?#]", found) else None
+
+
+@F.pandas_udf(T.StringType())
+def _resolved(url: pd.Series, target: pd.Series) -> pd.Series:
+    return pd.Series([resolve(u, t) for u, t in zip(url, target, strict=True)], dtype=object)
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
-    """``url, target``: canonical links and redirects that pages state."""
+    """``url, target``: canonical links and redirects that pages state, relative ones resolved."""
     tags = F.explode(F.regexp_extract_all("html", F.lit(_TAG), F.lit(0)))
     rows = pages.where("url is not null and html is not null").select("url", tags.alias("tag"))
     tag = F.col("tag")
     href = F.concat(*(F.regexp_extract(tag, _HREF, k) for k in (1, 2, 3)))
-    target = F.when(tag.rlike(_CANONICAL), href).when(tag.rlike(_REFRESH), F.regexp_extract(tag, _TARGET, 1))
-    return rows.select("url", _resolved(target, F.col("url")).alias("target")).where("target is not null")
+    refresh = F.concat(*(F.regexp_extract(tag, _TARGET, k) for k in (1, 2, 3)))
+    target = F.when(tag.rlike(_CANONICAL), href).when(tag.rlike(_REFRESH), refresh)
+    stated = rows.select("url", target.alias("target")).where("target is not null and target != ''")
+    return stated.select("url", _resolved("url", "target").alias("target")).where("target is not null")
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFrame | None = None) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every row of ``pages``.
 
-    A url that is null or has no ``://`` has no host, path, rule or aliases
+    ``redirects(url, target)``, such as a crawler's log of redirects, adds links
+    between addresses to those that the pages state; rows with a null are
+    ignored. A url that is null or has no ``://`` has no host, path, rule or aliases
     and is allowed. Repeated rows are judged alike. Columns other than
     ``page_id, url, html`` are not read.
     """
@@ -123,13 +142,16 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     judged = rows.select(
         "page_id", host_of(url).alias("host"), path_of(url).alias("path"), rule_of(host_of(url), path_of(url), rules).alias("rule"), plain(url).alias("node")
     )
-    links = written(alias_links(rows), "alias-links")
+    links = alias_links(rows)
+    if redirects is not None:
+        links = links.unionByName(redirects.select("url", "target").where("url is not null and target is not null"))
+    links = written(links, "alias-links")
     ends = [links.select(F.col(c).alias("url")) for c in ("url", "target")]
     edges = links.select(plain(F.col("url")).alias("a"), plain(F.col("target")).alias("b"))
     component = written(connected_components(edges), "aliases")
 
     # Addresses that a rule blocks, pages or only named by pages; their components are blocked.
-    named = rows.select("url").unionByName(ends[1]).where("url is not null")
+    named = rows.select("url").unionByName(ends[0]).unionByName(ends[1]).where("url is not null")
     blocked = named.where(verdict_of(rule_of(host_of(url), path_of(url), rules), rules) == "block").select(plain(url).alias("node")).distinct()
     blocked = blocked.join(component, "node", "left").select(F.coalesce("component", "node").alias("component")).distinct()
     blocked = written(blocked.withColumn("bad", F.lit(True)), "blocked-aliases")
