@@ -57,7 +57,7 @@ def test_many_rows_of_the_bitmap(spark):
 
 def test_bits():
     assert bitmap_bits(1) == bitmap_bits(2048) == two_pass.ROW_BITS and bitmap_bits(2049) == 2 * two_pass.ROW_BITS
-    assert bitmap_bits(1 << 28) == bitmap_bits(1 << 29) == two_pass.MOST_BITS and bitmap_bits((1 << 29) + 1) is None
+    assert bitmap_bits(1 << 27) == bitmap_bits(1 << 31) == two_pass.MOST_BITS and bitmap_bits((1 << 31) + 1) is None
 
 
 def test_other_rules_take_one_pass(spark):
