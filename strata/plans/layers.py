@@ -109,7 +109,7 @@ class RunSpec:
     # bronze load; by default they are counted and logged.
     limits: Limits = Limits()
     # Keep silver.business with the executors while the two gold tables are
-    # made, if it is small. Off: reading it twice was no slower (README).
+    # made, if it is small. Off: not shown to be faster than reading it twice.
     cache_business: bool = False
     # Write each table to a new version and switch to it when it is complete
     # (strata.sources.versions): readers and failed runs never see half a
