@@ -32,7 +32,7 @@ from strata.llm.tables import sized, written
 #: 64 characters and on to the end of the sentence, the rest of a line, or the line ends between.
 PARAGRAPH = r"[^\n]{64}[^.!?\n]{0,64}[.!?]*|[^\n]+|\n+"
 TABLES = 3
-LEAST_CELLS = 4  # in each table
+LEAST_CELLS = 8  # in each table
 DIGESTS_PER_CELL = 2  # of a table, at most: 0.67 for each cell of the three
 PEELS_UP_TO = 0.82  # digests for each cell of the three, beyond which three tables do not peel
 ROUNDS = 15  # five turns through the three tables
@@ -127,7 +127,7 @@ def _sizes(na: Column, nb: Column) -> Column:
 
 
 def _summed(rows: DataFrame, key: list[str]) -> DataFrame:
-    sums = rows.groupBy(*key, "size", "cell", "d").agg(F.sum("c").alias("c"), F.bit_xor("x").alias("x"), F.bit_xor("h").alias("h"))
+    sums = rows.groupBy(*key, "size", "cell", "d").agg(F.expr("sum(c) as c"), F.expr("bit_xor(x) as x"), F.expr("bit_xor(h) as h"))
     return sums.where("c != 0 or x != 0 or h != 0")
 
 
@@ -145,30 +145,37 @@ def _put(pairs: DataFrame, key: list[str]) -> DataFrame:
     return _summed(rows.select(*key, "size", F.inline(spread)), key)
 
 
+def _round(t: int) -> str:
+    """What a row becomes when table ``t`` is looked at: a digest alone in its cell is named and taken out of the others.
+
+    As SQL text: a chain of rounds in column calls takes the driver longer than the cluster.
+    """
+    row = "named_struct('cell', {}, 'c', {}, 'x', {}, 'h', {}, 'd', {})".format
+    none = "cast(null as bigint)"
+    named = row(f"if(c > 0, {FOUND_A}L, {FOUND_B}L)", "1L", "0L", "0L", "x")
+    others = [row(f"pmod(xxhash64(x, {u}), size) * {TABLES} + {u}", "-c", "x", "h", none) for u in range(TABLES) if u != t]
+    found = f"cell >= 0 and cell % {TABLES} = {t} and abs(c) = 1 and xxhash64(x, 'check') = h"
+    return f"inline(if({found}, array({', '.join([named, *others])}), array({row('cell', 'c', 'x', 'h', 'd')})))"
+
+
 def _peel(cells: DataFrame, key: list[str]) -> DataFrame:
-    """``key, done, only_a, only_b, na, nb`` by one chain of rounds.
+    """``key, size, done, only_a, only_b, na, nb`` by one chain of rounds.
 
     Each round looks at one table, where a digest has one cell, so none is
     taken out twice.
     """
     for r in range(ROUNDS):
-        t = r % TABLES
-        c, x, h = F.col("c"), F.col("x"), F.col("h")
-        found = (F.col("cell") >= 0) & (F.col("cell") % TABLES == t) & (F.abs(c) == 1) & (_check(x) == h)
-        others = (_row(_cell(x, u, F.col("size")), -c, x, h) for u in range(TABLES) if u != t)
-        named = _row(F.when(c > 0, FOUND_A).otherwise(FOUND_B), F.lit(1), F.lit(0), F.lit(0), x)
-        after = F.when(found, F.array(named, *others)).otherwise(F.array(_row(F.col("cell"), c, x, h, F.col("d"))))
-        cells = _summed(cells.select(*key, "size", F.inline(after)), key)
+        cells = _summed(cells.selectExpr(*key, "size", _round(r % TABLES)), key)
     at = lambda n, value: F.coalesce(F.max(F.when(F.col("cell") == n, F.col(value))), F.lit(0))
     listed = lambda n: F.collect_list(F.when(F.col("cell") == n, F.col("d")))
-    out = cells.groupBy(*key).agg(
+    out = cells.groupBy(*key, "size").agg(
         listed(FOUND_A).alias("only_a"), listed(FOUND_B).alias("only_b"), at(SIZES, "x").alias("na"), at(SIZES, "h").alias("nb"),
         F.count_if((F.col("cell") >= 0) | (F.col("c") != 1)).alias("left"),
     )
     # What peeled must add up: else a check failed to tell a mixed cell.
     shared = F.col("na") - F.size("only_a")
     done = (F.col("left") == 0) & (shared == F.col("nb") - F.size("only_b")) & (shared >= 0)
-    return out.select(*key, done.alias("done"), "only_a", "only_b", "na", "nb")
+    return out.select(*key, "size", done.alias("done"), "only_a", "only_b", "na", "nb")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -189,14 +196,12 @@ def sketched(lists: DataFrame, key: list[str], near: list[str] | None = None, si
     parts = []
     while True:
         whole = todo.select(*key, "size", F.col("digests").alias("a"), F.array().cast("array<long>").alias("b"))
-        whole = whole.repartition(*(near or key))
-        tried = written(_peel(_put(whole, [*key]), key), "iblt-alone")
-        todo_sizes = todo.select(*key, "size")
-        parts.append(tried.where("done").join(todo_sizes, key).select(*key, "size", F.col("only_a").alias("digests")))
-        failed = tried.where("not done").select(*key)
+        tried = written(_peel(_put(whole.repartition(*(near or key)), key), key), "iblt-alone")
+        parts.append(tried.where("done").select(*key, "size", F.col("only_a").alias("digests")))
+        failed = tried.where("not done").select(*key, (F.col("size") * 2).alias("size"))
         if failed.isEmpty():
             return _union(parts)
-        todo = todo.join(sized(failed), key, "left_semi").withColumn("size", F.col("size") * 2)
+        todo = lists.select(*key, "digests").join(sized(failed), key)
 
 
 # Fingerprints as text

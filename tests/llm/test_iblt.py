@@ -60,7 +60,7 @@ def test_differences_from_returned_columns_alone(spark, docs):
     got = {r.doc_id: r for r in iblt.fingerprints(docs(list(texts.items()))).collect()}
     prints = [(i, r.fingerprint) for i, r in got.items()]
     pairs = [(i, j, f, g) for i, f in prints for j, g in prints] + [(i, 100, r.fingerprint, r.edited_fingerprint) for i, r in got.items()]
-    found = iblt.differences(spark.createDataFrame([*pairs, (-1, 0, None, "4")], "i long, j long, a string, b string"), ["i", "j"])
+    found = iblt.differences(spark.createDataFrame([*pairs, (-1, 0, None, "8")], "i long, j long, a string, b string"), ["i", "j"])
     found = {(r.i, r.j): r for r in found.collect()}
     likes = iblt.likeness_of(spark.createDataFrame(list(found.values())), ["i", "j"]).collect()
     likes = {(r.i, r.j): r.likeness for r in likes}
@@ -81,7 +81,7 @@ def test_differences_from_returned_columns_alone(spark, docs):
 def test_fingerprints_grow_with_the_digests_and_equal_texts_are_equal(spark, docs):
     texts = dict(enumerate(texts_of_all_sizes()))
     got = {r.doc_id: r.fingerprint for r in iblt.fingerprints(docs([*texts.items(), (99, texts[3])])).collect()}
-    assert got[3] == got[99] and got[0] == got[len(texts) - 1] == "4"
+    assert got[3] == got[99] and got[0] == got[len(texts) - 1] == "8"
     for i, t in texts.items():
         n = len(pieces(t or ""))
         size = int(got[i].split()[0], 16)
