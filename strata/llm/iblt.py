@@ -193,15 +193,17 @@ def sketched(lists: DataFrame, key: list[str], near: list[str] | None = None, si
     """
     size = least_size(F.size("digests")) if size is None else size
     todo = lists.select(*key, "digests", size.alias("size"))
+    # Lists are short, their cells are not: the first attempt is not coalesced by the size of the lists.
+    many = [int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))]
     parts = []
     while True:
         whole = todo.select(*key, "size", F.col("digests").alias("a"), F.array().cast("array<long>").alias("b"))
-        tried = written(_peel(_put(whole.repartition(*(near or key)), key), key), "iblt-alone")
+        tried = written(_peel(_put(whole.repartition(*many, *(near or key)), key), key), "iblt-alone")
         parts.append(tried.where("done").select(*key, "size", F.col("only_a").alias("digests")))
         failed = tried.where("not done").select(*key, (F.col("size") * 2).alias("size"))
         if failed.isEmpty():
             return _union(parts)
-        todo = lists.select(*key, "digests").join(sized(failed), key)
+        todo, many = lists.select(*key, "digests").join(sized(failed), key), []
 
 
 # Fingerprints as text
