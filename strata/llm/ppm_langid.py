@@ -25,11 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.tables import written
+
 UNKNOWN = "und"
 ORDER = 3
-SAMPLE_PER_LANGUAGE = 1500  # bound of the training sample: about so many labelled rows of each language
 LEAST_SEEN = 8  # a context becomes a node if it was seen so often
+MOST_CONTEXTS = 1 << 15  # nodes of three bytes, at most: beyond it, the context must have been seen more often
 SLICE = 1 << 18
+MOST_KEYS = 1 << 22  # contexts that a task counts at once
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -37,21 +40,9 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, held: bool = False) -> DataFrame:
-    """``lang, text`` of about ``per_language`` labelled rows of each language, whole texts; with ``held``, of the held-out ones.
-
-    Rows are chosen by a hash of their id, in the share that the language's
-    number of labelled rows asks for; a language with fewer rows gives all.
-    """
-    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (held_out() == held))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
-    if not counts:
-        return rows.select("lang", "text").limit(0)
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)
-    return rows.where(chosen).select("lang", "text")
+def labelled(docs: DataFrame, held: bool = False) -> DataFrame:
+    """``lang, text`` of all labelled rows outside the held-out part; with ``held``, of those in it. Whole texts."""
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (held_out() == held)).select("lang", "text")
 
 
 def count_contexts(sample: DataFrame) -> DataFrame:
@@ -60,23 +51,27 @@ def count_contexts(sample: DataFrame) -> DataFrame:
     ``key`` packs them, the oldest highest; before a text stand zero bytes.
     """
 
+    def counted(lang: str, keys: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "key", "n"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
             data, starts = _bytes(batch.column(1))
             for lang in sorted(set(names)):
-                keys = [
-                    _keys(data, at, min(at + SLICE, end), start)
-                    for name, start, end in zip(names, starts[:-1].tolist(), starts[1:].tolist(), strict=True)
-                    if name == lang
-                    for at in range(start, end, SLICE)
-                ]
+                keys, size = [], 0
+                for name, start, end in zip(names, starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    for at in range(start, end, SLICE) if name == lang else ():
+                        keys.append(_keys(data, at, min(at + SLICE, end), start))
+                        size += len(keys[-1])
+                        if size >= MOST_KEYS:
+                            yield counted(lang, keys)
+                            keys, size = [], 0
                 if keys:
-                    key, n = np.unique(np.concatenate(keys), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))],
-                        names=["lang", "key", "n"],
-                    )
+                    yield counted(lang, keys)
 
     return sample.select("lang", "text").mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
@@ -144,17 +139,21 @@ def fit(counts: list[tuple[str, int, int]], least_seen: int = LEAST_SEEN) -> Mod
     """The model from ``(lang, key, n)``; None if there is nothing to learn from."""
     if not counts:
         return None
-    languages = sorted({c[0] for c in counts})
+    lang, key, n = zip(*counts, strict=True)
+    return _fit(list(lang), np.array(key, dtype=np.int64), np.array(n, dtype=np.float64), np.ones(len(key), dtype=bool), least_seen)
+
+
+def _fit(names: list[str], key: np.ndarray, n: np.ndarray, deep: np.ndarray, least_seen: int) -> Model:
+    """:func:`fit`; rows that are not ``deep`` count for contexts of up to two bytes only."""
+    languages = sorted(set(names))
     number = {x: i for i, x in enumerate(languages)}
-    lang = np.array([number[c[0]] for c in counts])
-    key = np.array([c[1] for c in counts], dtype=np.int64)
-    n = np.array([c[2] for c in counts], dtype=np.float64)
+    lang = np.array([number[x] for x in names])
     followed = np.unique(key & 255)
     byte_class = np.zeros(256, dtype=np.int32)
     byte_class[followed] = np.arange(1, len(followed) + 1)
     size = len(followed) + 1
     symbol = byte_class[key & 255].astype(np.int64)
-    deep = [byte_class[(key >> (8 * k)) & 255].astype(np.int64) for k in (1, 2, 3)]
+    whole, deep = deep, [byte_class[(key >> (8 * k)) & 255].astype(np.int64) for k in (1, 2, 3)]
     zero = [((key >> (8 * k)) & 255) == 0 for k in (1, 2, 3)]
     for d, z in zip(deep, zero, strict=True):
         d[z] = 0
@@ -163,6 +162,8 @@ def fit(counts: list[tuple[str, int, int]], least_seen: int = LEAST_SEEN) -> Mod
     index = np.zeros(1, dtype=np.int64)  # of each context of the order below, its row in `lower`
     tables = []
     for order in range(ORDER + 1):
+        if order == ORDER:
+            key, n, lang, symbol, deep = key[whole], n[whole], lang[whole], symbol[whole], [d[whole] for d in deep]
         context = np.zeros(len(key), dtype=np.int64)
         for k in range(order, 0, -1):
             context = context * size + deep[k - 1]
@@ -188,15 +189,40 @@ def fit(counts: list[tuple[str, int, int]], least_seen: int = LEAST_SEEN) -> Mod
     return Model(languages, byte_class, index.astype(np.int32), lower.astype(np.float32))
 
 
-def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
-    """Learns from labelled rows outside the held-out part. The counts that reach the driver are bounded by the sample."""
-    counted = count_contexts(training_sample(docs, per_language)).toArrow()
-    return fit(list(zip(counted["lang"].to_pylist(), counted["key"].to_pylist(), counted["n"].to_pylist(), strict=True)))
+def context_counts(counts: DataFrame, least_seen: int = LEAST_SEEN, most: int | None = None) -> DataFrame:
+    """``lang, key, n, deep``: what the model is made from, of ``lang, key, n``, a written table.
+
+    Contexts of three bytes that are too rare for a node are added up by their
+    last two bytes (not ``deep``), so no count is lost and the result has as
+    many rows as the alphabet and ``most`` ask for, however much text was
+    counted. With more than ``most`` contexts seen ``least_seen`` times, those
+    seen most often have nodes, and of equally frequent ones all or none.
+    """
+    most = MOST_CONTEXTS if most is None else most
+    context = F.shiftright("key", 8)
+    seen = counts.groupBy(context.alias("context")).agg(F.sum("n").alias("seen")).where(F.col("seen") >= least_seen)
+    first = seen.select("seen").orderBy(F.desc("seen")).limit(most + 1).toArrow()["seen"].to_pylist()
+    if len(first) > most:
+        seen = seen.where(F.col("seen") > first[-1])
+    frequent = F.broadcast(seen.select("context", F.lit(True).alias("deep")))  # at most `most` rows
+    marked = counts.withColumn("context", context).join(frequent, "context", "left")
+    deep = F.coalesce("deep", F.lit(False))
+    key = F.when(deep, F.col("key")).otherwise(F.col("key").bitwiseAND(F.lit(0xFFFFFF).cast("long")))
+    return marked.groupBy("lang", key.alias("key"), deep.alias("deep")).agg(F.sum("n").alias("n"))
+
+
+def train(docs: DataFrame) -> Model | None:
+    """Learns from all labelled rows outside the held-out part. What reaches the driver is bounded by the alphabet and :data:`MOST_CONTEXTS`."""
+    counted = context_counts(written(count_contexts(labelled(docs)), "language-contexts")).toArrow()
+    if not len(counted):
+        return None
+    key, n, deep = (counted[c].to_numpy() for c in ("key", "n", "deep"))
+    return _fit(counted["lang"].to_pylist(), key, n.astype(np.float64), deep.astype(bool), LEAST_SEEN)
 
 
-def usual_bits(docs: DataFrame, model: Model | None, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, float]:
-    """The median bits per byte of each language, over a sample of its held-out rows: what text of the language takes that was not learned."""
-    rows = predict(training_sample(docs, per_language, held=True), model, ["lang"], bits=True).where("lang = lang_pred")
+def usual_bits(docs: DataFrame, model: Model | None) -> dict[str, float]:
+    """The median bits per byte of each language, over all its held-out rows: what text of the language takes that was not learned."""
+    rows = predict(labelled(docs, held=True), model, ["lang"], bits=True).where("lang = lang_pred")
     return {r["lang"]: r["m"] for r in rows.groupBy("lang").agg(F.percentile_approx("bits_per_byte", 0.5).alias("m")).collect()}  # one row a language
 
 
@@ -212,7 +238,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], bits: bool =
     """
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(*keep, F.when(letters, F.col("text")).alias("_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the alphabet and MOST_CONTEXTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frozen = shared.value
