@@ -230,3 +230,40 @@ def test_partitions_pruned_in_the_refresh(spark):
     assert touched(ledger.batch("one"), "review_year") == ["2018", "2019", "9999"]
     assert touched(ledger.batch("one"), "review_week") == ["2018-02-26 00:00:00", "2019-04-29 00:00:00", "9999-01-01 00:00:00"]
     assert refresh_weekly(spark, layout, ledger.read(), ["2019"], spec) == 4  # b and c in 2019, d silent, b undated
+
+
+def test_a_batch_is_computed_once(spark):
+    """Its rows are read once, however often the merge's parts are used; a repeated batch writes no silver table."""
+    layout, spec = started(spark, FIRST)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for x in it:
+            read.add(x.num_rows)
+            yield x
+
+    batch = raw_reviews(spark, SECOND)
+    batch = batch.mapInArrow(counted, batch.schema)
+    apply_reviews(spark, layout, "one", batch, spec)
+    assert read.value == len(SECOND)
+    before = read_table(spark, layout.silver("review")).inputFiles()
+    apply_reviews(spark, layout, "one", batch, spec)
+    assert read_table(spark, layout.silver("review")).inputFiles() == before
+    assert stored(spark, layout) == rebuilt(spark, layout, FIRST + SECOND)
+
+
+def test_sums_need_not_be_added_up_before_the_refresh(spark):
+    layout, spec = started(spark, FIRST)
+    apply_reviews(spark, layout, "one", raw_reviews(spark, SECOND), spec)
+    ledger, business = weekly_ledger(spark, layout), spark.read.parquet(layout.silver("business"))
+    assert ledger.parts().count() > ledger.read().count()
+    assert rows(state.without_reviews(ledger.parts(), business)) == rows(state.without_reviews(ledger.read(), business))
+
+
+def test_a_declared_line_is_parsed_once(spark):
+    from strata.sources.raw import RAW_SCHEMAS, read_declared
+
+    path = scratch(spark)
+    spark.createDataFrame([('{"review_id": "r", "stars": 4}',)], "value string").write.text(path)
+    plan = read_declared(spark, path, RAW_SCHEMAS["review"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2  # the record, and the map of other keys
