@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from test_incremental import FIRST, SECOND, raw_reviews, rebuilt, rows, started, stored
 
 from strata import registry
+from strata.operators.rules import clean
+from strata.operators.silver import SPECS
 from strata.plans import incremental
-from strata.plans.incremental import apply_reviews
+from strata.plans.incremental import apply_checkins, apply_reviews
 from strata.plans.layers import Layout, RunSpec, run_bronze, run_layers
 from strata.plans.session import checkpoint_root, scratch_folder, scratch_path
 from strata.sources.fixtures import raw
@@ -126,6 +128,21 @@ def test_a_batch_of_reviews_leaves_no_shuffle_files(spark):
     assert not left(spark, before)
 
 
+def test_a_batch_of_checkins_leaves_its_tables_only(spark):
+    layout = Layout(root=scratch_path(spark, "test-disk"), raw="")
+    lists = lambda *data: spark.createDataFrame(list(data), "business_id string, date string")
+    first, second = lists(("a", "2020-01-01 10:00:00, bad")), lists(("a", "2020-01-01 10:00:00, 2020-01-02 10:00:00"), (" b", "2020-01-01 10:00:00"))
+    business = spark.createDataFrame([(b, b, "c", "s", 4.0, 1) for b in "abd"], "business_id string, business_name string, city string, state string, stars double, review_count int")
+    write_table(business, layout.silver("business"))
+    write_table(clean(first, SPECS["checkin"]), layout.silver("checkin"))
+    write_table(second, path := scratch_path(spark, "test-disk"))
+    second, folders, before = spark.read.parquet(path), scratch_folders(spark), shuffle_files(spark)
+    apply_checkins(spark, layout, "one", second)
+    assert not left(spark, before)
+    assert scratch_folders(spark) == folders
+    assert {r.business_id: r.total_checkins for r in read_table(spark, layout.gold("checkins_vs_stars")).collect()} == {"a": 2, "b": 1, "d": 0}
+
+
 def test_a_scratch_folder_goes_with_its_block(spark):
     with pytest.raises(ValueError, match="lost"), scratch_folder(spark, "test-disk") as folder:
         write_table(spark.range(3), f"{folder}/t")
