@@ -11,9 +11,9 @@ from test_incremental import FIRST, SECOND, raw_reviews, rebuilt, rows, started,
 from strata import registry
 from strata.operators.rules import clean
 from strata.operators.silver import SPECS
-from strata.plans import incremental
+from strata.plans import incremental, layers
 from strata.plans.incremental import apply_checkins, apply_reviews
-from strata.plans.layers import Layout, RunSpec, run_bronze, run_layers
+from strata.plans.layers import Layout, RunSpec, run_bronze, run_gold, run_layers
 from strata.plans.session import checkpoint_root, scratch_folder, scratch_path
 from strata.sources.fixtures import raw
 from strata.sources.raw import PACKED_SHRINK, packed, read_raw, write_raw
@@ -143,6 +143,20 @@ def test_a_batch_of_checkins_leaves_its_tables_only(spark):
     assert {r.business_id: r.total_checkins for r in read_table(spark, layout.gold("checkins_vs_stars")).collect()} == {"a": 2, "b": 1, "d": 0}
 
 
+def test_weekly_figures_staged_before_the_join(spark, monkeypatch):
+    layout = dumped(spark)
+    run_layers(spark, layout, RunSpec(staged_bytes=None))
+    want, read, folders = rows(read_table(spark, layout.gold("weekly_stars"))), [], scratch_folders(spark)
+    write = layers.write_partitioned
+    monkeypatch.setattr(layers, "write_partitioned", lambda df, *a, **k: (read.extend(df.inputFiles()), write(df, *a, **k))[1])
+    for size, yes in ((0, True), (1 << 40, False)):
+        read.clear()
+        run_gold(spark, layout, RunSpec(staged_bytes=size))
+        assert any("/strata/weekly-" in f for f in read) == yes
+        assert rows(read_table(spark, layout.gold("weekly_stars"))) == want
+    assert scratch_folders(spark) == folders
+
+
 def test_a_scratch_folder_goes_with_its_block(spark):
     with pytest.raises(ValueError, match="lost"), scratch_folder(spark, "test-disk") as folder:
         write_table(spark.range(3), f"{folder}/t")
