@@ -40,6 +40,16 @@ def spark():
     clear_scratch(s)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached_by_others():
+    """Tables that one module's tests cached are gone before the next module's."""
+    yield
+    from pyspark.sql import SparkSession
+
+    if (s := SparkSession.getActiveSession()) is not None:
+        s.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def duck():
     import duckdb
